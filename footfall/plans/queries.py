@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from footfall.functions import text, timeparts
 from footfall.operators import cells, facts, reports, search
 from footfall.plans import jobs
-from footfall.plans.tables import articles, events, table
+from footfall.plans.tables import articles, events, table, visits
 from footfall.session import work_dir
 from footfall.sources import messages, raw_log
 from footfall.sources.tables import register
@@ -263,10 +263,13 @@ def stored_domain_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- stored behaviour ----------------------------------------------------------
 
 
+def _at_midnight(df: DataFrame) -> DataFrame:
+    """Times cut to the day, so that keys repeat."""
+    return df.withColumn("ts", F.to_date("ts").cast("timestamp_ntz"))
+
+
 def _day_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their time cut to the day, so that keys repeat."""
-    midnight = F.to_date("ts").cast("timestamp_ntz")
-    return events(spark, sf_dir).withColumn("ts", midnight)
+    return _at_midnight(events(spark, sf_dir))
 
 
 @query("SELECT CAST(day AS VARCHAR) AS day, user_id, article_id, behavior FROM day_latest")
@@ -283,7 +286,7 @@ WHERE (ts > TIMESTAMP '2024-01-05 06:00:00'
        OR (ts = TIMESTAMP '2024-01-20 18:30:00' AND user_id < 20))""")
 def key_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cells.key_range(
-        events(spark, sf_dir), ("2024-01-05 06:00:00", 10), ("2024-01-20 18:30:00", 20)
+        visits(spark, sf_dir), ("2024-01-05 06:00:00", 10), ("2024-01-20 18:30:00", 20)
     )
     return found.select("seq", F.col("ts").cast("string").alias("time"), "user_id")
 
@@ -297,7 +300,7 @@ WHERE (CAST(ts AS DATE) > DATE '2024-01-05' OR
 def key_range_shared_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range whose end times many users share."""
     found = cells.key_range(
-        _day_events(spark, sf_dir), ("2024-01-05 00:00:00", 7), ("2024-01-20 00:00:00", 8)
+        _at_midnight(visits(spark, sf_dir)), ("2024-01-05 00:00:00", 7), ("2024-01-20 00:00:00", 8)
     )
     return found.select("seq", timeparts.day_key(F.col("ts")).alias("day"), "user_id")
 
@@ -308,7 +311,7 @@ WHERE CAST(ts AS DATE) = DATE '2024-01-05' AND user_id = 7""")
 def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal ends: exactly one key."""
     key = ("2024-01-05 00:00:00", 7)
-    found = cells.key_range(_day_events(spark, sf_dir), key, key)
+    found = cells.key_range(_at_midnight(visits(spark, sf_dir)), key, key)
     return found.select("seq", timeparts.day_key(F.col("ts")).alias("day"), "user_id")
 
 
@@ -339,7 +342,7 @@ def cells_of_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
        "CAST(ts AS VARCHAR) AS time, CAST(user_id AS VARCHAR) AS user_id FROM b")
 def row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row keys built and split again."""
-    keyed = events(spark, sf_dir).select(
+    keyed = visits(spark, sf_dir).select(
         "seq", text.row_key(F.col("ts"), F.col("user_id")).alias("row_key")
     )
     ts, user = text.split_row_key(F.col("row_key"))
@@ -408,7 +411,7 @@ def hour_and_day_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         timeparts.day_key(ts, compact=True).alias("day_compact"),
         timeparts.hour_of(ts).cast("string").alias("hour_start"),
     ]
-    return events(spark, sf_dir).groupBy(*keys).agg(F.count("*").alias("num"))
+    return visits(spark, sf_dir).groupBy(*keys).agg(F.count("*").alias("num"))
 
 
 @query(f"""
@@ -433,7 +436,7 @@ SELECT behavior, CASE behavior WHEN '0' THEN 'publish' WHEN '1' THEN 'browse'
        ELSE 'comment' END AS label, count(*) AS num FROM b GROUP BY ALL""")
 def behavior_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        events(spark, sf_dir)
+        visits(spark, sf_dir)
         .groupBy("behavior", text.behavior_label(F.col("behavior")).alias("label"))
         .agg(F.count("*").alias("num"))
     )
@@ -588,7 +591,9 @@ UNION ALL SELECT 'top_users', CAST(week AS VARCHAR), CAST(user_id AS VARCHAR), n
 UNION ALL SELECT 'top_domains', CAST(week AS VARCHAR), domain, num FROM top_domains""")
 def weekly_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six report files, written and read back as one list."""
-    paths = jobs.weekly_report(_user_hour(spark, sf_dir), work_dir(spark, "report"))
+    root = work_dir(spark, "report")
+    _user_hour(spark, sf_dir).write.parquet(f"{root}/user_hour")
+    paths = jobs.weekly_report(spark.read.parquet(f"{root}/user_hour"), root)
     number = F.col("num").cast("double").alias("num")
     columns = {
         "average": ("week INT, avg DOUBLE", "week", F.lit(""), F.round("avg", 6).alias("num")),

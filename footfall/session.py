@@ -22,6 +22,7 @@ SETTINGS = {
     # Streaming counts are kept on local disk of the executors, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
 

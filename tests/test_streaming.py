@@ -1,0 +1,180 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.operators import facts
+from footfall.sources import messages, raw_log, synthetic
+from footfall.streaming import hourly, ingest
+from tests.conftest import at, day, rows
+
+GOOD = "2015-05-08 13:13:19.0"
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    """A folder that stands in for a topic; each send adds a file."""
+    folder = tmp_path / "topic"
+    folder.mkdir()
+    sent = []
+
+    def send(*values):
+        sent.append(values)
+        (folder / f"{len(sent):05}.txt").write_text("\n".join(values) + "\n")
+
+    send.stream = lambda: messages.read_stream(
+        spark, "text", path=str(folder), maxFilesPerTrigger="1"
+    )
+    return send
+
+
+def test_last_batch_wins_and_rejects_are_kept(spark, tmp_path, topic):
+    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "cp")
+    topic(f"U1@0@D1@{GOOD}", "bad@1", f"U1@2@D2@{GOOD}")
+    topic(f"U1@1@D1@{GOOD}", "U4@1@D4@2015-05-09 00:00:00.0@extra", "U3@1@D3@")
+    ingest.drain(ingest.ingest(topic.stream(), store, checkpoint, writers=5))
+    events = ingest.read_events(spark, store)
+    assert rows(events.select("ts", "user_id", "article_id", "behavior")) == [
+        (at("2015-05-08 13:13:19"), "U1", "D1", "1"),
+        (at("2015-05-08 13:13:19"), "U1", "D2", "2"),
+        (at("2015-05-09 00:00:00"), "U4", "D4", "1"),
+    ]
+    assert rows(ingest.read_rejects(spark, store)) == [(0, "bad@1"), (1, "U3@1@D3@")]
+    assert ingest.read_events(spark, store, first_day="2015-05-09").count() == 1
+    assert ingest.read_events(spark, store, last_day="2015-05-08").count() == 2
+
+
+def test_last_line_of_a_batch_wins(spark, tmp_path, topic):
+    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "cp")
+    topic(*(f"U1@{code}@D1@{GOOD}" for code in "210"))
+    ingest.drain(ingest.ingest(topic.stream(), store, checkpoint))
+    assert [r.behavior for r in ingest.read_events(spark, store).collect()] == ["0"]
+
+
+def test_restart_goes_on_and_a_repeated_batch_leaves_no_doubles(spark, tmp_path, topic):
+    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "cp")
+    topic(f"U1@0@D1@{GOOD}")
+    ingest.drain(ingest.ingest(topic.stream(), store, checkpoint))
+    topic(f"U2@0@D1@{GOOD}")
+    ingest.drain(ingest.ingest(topic.stream(), store, checkpoint))
+    assert ingest.read_ingested(spark, store).count() == 2
+    batch = spark.createDataFrame(
+        [(f"U2@0@D1@{GOOD}", None, None, None, None)],
+        "value STRING, topic STRING, sent_at TIMESTAMP, part INT, pos BIGINT",
+    )
+    ingest.write_batch(batch, 1, store)
+    ingest.write_batch(batch, 1, store)
+    assert ingest.read_ingested(spark, store).count() == 2
+
+
+def test_offsets_tell_the_order_where_the_source_has_them(spark, tmp_path):
+    store = str(tmp_path / "store")
+    batch = spark.createDataFrame(
+        [
+            (f"U1@0@D1@{GOOD}", "t", at("2024-01-01 00:00:01"), 0, 5),
+            (f"U1@1@D1@{GOOD}", "t", at("2024-01-01 00:00:02"), 1, 2),
+            (f"U1@2@D1@{GOOD}", "t", at("2024-01-01 00:00:02"), 1, 1),
+        ],
+        "value STRING, topic STRING, sent_at TIMESTAMP, part INT, pos BIGINT",
+    )
+    ingest.write_batch(batch, 0, store)
+    assert [r.behavior for r in ingest.read_events(spark, store).collect()] == ["1"]
+
+
+def test_compaction_keeps_the_resolved_events_by_day(spark, tmp_path, topic):
+    store, checkpoint, target = (str(tmp_path / n) for n in ("store", "cp", "target"))
+    topic(f"U1@0@D1@{GOOD}", "U4@1@D4@2015-05-09 00:00:00.0")
+    topic(f"U1@1@D1@{GOOD}")
+    ingest.drain(ingest.ingest(topic.stream(), store, checkpoint))
+    ingest.compact_days(spark, store, target)
+    ingest.compact_days(spark, store, target, "2015-05-08", "2015-05-08")
+    compacted = spark.read.parquet(target).select("day", "user_id", "behavior")
+    assert rows(compacted) == [(day("2015-05-08"), "U1", "1"), (day("2015-05-09"), "U4", "1")]
+
+
+def test_start_ingest_runs_at_an_interval(spark, tmp_path, topic):
+    store, checkpoint = str(tmp_path / "store"), str(tmp_path / "cp")
+    topic(f"U1@0@D1@{GOOD}")
+    query = ingest.start_ingest(topic.stream(), store, checkpoint, every="1 second")
+    try:
+        query.processAllAvailable()
+        assert ingest.read_ingested(spark, store).count() == 1
+    finally:
+        query.stop()
+
+
+def test_hourly_streams_equal_the_batch_counts(spark, tmp_path, topic, make_articles):
+    articles = make_articles(D1="java", D2="python")
+    sent = [
+        ["U1@0@D1@2015-05-08 13:13:19.0", "U1@0@D1@2015-05-08 13:59:19.5", "U2@1@D9@2015-05-08 13:00:00.0"],
+        ["U1@0@D1@2015-05-08 13:59:59.0", "U1@1@D2@2015-05-08 14:00:00.0", "oops"],
+        ["U2@1@D2@2015-05-08 16:30:00.0"],
+    ]
+    for values in sent:
+        topic(*values)
+    flat = spark.createDataFrame([(v,) for part in sent for v in part], "value STRING")
+    events = raw_log.parse_messages(flat).filter("status = 'ok'")
+    pairs = [
+        (hourly.stream_article_hours, facts.article_hour_counts, "a"),
+        (hourly.stream_user_hours, facts.user_hour_counts, "u"),
+    ]
+    for streamed, batch, name in pairs:
+        counts = streamed(hourly.event_stream(topic.stream()), articles)
+        store, checkpoint = str(tmp_path / f"s{name}"), str(tmp_path / f"c{name}")
+        ingest.drain(hourly.keep_hourly(counts, store, checkpoint))
+        wanted = batch(events, articles)
+        found = hourly.read_hourly(spark, store).select(*wanted.columns)
+        assert rows(found) == rows(wanted)
+
+
+def test_events_after_the_delay_are_not_counted(spark, tmp_path, topic, make_articles):
+    topic("U1@0@D1@2015-05-08 13:13:19.0")
+    topic("U1@0@D1@2015-05-08 18:00:00.0")
+    topic("U1@0@D1@2015-05-08 18:30:00.0")
+    topic("U1@0@D1@2015-05-08 13:14:00.0")
+    counts = hourly.stream_user_hours(
+        hourly.event_stream(topic.stream()), make_articles(D1="java")
+    )
+    ingest.drain(hourly.keep_hourly(counts, str(tmp_path / "s"), str(tmp_path / "c")))
+    found = hourly.read_hourly(spark, str(tmp_path / "s")).select("hour", "num")
+    assert rows(found) == [(at("2015-05-08 13:00:00"), 1), (at("2015-05-08 18:00:00"), 2)]
+
+
+def test_console_tap_prints(spark, tmp_path, topic):
+    topic("hello topic")
+    query = (
+        messages.console_tap(topic.stream())
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    progress = query.recentProgress[0]
+    assert "Console" in progress["sink"]["description"]
+    assert progress["numInputRows"] == 1
+
+
+def test_publish_then_read(spark, tmp_path):
+    made = synthetic.synthetic_events(spark, 50)
+    path = str(tmp_path / "made")
+    messages.publish(made, fmt="text", path=path)
+    stream = messages.read_stream(spark, "text", path=path)
+    assert stream.isStreaming
+    assert stream.columns == ["value", "topic", "sent_at", "part", "pos"]
+    query = stream.writeStream.format("memory").queryName("made").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("made").count() == 50
+
+
+def test_synthetic_stream(spark):
+    assert synthetic.synthetic_stream(spark).columns == ["key", "value"]
+    query = (
+        synthetic.synthetic_stream(spark, per_second=50)
+        .writeStream.format("memory").queryName("ticks").start()
+    )
+    try:
+        query.processAllAvailable()
+        found = spark.table("ticks").filter(~F.col("value").endswith(F.col("key"))).count()
+        assert found == 0
+    finally:
+        query.stop()
