@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,7 +22,10 @@ def topic(spark, tmp_path):
 
     def send(*values):
         sent.append(values)
-        (folder / f"{len(sent):05}.txt").write_text("\n".join(values) + "\n")
+        file = folder / f"{len(sent):05}.txt"
+        file.write_text("\n".join(values) + "\n")
+        # The source takes files by age.
+        os.utime(file, (1_700_000_000 + len(sent), 1_700_000_000 + len(sent)))
 
     send.stream = lambda: messages.read_stream(
         spark, "text", path=str(folder), maxFilesPerTrigger="1"
