@@ -60,6 +60,9 @@ def collapse_cells(latest: DataFrame, max_cells: int = 50_000) -> DataFrame:
     ``latest`` holds one row per time, user and article (``latest_behavior``).
     A time and user with more than ``max_cells`` cells is spread over several
     rows, numbered by ``part``, so no single row or task has to hold them all.
+    The join on large keys is an outer join whose left side adaptive execution
+    can split; the explicit shuffle by part keeps Spark from collecting all
+    parts of a key where that join left them.
     """
     row = ["ts", "user_id"]
     large = (
@@ -68,7 +71,10 @@ def collapse_cells(latest: DataFrame, max_cells: int = 50_000) -> DataFrame:
         .filter(F.col("parts") > 1)
     )
     part = F.pmod(F.xxhash64("article_id"), F.coalesce("parts", F.lit(1))).cast("int")
-    spread = latest.join(large, row, "left").select(*latest.columns, part.alias("part"))
+    spread = latest.join(large, row, "left").select(
+        *row, "article_id", "behavior", part.alias("part")
+    )
+    spread = spread.repartition(*row, "part")
     cells = F.map_from_entries(F.collect_list(F.struct("article_id", "behavior")))
     return spread.groupBy(*row, "part").agg(cells.alias("cells"))
 

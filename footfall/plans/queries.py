@@ -364,9 +364,8 @@ SELECT {_MESSAGE_SQL} AS msg,
        row_number() OVER (ORDER BY ts, user_id, article_id, behavior) - 1 AS position FROM b""")
 def replay_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages with their place in the replay order."""
-    order = ["ts", "user_id", "article_id", "behavior"]
     value = text.message(F.col("user_id"), F.col("behavior"), F.col("article_id"), F.col("ts"))
-    return search.with_positions(events(spark, sf_dir), order).select(
+    return search.with_positions(events(spark, sf_dir), raw_log.EVENT_ORDER).select(
         value.alias("msg"), "position"
     )
 

@@ -17,6 +17,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Sides estimated or measured below this are broadcast; larger ones are
+    # shuffled, and hashed instead of sorted where every partition's share of
+    # the smaller side is measured below the second limit.
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Only the day partitions present in a written frame are replaced.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Streaming counts are kept on local disk of the executors, not on the heap.

@@ -9,6 +9,8 @@ from footfall.functions.text import RAW_LOG_MARK, message, message_fields
 from footfall.functions.timeparts import parse_time
 from footfall.schemas import RAW_LOG
 
+EVENT_ORDER = ("ts", "user_id", "article_id", "behavior")
+
 
 def read_behavior_log(spark: SparkSession, path: str) -> DataFrame:
     """Log lines as text fields; a field a line lacks is null, extra ones are dropped.
@@ -37,11 +39,12 @@ def log_events(log: DataFrame) -> DataFrame:
 def to_messages(events: DataFrame) -> DataFrame:
     """Events as messages in time order.
 
-    Users and articles extend the sort key, so a moment shared by very many
-    events is spread over the sort's partitions.
+    The other columns (and ``seq``, if there is one) extend the sort key, so a
+    moment shared by very many events is spread over the sort's partitions.
     """
     value = message(F.col("user_id"), F.col("behavior"), F.col("article_id"), F.col("ts"))
-    return events.orderBy("ts", "user_id", "article_id", "behavior").select(value.alias("value"))
+    order = [name for name in (*EVENT_ORDER, "seq") if name in events.columns]
+    return events.orderBy(*order).select(value.alias("value"))
 
 
 def parse_messages(messages: DataFrame, *carried: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from footfall.schemas import ARTICLES
+
 
 def register(df: DataFrame, name: str) -> DataFrame:
     """Make ``df`` known to SQL as ``name``."""
@@ -12,6 +14,11 @@ def register(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def as_articles(df: DataFrame) -> DataFrame:
+    """An article table of any column names, by position, as the dimension."""
+    return df.toDF(*ARTICLES.names)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -109,11 +109,35 @@ def test_a_large_dimension_joins_by_shuffle_and_a_hot_article_is_split(spark, co
     fact = facts.user_hour_counts(made, dimension)
     text = final_plan(fact)
     assert "BroadcastHashJoin" not in text
-    assert re.search(r"SortMergeJoin\(skew=true\)", text)
+    assert re.search(r"Join\(skew=true\)|Join.*skew=true", text)
     found = rows(fact.groupBy("domain").agg(F.sum("num"), F.count("*")))
     assert found == wanted
 
 
+def test_a_hot_wide_row_is_joined_and_collected_in_pieces(spark, conf):
+    latest = spark.range(0, 120_000, 1, 8).select(
+        (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval((F.col("id") / 1_000_000).cast("int"))).alias("ts"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .otherwise(F.concat(F.lit("U"), F.col("id") % 4_000)).alias("user_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("article_id"),
+        F.lit("1").alias("behavior"),
+    )
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "512KB")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    conf("spark.sql.shuffle.partitions", "16")
+    wide = cells.collapse_cells(latest, max_cells=1_000)
+    text = final_plan(wide)
+    assert re.search(r"Join\(skew=true\)", text)
+    collected = text.index("collect_list")
+    exchange = re.search(r"hashpartitioning\(ts#\d+, user_id#\d+, part#\d+", text)
+    assert collected < exchange.start() < text.index("Join(skew=true)")
+    assert wide.agg(F.sum(F.size("cells"))).first()[0] == 120_000
+
+
 def test_a_small_dimension_is_broadcast_without_a_hint(spark, skewed):
     made, dimension = skewed
     assert "BroadcastHashJoin" in final_plan(facts.article_hour_counts(made, dimension))

@@ -148,6 +148,13 @@ def test_append_table_goes_by_name(spark, tmp_path, make_user_hour):
     spark.sql("DROP TABLE act_num")
 
 
+def test_articles_by_position(spark):
+    df = spark.createDataFrame(
+        [("D1", "t", "0", "1", "java")], "passage STRING, Kind STRING, Top STRING, st STRING, dom STRING"
+    )
+    assert tables.as_articles(df).columns == ["article_id", "type", "is_top", "status", "domain"]
+
+
 def test_overwrite_days_replaces_only_the_days_given(spark, tmp_path):
     path = str(tmp_path / "fact")
     first = spark.createDataFrame(
