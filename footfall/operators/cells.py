@@ -11,6 +11,9 @@ from footfall.functions.timeparts import day_of
 
 EVENT_KEY = ("ts", "user_id", "article_id")
 
+# Tasks over which the cells of one very wide row are joined.
+SALTS = 256
+
 
 def latest_behavior(
     events: DataFrame,
@@ -60,21 +63,26 @@ def collapse_cells(latest: DataFrame, max_cells: int = 50_000) -> DataFrame:
     ``latest`` holds one row per time, user and article (``latest_behavior``).
     A time and user with more than ``max_cells`` cells is spread over several
     rows, numbered by ``part``, so no single row or task has to hold them all.
-    The join on large keys is an outer join whose left side adaptive execution
-    can split; the explicit shuffle by part keeps Spark from collecting all
-    parts of a key where that join left them.
     """
     row = ["ts", "user_id"]
-    large = (
-        latest.groupBy(*row)
-        .agg(F.ceil(F.count("*") / F.lit(max_cells)).cast("int").alias("parts"))
-        .filter(F.col("parts") > 1)
-    )
-    part = F.pmod(F.xxhash64("article_id"), F.coalesce("parts", F.lit(1))).cast("int")
-    spread = latest.join(large, row, "left").select(
-        *row, "article_id", "behavior", part.alias("part")
+    parts = F.ceil(F.count("*") / F.lit(max_cells)).cast("int")
+    large = latest.groupBy(*row).agg(parts.alias("parts")).filter(F.col("parts") > 1)
+    # The few large keys meet their cells under a salt made from the article,
+    # so the cells of one key are joined in SALTS tasks and not in one.
+    cell_hash = F.xxhash64("article_id")
+    salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = (
+        latest.withColumn("salt", F.pmod(cell_hash, F.lit(SALTS)).cast("int"))
+        .join(salted, [*row, "salt"], "left")
+        .select(
+            *row,
+            "article_id",
+            "behavior",
+            F.pmod(F.xxhash64("article_id", F.lit("part")), F.coalesce("parts", F.lit(1)))
+            .cast("int")
+            .alias("part"),
+        )
     )
-    spread = spread.repartition(*row, "part")
     cells = F.map_from_entries(F.collect_list(F.struct("article_id", "behavior")))
     return spread.groupBy(*row, "part").agg(cells.alias("cells"))
 

@@ -21,11 +21,13 @@ def unique_articles(articles: DataFrame) -> DataFrame:
     """One row per article id, for a dimension that may hold an id twice.
 
     The joins below repeat an event's count for every dimension row of its id.
-    The row kept is the one with the smallest remaining values.
+    The row kept is the one with the smallest remaining values. Rebalancing
+    afterwards lets a join on the id shuffle both its sides, which is what
+    splitting the partition of a hot article takes.
     """
     others = [name for name in articles.columns if name != "article_id"]
     first = articles.groupBy("article_id").agg(F.min(F.struct(*others)).alias("row"))
-    return first.select("article_id", "row.*").select(*articles.columns)
+    return first.select("article_id", "row.*").select(*articles.columns).hint("rebalance")
 
 
 def _domains(articles: DataFrame) -> DataFrame:
