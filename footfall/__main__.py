@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import cells, facts, search
 from footfall.plans import jobs
-from footfall.session import build_session
+from footfall.session import MIB, build_session, size_settings
 from footfall.sources import messages, raw_log, tables
 from footfall.streaming import ingest
 
@@ -100,6 +100,8 @@ def find(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="footfall")
+    top.add_argument("--data-gib", type=float, default=0, help="size of the data read")
+    top.add_argument("--cores", type=int, default=8, help="cores of all executors")
     commands = top.add_subparsers(required=True)
 
     def command(name, job, *needed, **optional):
@@ -118,7 +120,7 @@ def parser() -> argparse.ArgumentParser:
     command("replay", replay, "log", "topic", "servers")
     command("ingest", run_ingest, "servers", "topics", "store", "checkpoint", every="10 seconds")
     command("hourly", hourly, "store", "articles", "facts",
-            articles_table="articleInfo", start=None, stop=None)
+            articles_table="articles", start=None, stop=None)
     command("daily", daily, "facts", first_day=None, last_day=None)
     command("weekly", weekly, "facts", "out", n=10, with_year=False)
     command("compare", compare, "facts")
@@ -129,7 +131,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = build_session(f"footfall {args.job.__name__}")
+    sizes = size_settings(int(args.data_gib * 1024 * MIB), args.cores) if args.data_gib else {}
+    spark = build_session(f"footfall {args.job.__name__}", **sizes)
     args.job(spark, args)
 
 

@@ -67,13 +67,14 @@ def collapse_cells(latest: DataFrame, max_cells: int = 50_000) -> DataFrame:
     row = ["ts", "user_id"]
     parts = F.ceil(F.count("*") / F.lit(max_cells)).cast("int")
     large = latest.groupBy(*row).agg(parts.alias("parts")).filter(F.col("parts") > 1)
-    # The few large keys meet their cells under a salt made from the article,
-    # so the cells of one key are joined in SALTS tasks and not in one.
-    cell_hash = F.xxhash64("article_id")
+    # Large keys meet their cells under a salt made from the article, so the
+    # cells of one key are joined in SALTS tasks and not in one. The number of
+    # large keys has no bound and Spark does not see that the salts multiply
+    # them, so a broadcast is ruled out.
     salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread = (
-        latest.withColumn("salt", F.pmod(cell_hash, F.lit(SALTS)).cast("int"))
-        .join(salted, [*row, "salt"], "left")
+        latest.withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(SALTS)).cast("int"))
+        .join(salted.hint("shuffle_merge"), [*row, "salt"], "left")
         .select(
             *row,
             "article_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -32,6 +33,25 @@ SETTINGS = {
 }
 
 
+MIB = 1 << 20
+
+
+def size_settings(data_bytes: int, cores: int) -> dict[str, str]:
+    """Split sizes for jobs that read about ``data_bytes`` on ``cores``.
+
+    Adaptive execution merges shuffle partitions that turn out small but never
+    adds any, so their number starts from the data: one per 512 MiB read, at
+    least two per core. Scans take larger splits on larger data, which keeps the
+    number of shuffle blocks (tasks times partitions) in bounds.
+    """
+    partitions = max(2 * cores, min(50_000, math.ceil(data_bytes / (512 * MIB))))
+    split = min(512 * MIB, max(128 * MIB, data_bytes // (50 * cores)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     """Session with the settings above; ``settings`` (dots as ``__``) override them."""
     builder = SparkSession.builder.appName(app_name)

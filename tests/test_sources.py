@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.sources import messages, raw_log, synthetic, tables
-from footfall.session import work_dir
+from footfall.session import MIB, size_settings, work_dir
 from tests.conftest import at, day, rows
 
 
@@ -213,3 +213,12 @@ def test_work_dir_uses_the_named_folder():
 def test_work_dir_refuses_a_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_dir(FakeSession(), "x")
+
+
+def test_sizes_follow_the_data():
+    small = size_settings(10 * MIB, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * MIB)
+    large = size_settings(100 * 1024 * 1024 * MIB, 4_000)
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert large["spark.sql.files.maxPartitionBytes"] == str(512 * MIB)
