@@ -11,7 +11,7 @@ from footfall.functions.timeparts import day_of
 
 EVENT_KEY = ("ts", "user_id", "article_id")
 
-# Tasks over which the cells of one very wide row are joined.
+# Tasks over which the cells of one very wide row are joined, at most.
 SALTS = 256
 
 
@@ -68,12 +68,13 @@ def collapse_cells(latest: DataFrame, max_cells: int = 50_000) -> DataFrame:
     parts = F.ceil(F.count("*") / F.lit(max_cells)).cast("int")
     large = latest.groupBy(*row).agg(parts.alias("parts")).filter(F.col("parts") > 1)
     # Large keys meet their cells under a salt made from the article, so the
-    # cells of one key are joined in SALTS tasks and not in one. The number of
-    # large keys has no bound and Spark does not see that the salts multiply
-    # them, so a broadcast is ruled out.
-    salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # cells of one key are joined in many tasks and not in one. With no more
+    # salts than cells in a row, the salted keys are fewer than the cells. Spark
+    # does not see that salting multiplies them, so a broadcast is ruled out.
+    salts = min(SALTS, max_cells)
+    salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = (
-        latest.withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(SALTS)).cast("int"))
+        latest.withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(salts)).cast("int"))
         .join(salted.hint("shuffle_merge"), [*row, "salt"], "left")
         .select(
             *row,

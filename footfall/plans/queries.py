@@ -6,6 +6,7 @@ runs over whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,7 @@ from footfall.plans import jobs
 from footfall.plans.tables import articles, events, table, visits
 from footfall.session import work_dir
 from footfall.sources import messages, raw_log
-from footfall.sources.tables import register
+from footfall.sources.tables import append_table, read_table, register
 from footfall.streaming import hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -260,6 +261,17 @@ def stored_domain_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(stores[0].unionByName(stores[1]))
 
 
+@query("SELECT hour, user_id, domain, num FROM user_hour UNION ALL SELECT * EXCLUDE (day) FROM user_hour")
+def appended_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The activity fact appended twice to a table of the catalog and read by name."""
+    path = work_dir(spark, "act-num")
+    name = f"act_num_{path[-32:]}"
+    fact = _user_hour(spark, sf_dir).withColumn("day", F.to_date("hour"))
+    append_table(fact, name, path=path)
+    append_table(fact, name)
+    return _shown(read_table(spark, name).drop("day"))
+
+
 # --- stored behaviour ----------------------------------------------------------
 
 
@@ -757,6 +769,18 @@ def temp_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT CAST(day AS VARCHAR) AS day, article_id, behavior, num FROM article_day
+WHERE day > DATE '2024-01-10' OR (day = DATE '2024-01-10' AND (num > 1 OR (num = 1 AND
+  (article_id > 43 OR (article_id = 43 AND behavior > '1')))))
+ORDER BY article_day.day, num, article_id, behavior LIMIT 25""")
+def result_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page that follows a given row."""
+    rows = _article_day(spark, sf_dir).select("day", "num", "article_id", "behavior")
+    last = {"day": dt.date(2024, 1, 10), "num": 1, "article_id": 43, "behavior": "1"}
+    return _shown(search.page_after(rows, list(last), last, size=25))
+
+
 # --- streams -------------------------------------------------------------------
 
 
@@ -790,6 +814,33 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(ts AS VARCHAR) AS time,
+       CAST(user_id AS VARCHAR) AS user_id, CAST(article_id AS VARCHAR) AS article_id,
+       CASE event_type WHEN 'click' THEN '9' ELSE behavior END AS behavior
+FROM b""")
+def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the second changing some behaviours, compacted by day."""
+    root = work_dir(spark, "compact")
+    kind = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), "event_type")
+    changed = events(spark, sf_dir).join(kind.filter("event_type = 'click'"), "seq")
+    for number, batch in enumerate(
+        [events(spark, sf_dir), changed.withColumn("behavior", F.lit("9"))]
+    ):
+        no_order = {"sent_at": "timestamp", "part": "int", "pos": "bigint"}
+        sent = raw_log.to_messages(batch).withColumns(
+            {name: F.lit(None).cast(kind) for name, kind in no_order.items()}
+        )
+        ingest.write_batch(sent, number, f"{root}/store")
+    ingest.compact_days(spark, f"{root}/store", f"{root}/events")
+    stored = spark.read.parquet(f"{root}/events")
+    return _shown(
+        stored.select(
+            "day", F.col("ts").cast("string").alias("time"), "user_id", "article_id", "behavior"
+        )
+    )
+
+
 @query("""
 SELECT 'rejected' AS status, user_id || '@' || behavior || '@' || article_id AS value, count(*) AS num
 FROM b WHERE event_type = 'signup' GROUP BY ALL
