@@ -69,13 +69,14 @@ def collapse_cells(latest: DataFrame, max_cells: int = 50_000) -> DataFrame:
     large = latest.groupBy(*row).agg(parts.alias("parts")).filter(F.col("parts") > 1)
     # Large keys meet their cells under a salt made from the article, so the
     # cells of one key are joined in many tasks and not in one. With no more
-    # salts than cells in a row, the salted keys are fewer than the cells. Spark
-    # does not see that salting multiplies them, so a broadcast is ruled out.
+    # salts than cells in a row, the salted keys are fewer than the cells, so
+    # Spark broadcasts them only where it would broadcast the cells themselves
+    # or has measured them.
     salts = min(SALTS, max_cells)
     salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = (
         latest.withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(salts)).cast("int"))
-        .join(salted.hint("shuffle_merge"), [*row, "salt"], "left")
+        .join(salted, [*row, "salt"], "left")
         .select(
             *row,
             "article_id",

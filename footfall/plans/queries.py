@@ -261,7 +261,9 @@ def stored_domain_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(stores[0].unionByName(stores[1]))
 
 
-@query("SELECT hour, user_id, domain, num FROM user_hour UNION ALL SELECT * EXCLUDE (day) FROM user_hour")
+@query("""
+SELECT hour, user_id, domain, num FROM user_hour
+UNION ALL SELECT hour, user_id, domain, num FROM user_hour""")
 def appended_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The activity fact appended twice to a table of the catalog and read by name."""
     path = work_dir(spark, "act-num")

@@ -12,8 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from footfall.functions.timeparts import as_instant, day_of, from_instant
+from footfall.session import MIB
 from footfall.sources.raw_log import parse_messages
 
+# A dimension measured up to this size is broadcast to a stream's tasks.
+BROADCAST_BYTES = 32 * MIB
+# Bytes of a dimension row besides its domain text, at least.
+ROW_BYTES = 32
+# Tasks over which a hot article's events are joined with a larger dimension.
+SALTS = 16
+
 
 def event_stream(messages: DataFrame) -> DataFrame:
     """The readable messages of a stream as events."""
@@ -44,8 +52,29 @@ def stream_user_hours(
     events: DataFrame, articles: DataFrame, delay: str = "1 hour"
 ) -> DataFrame:
     """Events per hour, user and domain."""
-    located = events.join(articles.select("article_id", "domain"), "article_id")
-    return _per_hour(located, delay, "user_id", "domain")
+    return _per_hour(_with_domain(events, articles), delay, "user_id", "domain")
+
+
+def _with_domain(events: DataFrame, articles: DataFrame) -> DataFrame:
+    """Events with their article's domain.
+
+    Adaptive execution, which splits hot articles in batch jobs, is off in
+    stateful streams. So the dimension is measured once, when the stream is
+    built: a small one is broadcast, a large one is joined under a salt, which
+    spreads a hot article over SALTS tasks.
+    """
+    domains = articles.select("article_id", "domain")
+    width = F.octet_length(F.col("domain").cast("string")) + F.lit(ROW_BYTES)
+    size = domains.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        return events.join(F.broadcast(domains), "article_id")
+    salted = domains.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("user_id", "ts"), F.lit(SALTS)).cast("int")
+    return (
+        events.withColumn("salt", salt)
+        .join(salted.hint("shuffle_merge"), ["article_id", "salt"])
+        .drop("salt")
+    )
 
 
 def keep_hourly(counts: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:

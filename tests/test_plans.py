@@ -42,6 +42,10 @@ def test_rankings_are_cut_before_the_shuffle(spark, make_user_hour, report):
     assert re.search(r"WindowGroupLimit .*Final", text)
 
 
+def test_a_page_is_a_top_k(spark):
+    assert "TakeOrderedAndProject" in plan(queries.QUERIES["result_page"](spark, SMALL))
+
+
 def test_scans_read_only_the_columns_used(spark):
     text = plan(facts.user_hour_counts(events(spark, SMALL), articles(spark, SMALL)))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,props:string>" in text

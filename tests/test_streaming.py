@@ -108,7 +108,11 @@ def test_start_ingest_runs_at_an_interval(spark, tmp_path, topic):
         query.stop()
 
 
-def test_hourly_streams_equal_the_batch_counts(spark, tmp_path, topic, make_articles):
+@pytest.mark.parametrize("broadcast_bytes", [hourly.BROADCAST_BYTES, 0])
+def test_hourly_streams_equal_the_batch_counts(
+    spark, tmp_path, topic, make_articles, monkeypatch, broadcast_bytes
+):
+    monkeypatch.setattr(hourly, "BROADCAST_BYTES", broadcast_bytes)
     articles = make_articles(D1="java", D2="python")
     sent = [
         ["U1@0@D1@2015-05-08 13:13:19.0", "U1@0@D1@2015-05-08 13:59:19.5", "U2@1@D9@2015-05-08 13:00:00.0"],
