@@ -22,7 +22,11 @@ from footfall.streaming import ingest
 
 def _articles(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.articles.startswith("jdbc:"):
-        found = tables.read_jdbc(spark, args.articles, args.articles_table)
+        split = None
+        if args.articles_split:
+            column, low, high, parts = args.articles_split.split(",")
+            split = (column, low, high, int(parts))
+        found = tables.read_jdbc(spark, args.articles, args.articles_table, split=split)
     else:
         found = spark.read.parquet(args.articles)
     return facts.unique_articles(tables.as_articles(found))
@@ -120,7 +124,7 @@ def parser() -> argparse.ArgumentParser:
     command("replay", replay, "log", "topic", "servers")
     command("ingest", run_ingest, "servers", "topics", "store", "checkpoint", every="10 seconds")
     command("hourly", hourly, "store", "articles", "facts",
-            articles_table="articles", start=None, stop=None)
+            articles_table="articles", articles_split=None, start=None, stop=None)
     command("daily", daily, "facts", first_day=None, last_day=None)
     command("weekly", weekly, "facts", "out", n=10, with_year=False)
     command("compare", compare, "facts")

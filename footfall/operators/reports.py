@@ -5,7 +5,9 @@ Weeks are calendar week numbers; weeks of different years share a number unless
 ``with_year`` adds the Monday of the week to the key.
 
 Rankings use ``row_number``, which Spark cuts to the first n rows per group in
-each task before the shuffle. Ties go to the smaller remaining columns.
+each task before the shuffle, for n up to
+``spark.sql.optimizer.windowGroupLimitThreshold``. Ties go to the smaller
+remaining columns.
 """
 
 from __future__ import annotations
