@@ -574,7 +574,9 @@ def top_domains_per_week(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _list_text() -> Column:
-    shown = F.transform("entries", lambda e: F.concat_ws(":", e["key"].cast("string"), e["num"].cast("string")))
+    shown = F.transform(
+        "entries", lambda e: F.concat_ws(":", e["key"].cast("string"), e["num"].cast("string"))
+    )
     return F.array_join(shown, ";").alias("entries")
 
 
@@ -831,7 +833,7 @@ def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ):
         no_order = {"sent_at": "timestamp", "part": "int", "pos": "bigint"}
         sent = raw_log.to_messages(batch).withColumns(
-            {name: F.lit(None).cast(kind) for name, kind in no_order.items()}
+            {name: F.lit(None).cast(dtype) for name, dtype in no_order.items()}
         )
         ingest.write_batch(sent, number, f"{root}/store")
     ingest.compact_days(spark, f"{root}/store", f"{root}/events")
