@@ -20,9 +20,9 @@ from pyspark.sql import types as T
 from footfall.llm import arrow, rolling
 
 # Most per cent of a text's word characters under repeated windows of so many words.
-GRAM_LIMITS = {5: 30, 8: 25, 10: 20}
+GRAM_LIMITS = {3: 50, 5: 40, 8: 35, 10: 35}
 # Most per cent of a text's word characters in lines that appear more than once.
-LINE_LIMIT = 30
+LINE_LIMIT = 40
 MIN_WORDS = 20
 REPEAT_WORDS = 8
 REPEAT_LIMIT = 30

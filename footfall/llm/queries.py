@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import quality, urls
+from footfall.llm import bitplanes, bpe, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +95,37 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_quality(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+# --- 2: token ids in shuffled planes -------------------------------------------
+
+
+@query()
+def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode, write the chunk files, and digest what is read back from them."""
+    docs = read(spark, sf_dir, "documents")
+    chunks = bitplanes.encode_chunks(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    stored = bitplanes.decode_chunks(bitplanes.write_chunks(chunks))
+    return stored.select(
+        "doc_id", "start",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+# --- 7: byte-level BPE ---------------------------------------------------------
+
+
+@query()
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text")
+    return bpe.decode(coded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 # --- 10: url filters -----------------------------------------------------------
 
 
