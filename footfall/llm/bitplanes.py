@@ -129,8 +129,8 @@ def encode_chunks(
             )
 
         for batch in batches:
-            for name, body in zip(batch.column(0), batch.column(1), strict=True):
-                ids = encode(body.as_py() or "") + end
+            for name, ids in zip(batch.column(0), encode(arrow.texts_of(batch.column(1))), strict=True):
+                ids += end
                 names.append(name.as_py())
                 lengths.append(len(ids) // 4)
                 parts.append(ids)

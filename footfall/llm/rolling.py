@@ -11,8 +11,8 @@ import numpy as np
 import pandas as pd
 
 _rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(0, 1 << 64, 256, np.uint64)
-_BASE = 0x9E3779B97F4A7C15 | 1
+_BYTE = _rng.integers(0, 1 << 64, (2, 256), np.uint64)
+_BASE = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
 _GRAM = 0xD1342543DE82EF95 | 1
 
 SPACE = np.zeros(256, bool)
@@ -62,12 +62,13 @@ def prefix_sums(values: np.ndarray, base: int) -> np.ndarray:
     return sums
 
 
-def byte_sums(data: np.ndarray) -> np.ndarray:
-    return prefix_sums(_BYTE[data], _BASE)
+def byte_sums(data: np.ndarray, which: int = 0) -> np.ndarray:
+    """Prefix sums for ``span_hashes``; ``which`` (0 or 1) names one of two independent hashes."""
+    return prefix_sums(_BYTE[which][data], _BASE[which])
 
 
-def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    _, down = powers(_BASE, len(sums))
+def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    _, down = powers(_BASE[which], len(sums))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
