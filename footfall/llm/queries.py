@@ -12,7 +12,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import bitplanes, bpe, quality, urls
+from footfall.llm import (
+    bitplanes,
+    boilerplate,
+    bpe,
+    multi_index,
+    packing,
+    ppm,
+    quality,
+    store,
+    toxicity,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +121,45 @@ def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 3: nearest neighbours -----------------------------------------------------
+
+
+@query()
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# --- 4: language identification ------------------------------------------------
+
+
+@query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = ppm.fit(docs)
+    found = ppm.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", ppm.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+# --- 5: best-fit packing -------------------------------------------------------
+
+
+@query()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    pieces = store.written(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "pieces")
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+# --- 6: toxicity ---------------------------------------------------------------
+
+
+@query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.with_toxicity(docs.select("doc_id", "text"), model).drop("text")
+
+
 # --- 7: byte-level BPE ---------------------------------------------------------
 
 
@@ -126,6 +176,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 9: HTML extraction --------------------------------------------------------
+
+
+@query()
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.main_texts(read(spark, sf_dir, "pages"))
+
+
 # --- 10: url filters -----------------------------------------------------------
 
 
