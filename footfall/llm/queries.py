@@ -16,6 +16,7 @@ from footfall.llm import (
     bitplanes,
     boilerplate,
     bpe,
+    jaccard,
     multi_index,
     packing,
     ppm,
@@ -176,6 +177,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- 8: n-gram Jaccard join ----------------------------------------------------
+
+
+@query()
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 # --- 9: HTML extraction --------------------------------------------------------
 
 

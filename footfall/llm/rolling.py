@@ -106,6 +106,12 @@ def gram_hashes(sums: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray,
     return at, mix((sums[at + n] - sums[at]) * down[at] + np.uint64(n))
 
 
+def sequence_hash(sums: np.ndarray, first: int, last: int) -> np.ndarray:
+    """The hash of the words from ``first`` to before ``last``, as an array of one."""
+    _, down = powers(_GRAM, len(sums))
+    return mix((sums[last : last + 1] - sums[first : first + 1]) * down[first] + np.uint64(last - first))
+
+
 def per_text(doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Hashes that are equal only within one text."""
     return hashes ^ mix(doc.astype(np.uint64) + np.uint64(1))
