@@ -5,16 +5,14 @@ resolved whole by a minimal perfect hash (tier one). Any other piece is merged f
 its bytes: a heap holds the ranks of adjacent pairs of a doubly linked list of byte
 runs, and the lowest rank, leftmost first, is merged until none is left (tier two).
 
-Texts are cut between spaces first: a stretch that begins at a single space after a
-non-space is cut from its neighbours by the pattern in any case. Ids are remembered
-by stretch, up to a bound, so each distinct stretch is cut and merged about once per
-worker. Texts with other white space beside a space go through the pattern whole.
+Ids are worked out once for each distinct stretch of text between spaces (see
+``units``), up to a bound; the pattern and both tiers run on these.
 """
 
 from __future__ import annotations
 
 import base64
-import re
+from array import array
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -24,12 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from footfall.llm import arrow
-
-REMEMBERED = 1 << 20
-LONGEST = 64
-
-_NEAR_SPACE = re.compile(r"\s | \s")
+from footfall.llm import arrow, units
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -102,44 +95,39 @@ class TwoTier:
         self.whole = PerfectHash(entries)
         self.ranks = {entry: rank for rank, entry in enumerate(entries)}
         self.cut = regex.compile(pattern).findall
-        self.first: dict[str, list[int]] = {}
-        self.later: dict[str, list[int]] = {}
+        self.texts = units.Stretches(self.encode, keeps_spaces=True)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a piece by lowest rank first over linked byte runs."""
-        rank_of = self.ranks.get
-        n = len(piece)
-        left, right, end = list(range(-1, n - 1)), list(range(1, n + 1)), list(range(1, n + 1))
-        heap = []
-        for i in range(n - 1):
-            rank = rank_of(piece[i : i + 2])
-            if rank is not None:
-                heap.append((rank, i, i + 2))
+        rank_of, n = self.ranks.get, len(piece)
+        end = list(range(1, n + 1))  # of the run that starts here: also where the next one starts
+        before = list(range(-1, n - 1))  # where the run before this one starts
+        pair = [rank_of(piece[i : i + 2], -1) for i in range(n - 1)]  # rank of a run with the next one
+        pair.append(-1)
+        heap = [rank * n + i for i, rank in enumerate(pair) if rank >= 0]
         heapify(heap)
         while heap:
-            rank, i, stop = heappop(heap)
-            j = right[i]
-            # A pair is stale once either run has grown or been taken in.
-            if end[i] < 0 or j >= n or end[j] != stop:
-                continue
-            if rank_of(piece[i:stop]) != rank:
+            rank, i = divmod(heappop(heap), n)
+            if pair[i] != rank:  # one of the two has grown or been taken in since
                 continue
-            end[i], end[j] = stop, -1
-            k = right[i] = right[j]
-            if k < n:
-                left[k] = i
-                grown = rank_of(piece[i : end[k]])
+            j = end[i]
+            stop = end[i] = end[j]
+            pair[i] = pair[j] = -1
+            if stop < n:
+                before[stop] = i
+                grown = rank_of(piece[i : end[stop]])
                 if grown is not None:
-                    heappush(heap, (grown, i, end[k]))
-            h = left[i]
+                    pair[i] = grown
+                    heappush(heap, grown * n + i)
+            h = before[i]
             if h >= 0:
-                grown = rank_of(piece[h:stop])
-                if grown is not None:
-                    heappush(heap, (grown, h, stop))
+                grown = pair[h] = rank_of(piece[h:stop], -1)
+                if grown >= 0:
+                    heappush(heap, grown * n + h)
         ids, i = [], 0
         while i < n:
             ids.append(self.ranks[piece[i : end[i]]])
-            i = right[i]
+            i = end[i]
         return ids
 
     def pieces(self, text: str) -> list[int]:
@@ -153,22 +141,9 @@ class TwoTier:
                 ids += self.merge(body)
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        if _NEAR_SPACE.search(text):
-            return self.pieces(text)
-        ids: list[int] = []
-        kept, before = self.first, ""
-        for stretch in text.split(" "):
-            found = kept.get(stretch)
-            if found is None:
-                found = self.pieces(before + stretch)
-                if len(stretch) <= LONGEST:
-                    if len(kept) >= REMEMBERED:
-                        kept.clear()
-                    kept[stretch] = found
-            ids += found
-            kept, before = self.later, " "
-        return ids
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text."""
+        return array("I", self.pieces(text)).tobytes()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.entries.__getitem__, ids))
@@ -184,6 +159,12 @@ def coder(path: str, pattern: str) -> TwoTier:
     return _coders[path, pattern]
 
 
+def _list_of(found: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)]) // 4
+    flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+
 def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text") -> DataFrame:
     """Append ``ids``, the token ids of every whole text; a null text has none.
 
@@ -193,18 +174,8 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text") ->
     fields = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def make():
-        encode_text = coder(vocabulary, pattern).encode
-
-        def compute(texts):
-            values, ends = [], [0]
-            for body in texts:
-                ids = encode_text(body.as_py() or "")
-                values.append(np.array(ids, np.int32))
-                ends.append(ends[-1] + len(ids))
-            flat = np.concatenate(values) if values else np.empty(0, np.int32)
-            return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))]
-
-        return compute
+        texts = coder(vocabulary, pattern).texts
+        return lambda bodies: [_list_of(texts(arrow.texts_of(bodies)))]
 
     return arrow.add_columns(df, [text], fields, make)
 
@@ -214,12 +185,28 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
     fields = T.StructType([T.StructField("decoded", T.BinaryType())])
 
     def make():
-        entries = read_ranks(vocabulary)
-        at = entries.__getitem__
+        at = read_ranks(vocabulary).__getitem__
+        return lambda column: [
+            pa.array([b"".join(map(at, x.values.tolist())) if x.is_valid else b"" for x in column], pa.binary())
+        ]
+
+    return arrow.add_columns(df, [ids], fields, make)
 
-        def compute(column):
-            return [pa.array([b"".join(map(at, x.values.tolist())) if x.is_valid else b"" for x in column], pa.binary())]
+
+def round_trip(df: DataFrame, vocabulary: str, pattern: str, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the rows: append ``ids`` and ``decoded``."""
+    fields = T.StructType([
+        T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType()),
+    ])
+
+    def make():
+        both = coder(vocabulary, pattern)
+
+        def compute(bodies):
+            found = both.texts(arrow.texts_of(bodies))
+            decoded = [both.decode(np.frombuffer(ids, "<u4").tolist()) for ids in found]
+            return [_list_of(found), pa.array(decoded, pa.binary())]
 
         return compute
 
-    return arrow.add_columns(df, [ids], fields, make)
+    return arrow.add_columns(df, [text], fields, make)

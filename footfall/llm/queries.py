@@ -168,8 +168,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(coded, vocabulary).select(
+    return bpe.round_trip(docs, vocabulary, public_tokenizers.PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
