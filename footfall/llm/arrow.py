@@ -68,17 +68,22 @@ def add_columns(
     """
     rest = without(df, [] if keep else fields.names)
     read = list(dict.fromkeys([*rest, *needed]))
-    schema = T.StructType([df.schema[name] for name in rest] + ([] if keep else list(fields)))
+    names = rest if keep else rest + fields.names
+    # Plain names for the pass through Python, which takes none with dots.
+    plain = [f"c{i}" for i in range(len(names))]
+    kinds = [df.schema[name].dataType for name in rest] + ([] if keep else [field.dataType for field in fields])
+    schema = T.StructType([T.StructField(name, kind) for name, kind in zip(plain, kinds, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
             found = compute(*(batch.column(read.index(name)) for name in needed))
             if keep:
-                yield batch.select(list(range(len(rest)))).filter(pa.array(found))
+                yield batch.select(list(range(len(rest)))).filter(pa.array(found)).rename_columns(plain)
                 continue
             old = [batch.column(i) for i in range(len(rest))]
             new = [x if isinstance(x, pa.Array) else pa.array(x) for x in found]
-            yield pa.RecordBatch.from_arrays(old + new, names=schema.names)
+            yield pa.RecordBatch.from_arrays(old + new, names=plain)
 
-    return df.select(*(column(name) for name in read)).mapInArrow(run, schema)
+    inputs = df.select(*(column(name).alias(f"c{i}") for i, name in enumerate(read)))
+    return inputs.mapInArrow(run, schema).toDF(*names)

@@ -28,8 +28,10 @@ from footfall.llm import arrow, store, units
 CAPACITY = 2048
 # A bin with at most so many free places is final.
 SLACK = 8
-# Items packed together: in a partition's window, and in a group of a later round.
+# Items packed together: in a partition's window (as many, or as many bytes), and in a
+# group of a later round.
 WINDOW = 1 << 16
+WINDOW_BYTES = 1 << 26
 GROUP = 1 << 18
 
 PIECES = T.StructType([
@@ -130,7 +132,7 @@ def pack_locally(items: DataFrame, capacity: int, slack: int = SLACK, length: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 36
-        held, count = [], 0
+        held, count, size = [], 0, 0
 
         def pack() -> Iterator[pa.RecordBatch]:
             nonlocal first
@@ -144,10 +146,10 @@ def pack_locally(items: DataFrame, capacity: int, slack: int = SLACK, length: st
 
         for batch in batches:
             held.append(batch)
-            count += batch.num_rows
-            if count >= WINDOW:
+            count, size = count + batch.num_rows, size + batch.nbytes
+            if count >= WINDOW or size >= WINDOW_BYTES:
                 yield from pack()
-                held, count = [], 0
+                held, count, size = [], 0, 0
         if count:
             yield from pack()
 
@@ -177,9 +179,11 @@ def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, length:
     equal in all columns are still placed each for itself. An empty table gives none.
     """
     names = arrow.without(items, ["sequence_id", "offset", "bin", "place"])
-    items = items.select(*(arrow.column(name) for name in names))
-    placed = store.written(pack_locally(items, capacity, slack, length), "placed")
-    fills = placed.groupBy("bin").agg(F.sum(arrow.column(length)).alias("fill"))
+    plain = [f"c{i}" for i in range(len(names))]
+    size = plain[names.index(length)]
+    items = items.select(*(arrow.column(name).alias(short) for name, short in zip(names, plain, strict=True)))
+    placed = store.written(pack_locally(items, capacity, slack, size), "placed")
+    fills = placed.groupBy("bin").agg(F.sum(size).alias("fill"))
     open_bins = store.written(fills.where(F.col("fill") < capacity - slack), "open-bins")
     moves = None
     n, turn = open_bins.count(), 0
@@ -200,13 +204,12 @@ def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, length:
         before, n, turn = n, open_bins.count(), turn + 1
         if groups == 1 or n > 0.99 * before:
             break
-    kept = [arrow.column(name) for name in names]
     if moves is None:
-        return placed.select(*kept, F.col("bin").alias("sequence_id"), F.col("place").alias("offset"))
-    moved = moves.where((F.col("into") != F.col("bin"))).withColumnRenamed("bin", "moved_bin")
+        return placed.toDF(*names, "sequence_id", "offset")
+    moved = moves.where(F.col("into") != F.col("bin")).withColumnRenamed("bin", "moved_bin")
     joined = placed.join(moved, placed["bin"] == moved["moved_bin"], "left")
     return joined.select(
-        *(placed[f"`{name}`"] for name in names),
-        F.coalesce(moved["into"], placed["bin"]).alias("sequence_id"),
-        (placed["place"] + F.coalesce(moved["shift"], F.lit(0))).alias("offset"),
-    )
+        *plain,
+        F.coalesce("into", "bin").alias("sequence_id"),
+        (F.col("place") + F.coalesce("shift", F.lit(0))).alias("offset"),
+    ).toDF(*names, "sequence_id", "offset")
