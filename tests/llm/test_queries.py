@@ -1,0 +1,170 @@
+"""Every registered query over the smallest tables: against its SQL twin or plain Python."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from footfall.llm.queries import QUERIES, TWINS
+from footfall.llm import toxicity
+from tests.llm.test_jaccard import by_hand
+from tests.llm.test_quality import by_hand as quality_by_hand
+
+SMALL = Path("/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def texts():
+    table = pq.read_table(SMALL / "documents.parquet").to_pydict()
+    return dict(sorted(zip(table["doc_id"], table["text"], strict=True)))
+
+
+def rows_of(spark, name):
+    return QUERIES[name](spark, str(SMALL)).collect()
+
+
+@pytest.mark.parametrize("name", list(TWINS))
+def test_query_equals_twin(spark, name):
+    connection = duckdb.connect()
+    for file in SMALL.glob("*.parquet"):
+        connection.sql(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    df = QUERIES[name](spark, str(SMALL))
+    columns = sorted(df.columns)
+    twin = connection.sql(TWINS[name])
+    assert sorted(twin.columns) == columns
+    places = [twin.columns.index(c) for c in columns]
+    wanted = sorted((tuple(r[i] for i in places) for r in twin.fetchall()), key=repr)
+    assert sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr) == wanted
+
+
+def ids_of(name, text):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    tokenizer.encode_special_tokens = True
+    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+
+
+def test_op2_reads_back_what_the_library_encodes(spark, texts):
+    found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in rows_of(spark, "op2_bit_planes")}
+    before, wanted = 0, {}
+    for doc_id, text in texts.items():
+        ids = ids_of("byte_bpe_50k.json", text)
+        wanted[doc_id] = (before, len(ids), zlib.crc32(ids.tobytes()))
+        before += len(ids)
+    assert found == wanted
+
+
+def test_op3_recall(spark):
+    table = pq.read_table(SMALL / "embeddings.parquet")
+    ids, x = table["vec_id"].to_numpy(), np.array(table["embedding"].to_pylist(), float)
+    found = {}
+    for row in rows_of(spark, "op3_multi_index"):
+        found.setdefault(row.query_id, {})[row["rank"]] = (row.vec_id, row.score)
+    assert sorted(found) == [i for i in ids.tolist() if i % 20 == 0]
+    hits = 0
+    for query, ranked in found.items():
+        score = (x * x[ids == query]).sum(axis=1)
+        order = [i for i in np.lexsort((ids, -score)) if ids[i] != query][:20]
+        hits += len(set(ids[order].tolist()) & {i for i, _ in ranked.values()})
+        assert sorted(ranked) == list(range(1, 21))
+    assert hits >= 0.9 * 20 * len(found)
+
+
+def test_op4_names_held_out_languages(spark):
+    table = pq.read_table(SMALL / "documents.parquet").to_pydict()
+    lang = dict(zip(table["doc_id"], table["lang"], strict=True))
+    rows = rows_of(spark, "op4_language_id")
+    assert len(rows) == len(lang)
+    held = [row for row in rows if row.held_out]
+    assert all(row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 3 == 1) for row in rows)
+    assert np.mean([row.lang_pred == lang[row.doc_id] for row in held]) > 0.97
+
+
+def test_op5_places_every_piece(spark, texts):
+    rows = rows_of(spark, "op5_best_fit_packing")
+    wanted = []
+    for doc_id, text in texts.items():
+        ids = ids_of("word_bpe_49k.json", text)
+        for piece, at in enumerate(range(0, len(ids), 2048)):
+            cut = ids[at : at + 2048]
+            wanted.append((doc_id, piece, at, len(cut), zlib.crc32(cut.tobytes())))
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == wanted
+    by = {}
+    for row in rows:
+        by.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    for placed in by.values():
+        placed.sort()
+        assert [o for o, _ in placed] == [0, *np.cumsum([n for _, n in placed])[:-1].tolist()]
+        assert sum(n for _, n in placed) <= 2048
+    assert len(by) <= 1.05 * sum(r.length for r in rows) / 2048 + 1
+
+
+def test_op6_agrees_with_the_labels(spark):
+    table = pq.read_table(SMALL / "labels.parquet").to_pydict()
+    label = dict(zip(table["doc_id"], table["toxic"], strict=True))
+    rows = rows_of(spark, "op6_toxicity")
+    known = [row for row in rows if row.doc_id in label]
+    assert np.mean([row.toxic == bool(label[row.doc_id]) for row in known]) > 0.95
+
+
+def test_op7_equals_the_rank_library(spark, texts):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows_of(spark, "op7_byte_bpe")}
+    sha = lambda body: hashlib.sha256(body).hexdigest()
+    for doc_id, text in texts.items():
+        ids = library.encode_ordinary(text)
+        assert found[doc_id] == (len(ids), sha(" ".join(map(str, ids)).encode()), sha(text.encode()))
+    assert len(found) == len(texts)
+
+
+def test_op8_equals_all_pairs(spark, texts):
+    assert sorted(map(tuple, rows_of(spark, "op8_jaccard_join"))) == by_hand(list(texts.items()), 4, 85)
+
+
+def test_op9_keeps_the_paragraphs(spark):
+    rows = rows_of(spark, "op9_main_text")
+    pages = pq.read_table(SMALL / "pages.parquet").to_pydict()
+    assert sorted(row.page_id for row in rows) == sorted(pages["page_id"])
+    assert all(row.n_chars == len(row.text) > 0 for row in rows)
+
+
+def test_pipeline_stages_equal_plain_python(spark, texts):
+    docs = spark.read.parquet(str(SMALL / "documents.parquet"))
+    (_, good), (_, civil), (_, one_of_each), (_, packed) = corpus_pipeline.STAGES
+    left = good(spark, docs, str(SMALL))
+    assert left.dtypes == docs.dtypes
+    wanted = [i for i, text in texts.items() if quality_by_hand(text)["kept"]]
+    assert sorted(r.doc_id for r in left.collect()) == wanted
+
+    model = toxicity.fit(left, spark.read.parquet(str(SMALL / "labels.parquet")))
+    toxic = {r.doc_id for r in toxicity.with_toxicity(left, model).where("toxic").collect()}
+    left = civil(spark, left, str(SMALL))
+    wanted = [i for i in wanted if i not in toxic]
+    assert sorted(r.doc_id for r in left.collect()) == wanted
+
+    groups = by_hand([(i, texts[i]) for i in wanted], 5, 80)
+    left = one_of_each(spark, left, str(SMALL))
+    wanted = [i for i, _, component in groups if i == component]
+    assert left.dtypes == docs.dtypes and sorted(r.doc_id for r in left.collect()) == wanted
+
+    rows = packed(spark, left, str(SMALL)).collect()
+    assert sorted({r.doc_id for r in rows}) == wanted
+    for doc_id in wanted[:20]:
+        ids = b"".join(bytes(r.ids) for r in sorted((r for r in rows if r.doc_id == doc_id), key=lambda r: r.piece))
+        assert ids == ids_of("word_bpe_49k.json", texts[doc_id]).tobytes()
+
+
+def test_pipeline_runs(spark):
+    assert corpus_pipeline.run(spark, str(SMALL)).count() > 0
