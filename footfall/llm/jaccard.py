@@ -37,9 +37,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,10 +47,10 @@ from footfall.llm.components import components
 
 # Buckets of the token counts (a power of two) and the rows they travel in.
 BUCKETS = 1 << 21
-SEGMENTS = 256
+SEGMENTS = 128
 # Bits of a bitmap of asked-for ids or tokens (a power of two) and its rows.
 BITS = 1 << 25
-BIT_ROWS = 1 << 10
+BIT_ROWS = 1 << 7
 # Minimum hashes of a node's signature, those that name groups, and how many of the
 # signature must agree before a node is checked against its group's most typical one.
 BINS = 16
@@ -67,6 +65,10 @@ _NODES = T.StructType([
 ])
 
 
+# A part of an array of fixed size, on its way to the driver.
+_ROWS = "row int, body binary"
+
+
 class Rule(NamedTuple):
     words: int  # of a token
     percent: int  # of the union that two linked sets share at least
@@ -99,6 +101,12 @@ def token_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
                 yield np.unique(grams[gram_bounds[i] : gram_bounds[i + 1]])
 
 
+def _rows(numbers, bodies) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(numbers, pa.int32()), pa.array([body.tobytes() for body in bodies], pa.binary())], names=["row", "body"]
+    )
+
+
 def _count_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
     """Logarithm of each bucket's count, over the tokens of all documents."""
     per_row = BUCKETS // SEGMENTS
@@ -108,27 +116,20 @@ def _count_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
         for batch in batches:
             for tokens in token_sets(arrow.texts_of(batch.column(0)), rule.words):
                 held[(tokens & np.uint64(BUCKETS - 1)).astype(np.int64)] += np.uint32(1)
-        task = TaskContext.get().partitionId()
-        rows = held.reshape(SEGMENTS, per_row)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([task] * SEGMENTS, pa.int32()), pa.array(range(SEGMENTS), pa.int32()),
-             pa.array([row.tobytes() for row in rows], pa.binary())],
-            names=["task", "segment", "counts"],
-        )
+        yield _rows(np.arange(SEGMENTS), held.reshape(SEGMENTS, per_row))
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(per_row, np.uint64)
-        width = np.dtype(np.uint64 if len(group["counts"].iloc[0]) == 8 * per_row else np.uint32)
-        for body in group["counts"]:
-            total += np.frombuffer(body, width)
-        return pd.DataFrame({"segment": group["segment"].iloc[:1], "counts": [total.tobytes()]})
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held = total.setdefault(row, np.zeros(per_row, np.uint64))
+                held += np.frombuffer(body.as_buffer(), np.uint32)
+        yield _rows(list(total), list(total.values()))
 
-    parts = docs.select("text").mapInArrow(count, "task int, segment int, counts binary")
-    some = parts.groupBy("segment", (F.col("task") % 64).alias("share")).applyInPandas(add, "segment int, counts binary")
-    every = some.groupBy("segment").applyInPandas(add, "segment int, counts binary")
+    parts = docs.select("text").mapInArrow(count, _ROWS).repartition("row")
     counts = np.zeros((SEGMENTS, per_row), np.uint64)
-    for row in every.toLocalIterator():  # a fixed number of rows
-        counts[row["segment"]] = np.frombuffer(row["counts"], np.uint64)
+    for row in parts.mapInArrow(add, _ROWS).toLocalIterator():  # a fixed number of rows
+        counts[row["row"]] = np.frombuffer(row["body"], np.uint64)
     return np.frexp(counts.reshape(-1).astype(np.float64))[1].astype(np.uint8)
 
 
@@ -169,14 +170,17 @@ def _bitmap(bits: DataFrame) -> np.ndarray:
     """A bitmap of the numbers (0 to ``BITS`` - 1) in the column ``bit``; its size is fixed."""
     per_row = BITS // BIT_ROWS
 
-    def mark(group: pd.DataFrame) -> pd.DataFrame:
-        row = np.zeros(per_row, np.uint8)
-        row[group["bit"].to_numpy() % per_row] = 1
-        return pd.DataFrame({"row": [int(group["bit"].iloc[0]) // per_row], "body": [np.packbits(row).tobytes()]})
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked: dict[int, np.ndarray] = {}
+        for batch in batches:
+            rows, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy() % per_row
+            for row in np.unique(rows).tolist():
+                marked.setdefault(row, np.zeros(per_row, np.uint8))[bit[rows == row]] = 1
+        yield _rows(list(marked), [np.packbits(row) for row in marked.values()])
 
-    marked = bits.distinct().groupBy(F.floor(F.col("bit") / per_row)).applyInPandas(mark, "row int, body binary")
+    rows = bits.select(F.floor(F.col("bit") / per_row).cast("int").alias("row"), "bit").repartition("row")
     out = np.zeros((BIT_ROWS, per_row // 8), np.uint8)
-    for row in marked.toLocalIterator():  # a fixed number of rows
+    for row in rows.mapInArrow(mark, _ROWS).toLocalIterator():  # a fixed number of rows
         out[row["row"]] = np.frombuffer(row["body"], np.uint8)
     return out.reshape(-1)
 
