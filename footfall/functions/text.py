@@ -20,9 +20,17 @@ def _text(column: Column) -> Column:
 
 def message(user_id: Column, behavior: Column, article_id: Column, ts: Column) -> Column:
     """``user@behavior@article@time``. Missing fields stay as empty places."""
-    return F.concat_ws(
-        FIELD_MARK, _text(user_id), _text(behavior), _text(article_id), _text(time_text(ts))
-    )
+    return message_of(user_id, behavior, article_id, time_text(ts))
+
+
+def message_of(user_id: Column, behavior: Column, article_id: Column, time: Column) -> Column:
+    """A message whose time is a text to send as it stands."""
+    return F.concat_ws(FIELD_MARK, _text(user_id), _text(behavior), _text(article_id), _text(time))
+
+
+def log_line(user_id: Column, behavior: Column, article_id: Column, time: Column) -> Column:
+    """The fields of a raw log line, whatever signs they hold."""
+    return F.concat_ws(RAW_LOG_MARK, _text(user_id), _text(behavior), _text(article_id), _text(time))
 
 
 def message_fields(value: Column) -> dict[str, Column]:

@@ -9,9 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_WHOLE_TIME = r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?$"
+
+
 def parse_time(text: Column) -> Column:
-    """Time of a text like ``2015-05-08 13:13:19.0``; null if it is none."""
-    return F.trim(text).try_cast("timestamp_ntz")
+    """Time of a text like ``2015-05-08 13:13:19.0``; null without a full date and time."""
+    trimmed = F.trim(text)
+    return F.when(trimmed.rlike(_WHOLE_TIME), trimmed.try_cast("timestamp_ntz"))
 
 
 def time_text(ts: Column) -> Column:

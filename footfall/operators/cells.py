@@ -11,8 +11,9 @@ from footfall.functions.timeparts import day_of
 
 EVENT_KEY = ("ts", "user_id", "article_id")
 
-# Tasks over which the cells of one very wide row are joined, at most.
-SALTS = 256
+# Rows over which the cells of one time and user are spread. A store keeps one number for
+# good, as a row's place depends on it.
+PARTS = 16
 
 
 def latest_behavior(
@@ -22,11 +23,21 @@ def latest_behavior(
 ) -> DataFrame:
     """Last write per key: the behaviour with the greatest ``order_by`` values.
 
-    Each task keeps one row per key before the shuffle. Equal ``order_by``
-    values fall to the greater behaviour, so the result is always the same.
+    Equal ``order_by`` values fall to the greater behaviour, so the result is always
+    the same. The rows are clustered by key first: an aggregation of structs sorts its
+    input, and so does so once, after the only shuffle, instead of before it as well.
     """
-    rank = F.struct(*order_by, "behavior")
-    return events.groupBy(*keys).agg(F.max_by("behavior", rank).alias("behavior"))
+    return latest_writes(events, order_by, keys).select(*keys, "behavior")
+
+
+def latest_writes(
+    events: DataFrame, order_by: Sequence[str], keys: Sequence[str] = EVENT_KEY
+) -> DataFrame:
+    """Last write per key with its place in the order of writing."""
+    last = events.repartition(*keys).groupBy(*keys).agg(
+        F.max(F.struct(*order_by, "behavior")).alias("last")
+    )
+    return last.select(*keys, "last.*")
 
 
 def key_range(events: DataFrame, start: tuple, stop: tuple) -> DataFrame:
@@ -57,37 +68,21 @@ def key_range(events: DataFrame, start: tuple, stop: tuple) -> DataFrame:
     return events.filter(wanted)
 
 
-def collapse_cells(latest: DataFrame, max_cells: int = 50_000) -> DataFrame:
-    """Wide rows: the cells (article -> behaviour) of one time and user.
+def part_of(article_id: Column, parts: int = PARTS) -> Column:
+    """The row, 0 to ``parts`` - 1, that holds an article's cell, from its id alone."""
+    return F.conv(F.substring(F.md5(article_id.cast("string")), 1, 4), 16, 10).cast("int") % parts
 
-    ``latest`` holds one row per time, user and article (``latest_behavior``).
-    A time and user with more than ``max_cells`` cells is spread over several
-    rows, numbered by ``part``, so no single row or task has to hold them all.
+
+def collapse_cells(latest: DataFrame, parts: int = PARTS) -> DataFrame:
+    """Wide rows: the cells (article -> behaviour) of one time, user and ``part``.
+
+    ``latest`` holds one row per time, user and article (``latest_behavior``). The part
+    of a cell depends on nothing but its article, so rows keep their keys as more cells
+    arrive, and a time and user with very many cells is gathered by several tasks.
     """
-    row = ["ts", "user_id"]
-    parts = F.ceil(F.count("*") / F.lit(max_cells)).cast("int")
-    large = latest.groupBy(*row).agg(parts.alias("parts")).filter(F.col("parts") > 1)
-    # Large keys meet their cells under a salt made from the article, so the
-    # cells of one key are joined in many tasks and not in one. With no more
-    # salts than cells in a row, the salted keys are fewer than the cells, so
-    # Spark broadcasts them only where it would broadcast the cells themselves
-    # or has measured them.
-    salts = min(SALTS, max_cells)
-    salted = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = (
-        latest.withColumn("salt", F.pmod(F.xxhash64("article_id"), F.lit(salts)).cast("int"))
-        .join(salted, [*row, "salt"], "left")
-        .select(
-            *row,
-            "article_id",
-            "behavior",
-            F.pmod(F.xxhash64("article_id", F.lit("part")), F.coalesce("parts", F.lit(1)))
-            .cast("int")
-            .alias("part"),
-        )
-    )
     cells = F.map_from_entries(F.collect_list(F.struct("article_id", "behavior")))
-    return spread.groupBy(*row, "part").agg(cells.alias("cells"))
+    spread = latest.withColumn("part", part_of(F.col("article_id"), parts))
+    return spread.groupBy("ts", "user_id", "part").agg(cells.alias("cells"))
 
 
 def explode_cells(wide: DataFrame) -> DataFrame:

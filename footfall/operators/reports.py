@@ -45,11 +45,17 @@ def active_days_per_week(user_hour: DataFrame, with_year: bool = False) -> DataF
 
 
 def weekly_totals(user_hour: DataFrame, with_year: bool = False) -> DataFrame:
-    return (
-        daily_totals(user_hour)
-        .groupBy(*_week_keys(F.col("day"), with_year))
-        .agg(F.sum("num").alias("total"))
-    )
+    return totals_of_days(daily_totals(user_hour), with_year)
+
+
+def totals_of_days(daily: DataFrame, with_year: bool = False) -> DataFrame:
+    """Weekly totals from daily ones."""
+    return daily.groupBy(*_week_keys(F.col("day"), with_year)).agg(F.sum("num").alias("total"))
+
+
+def count_of_days(daily: DataFrame, with_year: bool = False) -> DataFrame:
+    """Days with events per week, from daily totals."""
+    return daily.groupBy(*_week_keys(F.col("day"), with_year)).agg(F.count("*").alias("n_days"))
 
 
 def weekly_mean(totals: DataFrame, active_days: DataFrame) -> DataFrame:

@@ -12,14 +12,6 @@ from footfall.functions.text import LABELS, behavior_label, format_percent, line
 from footfall.functions.timeparts import day_key
 from footfall.session import ensure_checkpoint_dir
 
-# The grid's page sizes.
-PAGE_SIZES = (10, 25, 50, 100)
-
-# Up to this many leading rows a page is a top-k; deeper pages are cut from a
-# sorted copy instead, so that no task holds all rows before the page.
-TOP_K_ROWS = 100_000
-
-
 def search_facts(
     article_day: DataFrame,
     start: str,
@@ -146,20 +138,22 @@ def page(
 ) -> DataFrame:
     """Page ``number`` (from 0) of ``df`` sorted by ``order_by``.
 
-    ``order_by`` should end in a unique key, so that pages do not overlap.
+    ``order_by`` should end in a unique key, so that pages do not overlap. A page is a
+    top-k of all rows up to its end, so its cost grows with its depth: to read on, use
+    ``page_after``; to jump about in a result, number it once and use ``page_at``.
     """
     if number < 0 or size < 1:
         raise ValueError("number must be at least 0 and size at least 1")
-    skipped = number * size
-    if skipped + size <= TOP_K_ROWS:
-        return df.orderBy(*order_by).offset(skipped).limit(size)
+    return df.orderBy(*order_by).offset(number * size).limit(size)
+
+
+def page_at(numbered: DataFrame, number: int = 0, size: int = 10) -> DataFrame:
+    """Page ``number`` (from 0) of a result that ``with_positions`` has numbered."""
+    if number < 0 or size < 1:
+        raise ValueError("number must be at least 0 and size at least 1")
     position = F.col("position")
-    return (
-        with_positions(df, order_by)
-        .filter((position >= skipped) & (position < skipped + size))
-        .orderBy("position")
-        .drop("position")
-    )
+    found = numbered.filter((position >= number * size) & (position < (number + 1) * size))
+    return found.orderBy("position").drop("position")
 
 
 def page_after(
@@ -167,8 +161,8 @@ def page_after(
 ) -> DataFrame:
     """The ``size`` rows that follow the row ``last``, ascending by ``order_by``.
 
-    Walking on from the last row seen costs the same at any depth. The columns
-    of ``order_by`` must not hold nulls.
+    Walking on from the last row seen costs the same at any depth. Nulls come first
+    in every column, as in an ascending sort, so the walk passes every row of a page.
     """
     rest = df
     if last is not None:
@@ -176,8 +170,12 @@ def page_after(
         # here and greater in those that follow.
         beyond = F.lit(False)
         for name in reversed(order_by):
-            mark = F.lit(last[name])
-            beyond = (F.col(name) > mark) | ((F.col(name) == mark) & beyond)
+            value = F.col(name)
+            if last[name] is None:
+                beyond = value.isNotNull() | (value.isNull() & beyond)
+            else:
+                mark = F.lit(last[name])
+                beyond = F.coalesce((value > mark) | ((value == mark) & beyond), F.lit(False))
         rest = df.filter(beyond)
     return rest.orderBy(*order_by).limit(size)
 

@@ -29,6 +29,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Checkpointed results go once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -44,8 +46,8 @@ def size_settings(data_bytes: int, cores: int) -> dict[str, str]:
     least two per core. Scans take larger splits on larger data, which keeps the
     number of shuffle blocks (tasks times partitions) in bounds.
     """
-    partitions = max(2 * cores, min(50_000, math.ceil(data_bytes / (512 * MIB))))
-    split = min(512 * MIB, max(128 * MIB, data_bytes // (50 * cores)))
+    partitions = max(2 * cores, math.ceil(data_bytes / (512 * MIB)))
+    split = max(128 * MIB, min(512 * MIB, data_bytes // (50 * cores)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(split),

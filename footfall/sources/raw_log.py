@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.functions.text import RAW_LOG_MARK, message, message_fields
-from footfall.functions.timeparts import parse_time
+from footfall.functions.text import RAW_LOG_MARK, log_line, message_fields, message_of
+from footfall.functions.timeparts import parse_time, time_text
 from footfall.schemas import RAW_LOG
 
 EVENT_ORDER = ("ts", "user_id", "article_id", "behavior")
@@ -23,28 +23,36 @@ def read_behavior_log(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _time(df: DataFrame) -> Column:
+    """The text of the time: as the log has it, if ``df`` still holds that, else that of ``ts``."""
+    return F.col("behavior_time") if "behavior_time" in df.columns else time_text(F.col("ts"))
+
+
 def log_lines(events: DataFrame) -> DataFrame:
     """Events as lines of the raw log."""
-    fields = F.split(message(*map(F.col, ("user_id", "behavior", "article_id", "ts"))), "@")
-    return events.select(F.array_join(fields, RAW_LOG_MARK).alias("value"))
+    line = log_line(F.col("user_id"), F.col("behavior"), F.col("article_id"), _time(events))
+    return events.select(line.alias("value"))
 
 
 def log_events(log: DataFrame) -> DataFrame:
-    """Log rows with their time parsed."""
+    """Log rows with their time parsed; ``behavior_time`` keeps its text."""
     return log.select(
-        parse_time(F.col("behavior_time")).alias("ts"), "user_id", "article_id", "behavior"
+        parse_time(F.col("behavior_time")).alias("ts"),
+        "user_id", "article_id", "behavior", "behavior_time",
     )
 
 
 def to_messages(events: DataFrame) -> DataFrame:
-    """Events as messages in time order.
+    """Events as messages, keyed by user and in time order for each user.
 
-    The other columns (and ``seq``, if there is one) extend the sort key, so a
-    moment shared by very many events is spread over the sort's partitions.
+    A topic keeps the order of one key only, so that is the order made here: a user's
+    events are sent by one task, in order. The text of a log's time is sent unchanged,
+    also if it can't be read.
     """
-    value = message(F.col("user_id"), F.col("behavior"), F.col("article_id"), F.col("ts"))
+    value = message_of(F.col("user_id"), F.col("behavior"), F.col("article_id"), _time(events))
     order = [name for name in (*EVENT_ORDER, "seq") if name in events.columns]
-    return events.orderBy(*order).select(value.alias("value"))
+    sent = events.repartition("user_id").sortWithinPartitions("user_id", *order)
+    return sent.select(F.col("user_id").cast("string").alias("key"), value.alias("value"))
 
 
 def parse_messages(messages: DataFrame, *carried: str) -> DataFrame:

@@ -71,7 +71,7 @@ def test_wide_rows_and_back(make_events):
             ("2015-05-08 13:13:19", "U2", "D1", "1"),
         )
     )
-    wide = cells.collapse_cells(latest)
+    wide = cells.collapse_cells(latest, parts=1)
     assert {(r.user_id, r.part): r.cells for r in wide.collect()} == {
         ("U1", 0): {"D1": "0", "D2": "1"},
         ("U2", 0): {"D1": "1"},
@@ -79,6 +79,18 @@ def test_wide_rows_and_back(make_events):
     assert rows(cells.explode_cells(wide)) == rows(latest)
 
 
+def test_a_cell_keeps_its_row_as_others_arrive(spark):
+    def wide(n):
+        latest = spark.range(n).select(
+            F.lit("2015-05-08 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit("U").alias("user_id"),
+            F.concat(F.lit("D"), F.col("id")).alias("article_id"), F.lit("1").alias("behavior"),
+        )
+        return {a: r.part for r in cells.collapse_cells(latest).collect() for a in r.cells}
+
+    few, many = wide(10), wide(3_000)
+    assert len(many) == 3_000 and few.items() <= many.items()
+
+
 def test_a_very_wide_row_is_spread_and_stays_whole(spark):
     """A third of all cells share one key."""
     latest = spark.range(9_000).select(
@@ -88,12 +100,11 @@ def test_a_very_wide_row_is_spread_and_stays_whole(spark):
         F.concat(F.lit("D"), F.col("id")).alias("article_id"),
         F.lit("1").alias("behavior"),
     )
-    wide = cells.collapse_cells(latest, max_cells=200)
+    wide = cells.collapse_cells(latest)
     hot = wide.filter(F.col("user_id") == "hot").select(F.size("cells").alias("n")).collect()
-    assert len(hot) == 15
+    assert len(hot) == cells.PARTS
     assert sum(r.n for r in hot) == 3_000
     assert max(r.n for r in hot) < 300
-    assert wide.filter(F.col("user_id") != "hot").agg(F.max("part")).first()[0] == 0
     back = cells.explode_cells(wide)
     assert back.exceptAll(latest.select(*back.columns)).count() == 0
     assert back.count() == 9_000

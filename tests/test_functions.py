@@ -57,7 +57,8 @@ def test_time_text(spark, value, expected):
 
 
 def test_unreadable_time_is_null(spark):
-    values = ["", "yesterday", "now", "2015-13-01 00:00:00.0", "12:00:00", None]
+    values = ["", "yesterday", "now", "2015-13-01 00:00:00.0", "12:00:00", "2015", "2015-05-08",
+              "2015-05-08 13", "2015-05-08 13:13", None]
     df = spark.createDataFrame([(v,) for v in values], "value STRING")
     parsed = df.repartition(2).select(timeparts.parse_time(F.col("value")).alias("ts"))
     assert rows(parsed) == [(None,)] * len(values)

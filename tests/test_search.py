@@ -112,11 +112,23 @@ def test_pages_do_not_overlap_and_miss_nothing(fact):
         search.page(fact, ORDER, -1)
 
 
-def test_deep_pages_equal_shallow_ones(fact, monkeypatch):
-    shallow = [rows(search.page(fact, ORDER, n, 3), "as_is") for n in range(5)]
-    monkeypatch.setattr(search, "TOP_K_ROWS", 0)
-    deep = [rows(search.page(fact, ORDER, n, 3), "as_is") for n in range(5)]
-    assert deep == shallow
+def test_pages_of_a_numbered_result_are_the_same(fact):
+    numbered = search.with_positions(fact, ORDER)
+    for n in range(5):
+        assert rows(search.page_at(numbered, n, 3), "as_is") == rows(search.page(fact, ORDER, n, 3), "as_is")
+    with pytest.raises(ValueError):
+        search.page_at(numbered, 0, 0)
+
+
+def test_a_walk_passes_nulls_like_the_pages(spark):
+    made = [(None, None), (None, "a"), (1, None), (1, "b"), (None, "b"), (2, "a"), (1, "a"), (2, None)]
+    df = spark.createDataFrame(made, "num INT, k STRING")
+    pages = [r for n in range(4) for r in rows(search.page(df, ["num", "k"], n, 2), "as_is")]
+    walked, last = [], None
+    while part := search.page_after(df, ["num", "k"], last, 2).collect():
+        walked += [tuple(r) for r in part]
+        last = part[-1].asDict()
+    assert walked == pages and len(walked) == len(made)
 
 
 def test_walking_on_from_the_last_row(fact):
