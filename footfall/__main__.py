@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.operators import cells, facts, search
+from footfall.operators import facts, search
 from footfall.plans import jobs
 from footfall.session import MIB, build_session, size_settings
 from footfall.sources import messages, raw_log, tables
@@ -39,32 +39,51 @@ def _key(text: str) -> tuple[str, str]:
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Send a raw log to a topic in time order."""
+    """Send a raw log to a topic, each user's lines in time order."""
     log = raw_log.log_events(raw_log.read_behavior_log(spark, args.log))
     messages.publish(raw_log.to_messages(log), args.topic, args.servers)
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     """Store the messages of topics until stopped."""
-    options = messages.kafka_options(args.servers, args.topics)
+    more = {"maxOffsetsPerTrigger": str(args.max_offsets)} if args.max_offsets else {}
+    options = messages.kafka_options(args.servers, args.topics, **more)
     stream = messages.read_stream(spark, "kafka", **options)
     ingest.start_ingest(stream, args.store, args.checkpoint, every=args.every).awaitTermination()
 
 
 def hourly(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Hourly facts of the stored events, of all keys or a key range."""
-    if args.start and args.stop:
+    """Hourly facts of the stored events: of whole days, or of exactly a key range.
+
+    ``--start`` and ``--stop`` choose the days from the one's day to the other's; either
+    alone leaves the other end open. With ``--exact`` they are the ends of a key range,
+    both needed, whose facts go to ``--facts`` as a folder of their own.
+    """
+    articles = _articles(spark, args)
+    if args.exact:
+        if not (args.start and args.stop):
+            raise SystemExit("--exact needs --start and --stop")
         start, stop = _key(args.start), _key(args.stop)
-        stored = ingest.read_events(spark, args.store, start[0][:10], stop[0][:10])
-        stored = cells.key_range(stored, start, stop)
-    else:
-        stored = ingest.read_events(spark, args.store)
-    jobs.hourly_facts(stored, _articles(spark, args), args.facts)
+        jobs.hourly_range(spark, args.store, articles, args.facts, start, stop, args.compacted)
+        return
+    first, last = (_key(key)[0][:10] if key else None for key in (args.start, args.stop))
+    jobs.hourly_days(
+        spark, args.store, articles, args.facts, first, last, args.compacted, args.database
+    )
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Resolve stored days into one folder each and retire the batches read."""
+    ingest.compact_days(spark, args.store, args.compacted, args.first_day, args.last_day)
 
 
 def daily(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Daily facts from the hourly ones."""
-    jobs.daily_facts(spark, args.facts, args.first_day, args.last_day)
+    """Daily facts from the hourly ones, also as tables or in a database."""
+    sink = None
+    if args.jdbc:
+        def sink(df: DataFrame, name: str) -> None:
+            tables.append_jdbc(df, args.jdbc, name, connections=args.connections)
+    jobs.daily_facts(spark, args.facts, args.first_day, args.last_day, args.database, sink)
 
 
 def weekly(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -122,10 +141,13 @@ def parser() -> argparse.ArgumentParser:
         sub.set_defaults(job=job)
 
     command("replay", replay, "log", "topic", "servers")
-    command("ingest", run_ingest, "servers", "topics", "store", "checkpoint", every="10 seconds")
-    command("hourly", hourly, "store", "articles", "facts",
-            articles_table="articles", articles_split=None, start=None, stop=None)
-    command("daily", daily, "facts", first_day=None, last_day=None)
+    command("ingest", run_ingest, "servers", "topics", "store", "checkpoint",
+            every="10 seconds", max_offsets=0)
+    command("compact", compact, "store", "compacted", first_day=None, last_day=None)
+    command("hourly", hourly, "store", "articles", "facts", compacted=None, database=None,
+            articles_table="articles", articles_split=None, start=None, stop=None, exact=False)
+    command("daily", daily, "facts", first_day=None, last_day=None, database=None,
+            jdbc=None, connections=3)
     command("weekly", weekly, "facts", "out", n=10, with_year=False)
     command("compare", compare, "facts")
     command("search", find, "facts", "start", "end", "domain",

@@ -1,47 +1,107 @@
 """The engine's jobs, from stored events to report files.
 
-Every job writes its facts by day and replaces the days it holds, so running it
-again gives the same tables.
+Every job writes its facts by day and replaces whole days, so running it again gives
+the same tables. A job that is given some days needs all events of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.functions.timeparts import day_of
 from footfall.operators import facts, reports
-from footfall.sources.tables import overwrite_days, write_report
+from footfall.operators.cells import key_range
+from footfall.sources.tables import overwrite_days, write_report, written
+from footfall.streaming.ingest import between, read_events
 
 
 def _with_day(hourly: DataFrame) -> DataFrame:
     return hourly.withColumn("day", day_of(F.col("hour")))
 
 
-def hourly_facts(events: DataFrame, articles: DataFrame, root: str) -> None:
-    """Write the hourly article fact and the hourly activity fact."""
-    overwrite_days(_with_day(facts.article_hour_counts(events, articles)), f"{root}/article_hour")
-    overwrite_days(_with_day(facts.user_hour_counts(events, articles)), f"{root}/user_hour")
+def hourly_facts(
+    events: DataFrame, articles: DataFrame, root: str, covered: Column | None = None,
+    database: str | None = None,
+) -> None:
+    """Write the hourly article fact and the hourly activity fact.
+
+    Both read ``events``, so these should be stored, not a plan that would run twice.
+    ``covered`` is a condition on ``day``: the days that ``events`` holds whole. With
+    ``database`` the facts also become tables of the catalog, by day.
+    """
+    made = {
+        "article_hour": _with_day(facts.article_hour_counts(events, articles)),
+        "user_hour": _with_day(facts.user_hour_counts(events, articles)),
+    }
+    for name, fact in made.items():
+        overwrite_days(fact, f"{root}/{name}", covered)
+        if database:
+            publish_table(fact.sparkSession, f"{root}/{name}", f"{database}.{name}", fact.schema)
+
+
+def publish_table(spark: SparkSession, path: str, name: str, schema: T.StructType) -> None:
+    """Make a fact stored by day a table of the catalog, and let it see new days."""
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (day) LOCATION '{path}'")
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def hourly_days(
+    spark: SparkSession, store: str, articles: DataFrame, root: str,
+    first_day: str | None = None, last_day: str | None = None,
+    compacted: str | None = None, database: str | None = None,
+) -> None:
+    """Hourly facts of whole days from the store: all of them, or from the first to the last.
+
+    The events are resolved once, for both facts.
+    """
+    days = between(first_day, last_day)
+    events = written(read_events(spark, store, days=days, compacted=compacted), "events")
+    hourly_facts(events, articles, root, days, database)
+
+
+def hourly_range(
+    spark: SparkSession, store: str, articles: DataFrame, folder: str,
+    start: tuple, stop: tuple, compacted: str | None = None,
+) -> None:
+    """Hourly facts of exactly a key range, in a folder of their own.
+
+    A range may hold part of a day, so it must not replace days of the whole facts.
+    """
+    events = read_events(spark, store, str(start[0])[:10], str(stop[0])[:10], compacted)
+    hourly_facts(written(key_range(events, start, stop), "events"), articles, folder, F.lit(True))
 
 
 def daily_facts(
-    spark: SparkSession, root: str, first_day: str | None = None, last_day: str | None = None
+    spark: SparkSession, root: str, first_day: str | None = None, last_day: str | None = None,
+    database: str | None = None, sink: Callable[[DataFrame, str], None] | None = None,
 ) -> None:
-    """Write the daily article fact and both daily domain totals, of all days or a span."""
+    """Write the daily article fact and both daily domain totals, of all days or a span.
+
+    With ``database`` they also become tables of the catalog; ``sink`` gets each of
+    them, read from what was written, with its name, such as to append it to a database.
+    """
+    days = between(first_day, last_day)
 
     def stored(name: str) -> DataFrame:
-        df = spark.read.parquet(f"{root}/{name}")
-        if first_day:
-            df = df.filter(F.col("day") >= F.lit(first_day).cast("date"))
-        if last_day:
-            df = df.filter(F.col("day") <= F.lit(last_day).cast("date"))
-        return df
+        return spark.read.parquet(f"{root}/{name}").filter(days)
+
+    def keep(df: DataFrame, name: str) -> None:
+        overwrite_days(df, f"{root}/{name}", days)
+        if database:
+            publish_table(spark, f"{root}/{name}", f"{database}.{name}", df.schema)
+        if sink:
+            sink(stored(name), name)
 
-    overwrite_days(facts.article_day_rollup(stored("article_hour")), f"{root}/article_day")
-    from_articles = facts.domain_day_from_articles(stored("article_day"))
-    overwrite_days(from_articles, f"{root}/domain_day_articles")
-    from_activity = facts.domain_day_from_activity(stored("user_hour"))
-    overwrite_days(from_activity, f"{root}/domain_day_activity")
+    keep(facts.article_day_rollup(stored("article_hour")), "article_day")
+    keep(facts.domain_day_from_articles(stored("article_day")), "domain_day_articles")
+    keep(facts.domain_day_from_activity(stored("user_hour")), "domain_day_activity")
 
 
 def weekly_report(
@@ -49,10 +109,12 @@ def weekly_report(
 ) -> dict[str, str]:
     """Write the six reports and return where each lies.
 
-    Mean and deviation come from one pass; each other report is one job over the
-    columns it needs.
+    The weekly figures are worked out once and kept in the folder; mean and deviation
+    are read from there. Each other report is one job over the columns it needs.
     """
-    stats = reports.weekly_stats(user_hour, with_year)
+    figures = reports.weekly_stats(user_hour, with_year)
+    path = write_report(figures, folder, "figures", "parquet")
+    stats = user_hour.sparkSession.read.schema(figures.schema).parquet(path)
     keys = [name for name in ("week", "week_start") if name in stats.columns]
     outputs = {
         "least_active": reports.least_active_per_day(user_hour),

@@ -31,12 +31,21 @@ DOMAIN_DAY = _schema(day=DAY, domain=TEXT, num=COUNT)
 
 # One stored message. ``status`` is "ok" or "rejected"; ``value`` keeps the text
 # of a rejected message. ``sent_at, part, pos`` tell the order of writing inside
-# a batch, ``batch_id`` the order of batches.
+# a batch, ``batch_id`` the order of a stream's batches, ``run`` that of streams.
 INGESTED = _schema(
     ts=TIME, user_id=TEXT, article_id=TEXT, behavior=TEXT,
     sent_at=T.TimestampType(), part=T.IntegerType(), pos=COUNT, value=TEXT,
-    batch_id=COUNT, status=TEXT, day=DAY,
+    day=DAY, status=TEXT, run=COUNT, batch_id=COUNT,
 )
 
+# A resolved event of a compacted day, with the place of its write.
+COMPACTED = _schema(
+    ts=TIME, user_id=TEXT, article_id=TEXT, run=COUNT, batch_id=COUNT,
+    sent_at=T.TimestampType(), part=T.IntegerType(), pos=COUNT, behavior=TEXT, day=DAY,
+)
+
+# Articles of stored events that the dimension did not hold.
+UNMATCHED = _schema(article_id=TEXT, day=DAY)
+
 # A search result as handed to a caller: every field is text.
 RESULT_ROW = _schema(time=TEXT, article_id=TEXT, domain=TEXT, behavior=TEXT, percent=TEXT, num=TEXT)

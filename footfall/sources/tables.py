@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from footfall.schemas import ARTICLES, DAY
+from footfall.session import work_dir
 
-from footfall.schemas import ARTICLES
+_DAY_ONLY = T.StructType([T.StructField("day", DAY)])
 
 
 def register(df: DataFrame, name: str) -> DataFrame:
@@ -26,11 +32,12 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 def append_table(df: DataFrame, name: str, **options: str) -> None:
     """Append by column name, creating the table by day if it is missing.
 
-    Running an append again doubles its rows; ``overwrite_days`` does not.
+    Running an append again doubles its rows; ``overwrite_days`` and
+    ``overwrite_table_days`` do not.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
-        df.select(*spark.table(name).columns).write.insertInto(name)
+        _by_day(df).select(*spark.table(name).columns).write.insertInto(name)
         return
     writer = _by_day(df).write.format("parquet").options(**options)
     if "day" in df.columns:
@@ -38,15 +45,67 @@ def append_table(df: DataFrame, name: str, **options: str) -> None:
     writer.saveAsTable(name)
 
 
-def overwrite_days(df: DataFrame, path: str) -> None:
-    """Write ``df`` below ``path`` by day, replacing exactly the days it holds."""
+def overwrite_table_days(df: DataFrame, name: str, **options: str) -> None:
+    """Replace the days that ``df`` holds in a table of the catalog, made if it is missing."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        append_table(df, name, **options)
+        return
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        _by_day(df).select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def overwrite_days(df: DataFrame, path: str, covered: Column | None = None) -> None:
+    """Write ``df`` below ``path`` by day, replacing the days it holds.
+
+    ``covered`` is a condition on ``day`` that says which days were worked out anew:
+    stored days among them that have no rows any more are removed.
+    """
+    seen = Observation()
     (
-        _by_day(df)
+        _by_day(df.observe(seen, F.collect_set("day").alias("days")))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
         .parquet(path)
     )
+    if covered is not None:
+        present = set(seen.get["days"])
+        stored = stored_parquet(df.sparkSession, path, _DAY_ONLY).where(covered).select("day").distinct()
+        stale = [row["day"] for row in stored.collect() if row["day"] not in present]  # a date each
+        drop_folders(df.sparkSession, [f"{path}/day={day}" for day in stale])
+
+
+def stored_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The files below ``path``; no rows if nothing is stored there yet."""
+    folder, files = _folder(spark, path)
+    if files.exists(folder):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, as Hadoop knows them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove folders of any file system that Spark knows."""
+    for path in paths:
+        folder, files = _folder(spark, path)
+        files.delete(folder, True)
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written below the work folder and read again, to be used several times."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def repartition_for_sink(df: DataFrame, n: int) -> DataFrame:
@@ -103,12 +162,16 @@ def append_jdbc(
     connections: int = 3,
     batch_rows: int = 10_000,
 ) -> None:
-    """Append over at most ``connections`` connections, in batches of rows."""
+    """Append over ``connections`` connections, in batches of rows.
+
+    Rows are dealt to the connections in a shuffle of their own, so what makes them
+    still runs in as many tasks as it needs.
+    """
     options = jdbc_read_options(url, table, properties) | {
         "numPartitions": str(connections),
         "batchsize": str(batch_rows),
     }
-    df.write.format("jdbc").options(**options).mode("append").save()
+    df.repartition(connections).write.format("jdbc").options(**options).mode("append").save()
 
 
 def _by_day(df: DataFrame) -> DataFrame:

@@ -1,99 +1,59 @@
-"""Hourly counts kept up to date by a stream of events.
+"""Hourly facts kept up to date by a stream of messages.
 
-``events`` is a streaming frame (ts, user_id, article_id, behavior), ``articles``
-a static one. Counts of an hour are dropped from the state once events are
-``delay`` past its end; events later than that are not counted.
+Every batch is stored first. Then the days it touched are worked out anew from all
+their stored events, so late events count, repeated ones do not, and the facts equal
+those of the batch job at any time. The article dimension is read afresh for each
+batch; days that hold events of articles it did not know are noted, and are worked out
+again once it knows one of them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from footfall.functions.timeparts import as_instant, day_of, from_instant
-from footfall.session import MIB
+from footfall.plans import jobs
+from footfall.schemas import UNMATCHED
 from footfall.sources.raw_log import parse_messages
-
-# A dimension measured up to this size is broadcast to a stream's tasks.
-BROADCAST_BYTES = 32 * MIB
-# Bytes of a dimension row besides its domain text, at least.
-ROW_BYTES = 32
-# Tasks over which a hot article's events are joined with a larger dimension.
-SALTS = 16
-
-
-def event_stream(messages: DataFrame) -> DataFrame:
-    """The readable messages of a stream as events."""
-    return parse_messages(messages).filter(F.col("status") == "ok").drop("value", "status")
-
-
-def _per_hour(events: DataFrame, delay: str, *keys: str) -> DataFrame:
-    counts = (
-        events.select(as_instant(F.col("ts")).alias("instant"), *keys)
-        .withWatermark("instant", delay)
-        .groupBy(F.window("instant", "1 hour").alias("span"), *keys)
-        .agg(F.count("*").alias("num"))
-    )
-    return counts.select(from_instant(F.col("span.start")).alias("hour"), *keys, "num")
-
-
-def stream_article_hours(
-    events: DataFrame, articles: DataFrame, delay: str = "1 hour"
-) -> DataFrame:
-    """Events per hour, article and behaviour, with the article's domain."""
-    counts = _per_hour(events, delay, "article_id", "behavior")
-    return counts.join(articles.select("article_id", "domain"), "article_id").select(
-        "hour", "article_id", "domain", "behavior", "num"
-    )
-
-
-def stream_user_hours(
-    events: DataFrame, articles: DataFrame, delay: str = "1 hour"
-) -> DataFrame:
-    """Events per hour, user and domain."""
-    return _per_hour(_with_domain(events, articles), delay, "user_id", "domain")
+from footfall.functions.timeparts import day_of
+from footfall.sources.tables import overwrite_days, stored_parquet, written
+from footfall.streaming import ingest
 
 
-def _with_domain(events: DataFrame, articles: DataFrame) -> DataFrame:
-    """Events with their article's domain.
+def keep_facts(
+    stream: DataFrame, store: str, facts: str, checkpoint: str, articles: Callable[[], DataFrame]
+) -> DataStreamWriter:
+    """Writer that stores every batch and brings the hourly facts below ``facts`` up to date.
 
-    Adaptive execution, which splits hot articles in batch jobs, is off in
-    stateful streams. So the dimension is measured once, when the stream is
-    built: a small one is broadcast, a large one is joined under a salt, which
-    spreads a hot article over SALTS tasks.
+    ``articles`` reads the dimension. A batch that is run again gives the same facts.
     """
-    domains = articles.select("article_id", "domain")
-    width = F.octet_length(F.col("domain").cast("string")) + F.lit(ROW_BYTES)
-    size = domains.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
-    if size <= BROADCAST_BYTES:
-        return events.join(F.broadcast(domains), "article_id")
-    salted = domains.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("user_id", "ts"), F.lit(SALTS)).cast("int")
-    return (
-        events.withColumn("salt", salt)
-        .join(salted.hint("shuffle_merge"), ["article_id", "salt"])
-        .drop("salt")
-    )
-
-
-def keep_hourly(counts: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Writer that stores the changed counts of every batch under its number."""
+    spark = stream.sparkSession
+    run = ingest.run_of(spark, store, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("day", day_of(F.col("hour"))).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("day").parquet(f"{path}/batch_id={batch_id}")
+        ingest.write_batch(batch, batch_id, store, run=run)
+        accepted = parse_messages(batch).filter(F.col("status") == "ok")
+        update_facts(spark, store, facts, accepted.select(day_of(F.col("ts")).alias("day")), articles())
 
     return (
-        counts.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
+        stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     )
 
 
-def read_hourly(spark: SparkSession, path: str) -> DataFrame:
-    """The stored counts, each from the last batch that changed it."""
-    stored = spark.read.parquet(path)
-    keys = [name for name in stored.columns if name not in ("num", "day", "batch_id")]
-    return stored.groupBy(*keys).agg(F.max_by("num", "batch_id").alias("num"))
+def update_facts(spark: SparkSession, store: str, facts: str, days: DataFrame, articles: DataFrame) -> None:
+    """Work out the facts of some days (column ``day``), and of those that wait for an article."""
+    articles = written(articles, "articles")
+    known = articles.select(F.col("article_id").cast("string").alias("article_id"))
+    waiting = stored_parquet(spark, f"{facts}/unmatched", UNMATCHED)
+    waiting = waiting.join(known, "article_id", "left_semi").select("day")
+    touched = [row["day"] for row in days.unionByName(waiting).distinct().collect()]  # a date each
+    if not touched:
+        return
+    chosen = F.col("day").isin(touched)
+    events = written(ingest.read_events(spark, store, days=chosen), "events")
+    jobs.hourly_facts(events, articles, facts, chosen)
+    unknown = events.join(known, "article_id", "left_anti").select("article_id", "day").distinct()
+    overwrite_days(unknown, f"{facts}/unmatched", chosen)

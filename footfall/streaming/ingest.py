@@ -1,52 +1,86 @@
 """Micro-batch ingest of messages into a store of events.
 
-Store layout: ``<path>/batch_id=<n>/status=<ok|rejected>/day=<day>/``. A batch
-is written as one job into its own folder and replaces that folder when it is
-run again, so a retried batch leaves no doubles. Reading resolves several
-writes of one key to the last.
+Store layout: ``<path>/day=<day>/status=<ok|rejected>/run=<r>/batch_id=<n>/``, so a
+reader of some days lists only those. A batch is one job that replaces its own folders
+when it is run again, so a retried batch leaves no doubles. ``run`` numbers the streams
+that wrote to the store: a stream with a new checkpoint gets a new number, as its
+batches count from 0 again. Reading resolves several writes of one key to the last.
+
+``compact_days`` resolves days once and retires the batches it has read; readers put
+the compacted days and the batches since then together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from footfall.functions.timeparts import day_of
-from footfall.operators.cells import EVENT_KEY, latest_behavior
-from footfall.schemas import INGESTED
+from footfall.operators.cells import EVENT_KEY, latest_writes
+from footfall.schemas import COMPACTED, INGESTED
 from footfall.sources.raw_log import parse_messages
-from footfall.sources.tables import overwrite_days, repartition_for_sink
+from footfall.sources.tables import (
+    drop_folders, overwrite_days, repartition_for_sink, stored_parquet, written,
+)
+
+WRITE_ORDER = ("run", "batch_id", "sent_at", "part", "pos")
+_STORED_BY = ("day", "status", "run", "batch_id")
+_DAY_KEY = ("day", *EVENT_KEY)
+_RUN = T.StructType([INGESTED["run"]])
 
-WRITE_ORDER = ("batch_id", "sent_at", "part", "pos")
 
+def write_batch(
+    batch: DataFrame, batch_id: int, path: str, writers: int | None = None, run: int = 0
+) -> None:
+    """Store one batch of messages under its stream's and its own number.
 
-def write_batch(batch: DataFrame, batch_id: int, path: str, writers: int | None = None) -> None:
-    """Store one batch of messages under its batch number."""
+    Rows are rebalanced by day and status, so a batch over many days writes few files
+    and a day that most of it belongs to is split.
+    """
     # Sources without offsets: the row's place in the batch stands in for one.
-    placed = batch.withColumn(
-        "pos", F.coalesce(F.col("pos"), F.monotonically_increasing_id())
-    )
+    placed = batch.withColumn("pos", F.coalesce(F.col("pos"), F.monotonically_increasing_id()))
     parsed = parse_messages(placed, "sent_at", "part", "pos")
-    stored = parsed.withColumn("day", day_of(F.col("ts")))
-    if writers:
-        stored = repartition_for_sink(stored, writers)
+    stored = parsed.withColumns(
+        {"day": day_of(F.col("ts")), "run": F.lit(run).cast("bigint"), "batch_id": F.lit(batch_id).cast("bigint")}
+    )
+    stored = repartition_for_sink(stored, writers) if writers else stored.hint("rebalance", F.col("day"), F.col("status"))
     (
         stored.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("status", "day")
-        .parquet(f"{path}/batch_id={batch_id}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*_STORED_BY)
+        .parquet(path)
     )
 
 
+def run_of(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The number of the stream that ``checkpoint`` belongs to, kept in that folder.
+
+    A checkpoint without one is a new stream's: its number is greater than all in the
+    store, so its writes come after theirs.
+    """
+    mark = f"{checkpoint.rstrip('/')}/store-run"
+    kept = stored_parquet(spark, mark, _RUN).first()
+    if kept:
+        return kept["run"]
+    latest = read_ingested(spark, path).agg(F.max("run")).first()[0]
+    run = max(int(time.time() * 1000), (latest or 0) + 1)
+    spark.createDataFrame([(run,)], _RUN).coalesce(1).write.parquet(mark)
+    return run
+
+
 def ingest(
     stream: DataFrame, path: str, checkpoint: str, writers: int | None = None
 ) -> DataStreamWriter:
     """Writer that stores every batch of ``stream``."""
+    run = run_of(stream.sparkSession, path, checkpoint)
     return (
         stream.writeStream.queryName("ingest")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, path, writers))
+        .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, path, writers, run))
     )
 
 
@@ -68,8 +102,8 @@ def drain(writer: DataStreamWriter) -> None:
 
 
 def read_ingested(spark: SparkSession, path: str) -> DataFrame:
-    """All stored messages, accepted and rejected."""
-    return spark.read.schema(INGESTED).parquet(path)
+    """All stored messages that are not retired, accepted and rejected."""
+    return stored_parquet(spark, path, INGESTED)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
@@ -79,21 +113,51 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_events(
-    spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None
-) -> DataFrame:
-    """Last write per time, user and article, of all days or a span of them."""
-    stored = read_ingested(spark, path).filter(F.col("status") == "ok")
+def between(first_day: str | None, last_day: str | None) -> Column:
+    """Condition on ``day``: from the first to the last one, each open if not given."""
+    wanted = F.lit(True)
     if first_day:
-        stored = stored.filter(F.col("day") >= F.lit(first_day).cast("date"))
+        wanted = wanted & (F.col("day") >= F.lit(first_day).cast("date"))
     if last_day:
-        stored = stored.filter(F.col("day") <= F.lit(last_day).cast("date"))
-    return latest_behavior(stored, WRITE_ORDER, ("day", *EVENT_KEY))
+        wanted = wanted & (F.col("day") <= F.lit(last_day).cast("date"))
+    return wanted
+
+
+def _resolved(spark: SparkSession, path: str, compacted: str | None, days: Column) -> DataFrame:
+    """Last write per time, user and article with its place in the order of writing."""
+    columns = [*_DAY_KEY, *WRITE_ORDER, "behavior"]
+    stored = read_ingested(spark, path).filter((F.col("status") == "ok") & days).select(*columns)
+    if compacted:
+        stored = stored.unionByName(stored_parquet(spark, compacted, COMPACTED).filter(days).select(*columns))
+    return latest_writes(stored, WRITE_ORDER, _DAY_KEY)
+
+
+def read_events(
+    spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None,
+    compacted: str | None = None, days: Column | None = None,
+) -> DataFrame:
+    """Last write per time, user and article, of all days, a span of them or a condition on ``day``."""
+    wanted = between(first_day, last_day) if days is None else days
+    return _resolved(spark, path, compacted, wanted).select(*_DAY_KEY, "behavior")
 
 
 def compact_days(
     spark: SparkSession, path: str, target: str,
-    first_day: str | None = None, last_day: str | None = None,
+    first_day: str | None = None, last_day: str | None = None, retire: bool = True,
 ) -> None:
-    """Write the resolved events of some days to ``target``, one folder per day."""
-    overwrite_days(read_events(spark, path, first_day, last_day), target)
+    """Resolve the days that have new batches into ``target``, one folder per day.
+
+    The batches read are retired only after ``target`` is written. If that fails half
+    way, readers see both, which resolve to the same events.
+    """
+    span = between(first_day, last_day)
+    fresh = read_ingested(spark, path).filter((F.col("status") == "ok") & span)
+    # One row per stored batch and day, from the folder names alone.
+    batches = fresh.select("day", "run", "batch_id").distinct().collect()
+    days = F.col("day").isin({row["day"] for row in batches})
+    resolved = written(_resolved(spark, path, target, days & span), "compact")
+    overwrite_days(resolved, target)
+    if retire:
+        drop_folders(spark, [
+            f"{path}/day={row['day']}/status=ok/run={row['run']}/batch_id={row['batch_id']}" for row in batches
+        ])

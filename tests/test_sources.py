@@ -25,16 +25,32 @@ def test_raw_log_lines(spark, tmp_path):
     ]
 
 
-def test_messages_in_time_order(make_events):
+def test_messages_are_keyed_and_in_time_order_for_each_user(make_events):
     events = make_events(
         ("2015-05-08 13:13:20", "U1", "D1", "1"),
         ("2015-05-08 13:13:19.05", "U2", "D2", "0"),
-        ("2015-05-08 13:13:19", "U3", "D3", "2"),
-    )
-    assert rows(raw_log.to_messages(events), "as_is") == [
-        ("U3@2@D3@2015-05-08 13:13:19.0",),
-        ("U2@0@D2@2015-05-08 13:13:19.05",),
-        ("U1@1@D1@2015-05-08 13:13:20.0",),
+        ("2015-05-08 13:13:19", "U1", "D3", "2"),
+        ("2015-05-08 13:13:18", "U2", "D4", "2"),
+    ).repartition(3)
+    sent = raw_log.to_messages(events).withColumn("task", F.spark_partition_id()).collect()
+    for user, wanted in {
+        "U1": ["U1@2@D3@2015-05-08 13:13:19.0", "U1@1@D1@2015-05-08 13:13:20.0"],
+        "U2": ["U2@2@D4@2015-05-08 13:13:18.0", "U2@0@D2@2015-05-08 13:13:19.05"],
+    }.items():
+        assert [r.value for r in sent if r.key == user] == wanted
+        assert len({r.task for r in sent if r.key == user}) == 1
+
+
+def test_a_log_keeps_its_texts_through_a_replay(spark, tmp_path):
+    logged = [("u@x.com", "1", "D1", "not-a-time"), ("U2", "0", "a@b", "2015"), ("U3", "2", "D3", " 2015-05-08 13:13:19.0")]
+    log = spark.createDataFrame(logged, "user_id STRING, behavior STRING, article_id STRING, behavior_time STRING")
+    raw_log.log_lines(log).write.text(str(tmp_path / "log"))
+    read_back = raw_log.read_behavior_log(spark, str(tmp_path / "log"))
+    assert rows(read_back) == sorted(logged)
+    sent = rows(raw_log.to_messages(raw_log.log_events(read_back)).select("value"))
+    assert sent == sorted(("@".join(fields),) for fields in logged)
+    assert [r.ts for r in raw_log.log_events(read_back).orderBy("user_id").collect()] == [
+        None, at("2015-05-08 13:13:19"), None,
     ]
 
 
@@ -106,6 +122,10 @@ class FakeFrame:
         self.write.told["selected"] = names
         return self
 
+    def repartition(self, n):
+        self.write.told["tasks"] = n
+        return self
+
 
 def test_publish_to_a_topic():
     frame = FakeFrame()
@@ -131,7 +151,7 @@ def test_jdbc_options():
     frame = FakeFrame()
     tables.append_jdbc(frame, "jdbc:x", "facts", connections=5)
     assert frame.write.told == {
-        "format": "jdbc", "url": "jdbc:x", "dbtable": "facts", "numPartitions": "5",
+        "format": "jdbc", "url": "jdbc:x", "dbtable": "facts", "numPartitions": "5", "tasks": 5,
         "batchsize": "10000", "mode": "append", "saved": True,
     }
 
@@ -220,5 +240,5 @@ def test_sizes_follow_the_data():
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert small["spark.sql.files.maxPartitionBytes"] == str(128 * MIB)
     large = size_settings(100 * 1024 * 1024 * MIB, 4_000)
-    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert large["spark.sql.shuffle.partitions"] == "204800"
     assert large["spark.sql.files.maxPartitionBytes"] == str(512 * MIB)

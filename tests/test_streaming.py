@@ -5,8 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.operators import facts
-from footfall.sources import messages, raw_log, synthetic
+from footfall.plans import jobs
+from footfall.schemas import UNMATCHED
+from footfall.sources import messages, synthetic
+from footfall.sources.tables import stored_parquet
 from footfall.streaming import hourly, ingest
 from tests.conftest import at, day, rows
 
@@ -67,8 +69,9 @@ def test_restart_goes_on_and_a_repeated_batch_leaves_no_doubles(spark, tmp_path,
         [(f"U2@0@D1@{GOOD}", None, None, None, None)],
         "value STRING, topic STRING, sent_at TIMESTAMP, part INT, pos BIGINT",
     )
-    ingest.write_batch(batch, 1, store)
-    ingest.write_batch(batch, 1, store)
+    run = ingest.run_of(spark, store, checkpoint)
+    ingest.write_batch(batch, 1, store, run=run)
+    ingest.write_batch(batch, 1, store, run=run)
     assert ingest.read_ingested(spark, store).count() == 2
 
 
@@ -108,45 +111,98 @@ def test_start_ingest_runs_at_an_interval(spark, tmp_path, topic):
         query.stop()
 
 
-@pytest.mark.parametrize("broadcast_bytes", [hourly.BROADCAST_BYTES, 0])
-def test_hourly_streams_equal_the_batch_counts(
-    spark, tmp_path, topic, make_articles, monkeypatch, broadcast_bytes
-):
-    monkeypatch.setattr(hourly, "BROADCAST_BYTES", broadcast_bytes)
+SENT = [
+    ["U1@0@D1@2015-05-08 13:13:19.0", "U1@0@D1@2015-05-08 13:59:19.5", "U2@1@D9@2015-05-08 13:00:00.0"],
+    ["U1@0@D1@2015-05-09 13:59:59.0", "U1@1@D2@2015-05-09 14:00:00.0", "oops", "U1@0@D1@2015-05-08 13:13:19.0"],
+    ["U2@1@D2@2015-05-12 16:30:00.0", "U1@0@D1@2015-05-12 18:00:00.0"],
+    ["U1@0@D1@2015-05-08 13:14:00.0", "U1@2@D1@2015-05-09 13:59:59.0"],
+]
+
+
+def facts_of(spark, root):
+    return [rows(spark.read.parquet(f"{root}/{name}")) for name in ("article_hour", "user_hour")]
+
+
+def test_facts_equal_the_batch_job_with_repeated_and_late_events(spark, tmp_path, topic, make_articles):
     articles = make_articles(D1="java", D2="python")
-    sent = [
-        ["U1@0@D1@2015-05-08 13:13:19.0", "U1@0@D1@2015-05-08 13:59:19.5", "U2@1@D9@2015-05-08 13:00:00.0"],
-        ["U1@0@D1@2015-05-08 13:59:59.0", "U1@1@D2@2015-05-08 14:00:00.0", "oops"],
-        ["U2@1@D2@2015-05-08 16:30:00.0"],
-    ]
-    for values in sent:
+    for values in SENT:
+        topic(*values)
+    store, kept = str(tmp_path / "store"), str(tmp_path / "kept")
+    ingest.drain(hourly.keep_facts(topic.stream(), store, kept, str(tmp_path / "cp"), lambda: articles))
+    jobs.hourly_days(spark, store, articles, str(tmp_path / "batch"))
+    assert facts_of(spark, kept) == facts_of(spark, str(tmp_path / "batch"))
+    user_hour = spark.read.parquet(f"{kept}/user_hour").groupBy("user_id").agg(F.sum("num"))
+    assert rows(user_hour) == [("U1", 6), ("U2", 1)]
+
+
+def test_an_article_added_between_batches_counts_on_all_its_days(spark, tmp_path, topic, make_articles):
+    dimension = [make_articles(D1="java")]
+    store, kept, checkpoint = (str(tmp_path / name) for name in ("store", "kept", "cp"))
+
+    def go_on():
+        ingest.drain(hourly.keep_facts(topic.stream(), store, kept, checkpoint, lambda: dimension[-1]))
+
+    for values in SENT[:2]:
         topic(*values)
-    flat = spark.createDataFrame([(v,) for part in sent for v in part], "value STRING")
-    events = raw_log.parse_messages(flat).filter("status = 'ok'")
-    pairs = [
-        (hourly.stream_article_hours, facts.article_hour_counts, "a"),
-        (hourly.stream_user_hours, facts.user_hour_counts, "u"),
+    go_on()
+    dimension.append(make_articles(D1="java", D2="python", D9="r"))
+    topic(*SENT[2])
+    go_on()
+    jobs.hourly_days(spark, store, dimension[-1], str(tmp_path / "batch"))
+    assert facts_of(spark, kept) == facts_of(spark, str(tmp_path / "batch"))
+    waiting = stored_parquet(spark, f"{kept}/unmatched", UNMATCHED)
+    assert waiting.count() == 0
+
+
+def test_nothing_stored_reads_as_no_rows(spark, tmp_path):
+    nowhere = str(tmp_path / "nowhere")
+    assert ingest.read_ingested(spark, nowhere).count() == 0
+    assert ingest.read_events(spark, nowhere, compacted=nowhere).count() == 0
+    ingest.compact_days(spark, nowhere, str(tmp_path / "target"))
+
+
+def test_a_new_checkpoint_keeps_what_is_stored(spark, tmp_path, topic):
+    store = str(tmp_path / "store")
+    topic(f"U1@0@D1@{GOOD}", f"U2@0@D1@{GOOD}")
+    for name in ("first", "second"):
+        ingest.drain(ingest.ingest(topic.stream(), store, str(tmp_path / name)))
+        topic(f"U1@1@D1@{GOOD}", f"U3@0@D1@{GOOD}")
+    assert [(r.user_id, r.behavior) for r in ingest.read_events(spark, store).orderBy("user_id").collect()] == [
+        ("U1", "1"), ("U2", "0"), ("U3", "0")
     ]
-    for streamed, batch, name in pairs:
-        counts = streamed(hourly.event_stream(topic.stream()), articles)
-        store, checkpoint = str(tmp_path / f"s{name}"), str(tmp_path / f"c{name}")
-        ingest.drain(hourly.keep_hourly(counts, store, checkpoint))
-        wanted = batch(events, articles)
-        found = hourly.read_hourly(spark, store).select(*wanted.columns)
-        assert rows(found) == rows(wanted)
-
-
-def test_events_after_the_delay_are_not_counted(spark, tmp_path, topic, make_articles):
-    topic("U1@0@D1@2015-05-08 13:13:19.0")
-    topic("U1@0@D1@2015-05-08 18:00:00.0")
-    topic("U1@0@D1@2015-05-08 18:30:00.0")
-    topic("U1@0@D1@2015-05-08 13:14:00.0")
-    counts = hourly.stream_user_hours(
-        hourly.event_stream(topic.stream()), make_articles(D1="java")
+    first, second = (ingest.run_of(spark, store, str(tmp_path / name)) for name in ("first", "second"))
+    assert first < second
+
+
+def test_a_batch_over_many_days_writes_few_files(spark, tmp_path):
+    store = tmp_path / "store"
+    batch = spark.range(0, 800, 1, 8).select(
+        F.concat(F.lit("U1@0@D1@2015-"), F.lpad(F.col("id") % 10 + 1, 2, "0"), F.lit("-"),
+                 F.lpad(F.floor(F.col("id") / 10) % 10 + 1, 2, "0"), F.lit(" 13:13:19.0")).alias("value"),
+        F.lit(None).cast("timestamp").alias("sent_at"), F.lit(None).cast("int").alias("part"),
+        F.lit(None).cast("bigint").alias("pos"),
     )
-    ingest.drain(hourly.keep_hourly(counts, str(tmp_path / "s"), str(tmp_path / "c")))
-    found = hourly.read_hourly(spark, str(tmp_path / "s")).select("hour", "num")
-    assert rows(found) == [(at("2015-05-08 13:00:00"), 1), (at("2015-05-08 18:00:00"), 2)]
+    ingest.write_batch(batch, 0, str(store))
+    assert len(list(store.glob("day=*"))) == 100
+    assert len(list(store.rglob("*.parquet"))) == 100
+
+
+def test_compacted_days_and_later_batches_read_as_one(spark, tmp_path, topic):
+    store, checkpoint, target = (str(tmp_path / n) for n in ("store", "cp", "target"))
+    topic(f"U1@0@D1@{GOOD}", f"U2@0@D1@{GOOD}", "U4@1@D4@2015-05-09 00:00:00.0", "bad")
+    ingest.drain(ingest.ingest(topic.stream(), store, checkpoint))
+    before = rows(ingest.read_events(spark, store))
+    ingest.compact_days(spark, store, target, retire=False)
+    assert rows(ingest.read_events(spark, store, compacted=target)) == before
+    ingest.compact_days(spark, store, target)
+    assert ingest.read_events(spark, store).count() == 0 and ingest.read_rejects(spark, store).count() == 1
+    assert rows(ingest.read_events(spark, store, compacted=target)) == before
+    topic(f"U1@1@D1@{GOOD}")
+    ingest.drain(ingest.ingest(topic.stream(), store, checkpoint))
+    for _ in range(2):
+        found = ingest.read_events(spark, store, compacted=target).orderBy("ts", "user_id").collect()
+        assert [(r.user_id, r.behavior) for r in found] == [("U1", "1"), ("U2", "0"), ("U4", "1")]
+        ingest.compact_days(spark, store, target)
 
 
 def test_console_tap_prints(spark, tmp_path, topic):
