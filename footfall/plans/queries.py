@@ -18,7 +18,7 @@ from footfall.plans import jobs
 from footfall.plans.tables import articles, events, table, visits
 from footfall.session import work_dir
 from footfall.sources import messages, raw_log
-from footfall.sources.tables import append_table, read_table, register
+from footfall.sources.tables import append_table, read_table, register, written
 from footfall.streaming import hourly, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,15 +330,18 @@ def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT CAST(day AS VARCHAR) || ' 00:00:00.0@' || user_id AS row_key, count(*) AS n_cells,
+SELECT CAST(day AS VARCHAR) || ' 00:00:00.0@' || user_id AS row_key, part, count(*) AS n_cells,
        string_agg(article_id || ':' || behavior, ';' ORDER BY article_id) AS cells
-FROM day_latest GROUP BY day, user_id""")
+FROM (SELECT *, CAST(('0x' || substr(md5(CAST(article_id AS VARCHAR)), 1, 4)) AS INTEGER) % 16 AS part
+      FROM day_latest)
+GROUP BY day, user_id, part""")
 def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = cells.collapse_cells(cells.latest_behavior(_day_events(spark, sf_dir)))
     entries = F.array_sort(F.map_entries("cells"))
     shown = F.transform(entries, lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"]))
     return wide.select(
         text.row_key(F.col("ts"), F.col("user_id")).alias("row_key"),
+        "part",
         F.size("cells").cast("bigint").alias("n_cells"),
         F.array_join(shown, ";").alias("cells"),
     )
@@ -346,9 +349,9 @@ def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(day AS VARCHAR) AS day, user_id, article_id, behavior FROM day_latest")
 def cells_of_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide rows split at two cells and taken apart again."""
+    """Wide rows taken apart again."""
     latest = cells.latest_behavior(_day_events(spark, sf_dir))
-    flat = cells.explode_cells(cells.collapse_cells(latest, max_cells=2))
+    flat = cells.explode_cells(cells.collapse_cells(latest))
     return _shown(flat.withColumnRenamed("ts", "day"))
 
 
@@ -511,11 +514,9 @@ def weekly_stats_many_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT week, round(total / n_days, 6) AS avg FROM week_stats")
 def weekly_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly totals joined with weekly day counts."""
-    user_hour = _user_hour(spark, sf_dir)
-    mean = reports.weekly_mean(
-        reports.weekly_totals(user_hour), reports.active_days_per_week(user_hour)
-    )
+    """Weekly totals joined with weekly day counts, both from the kept daily totals."""
+    daily = written(reports.daily_totals(_user_hour(spark, sf_dir)), "daily")
+    mean = reports.weekly_mean(reports.totals_of_days(daily), reports.count_of_days(daily))
     return _rounded(mean, "avg")
 
 
@@ -794,11 +795,10 @@ def _message_stream(spark: SparkSession, sent: DataFrame, root: str) -> DataFram
     return messages.read_stream(spark, "text", path=f"{root}/topic")
 
 
-def _stream_events(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    stream = _message_stream(spark, raw_log.to_messages(events(spark, sf_dir)), root)
-    return hourly.event_stream(stream).withColumns(
-        {name: text.as_number(F.col(name)) for name in ("user_id", "article_id")}
-    )
+def _unordered(sent: DataFrame) -> DataFrame:
+    """Messages of a source that tells nothing of their order."""
+    kinds = {"sent_at": "timestamp", "part": "int", "pos": "bigint"}
+    return sent.withColumns({name: F.lit(None).cast(kind) for name, kind in kinds.items()})
 
 
 @query("""
@@ -831,11 +831,7 @@ def compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, batch in enumerate(
         [events(spark, sf_dir), changed.withColumn("behavior", F.lit("9"))]
     ):
-        no_order = {"sent_at": "timestamp", "part": "int", "pos": "bigint"}
-        sent = raw_log.to_messages(batch).withColumns(
-            {name: F.lit(None).cast(dtype) for name, dtype in no_order.items()}
-        )
-        ingest.write_batch(sent, number, f"{root}/store")
+        ingest.write_batch(_unordered(raw_log.to_messages(batch)), number, f"{root}/store")
     ingest.compact_days(spark, f"{root}/store", f"{root}/events")
     stored = spark.read.parquet(f"{root}/events")
     return _shown(
@@ -865,19 +861,162 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("status", "value").agg(F.count("*").alias("num"))
 
 
+def _followed(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Facts kept by a stream that gets late and repeated messages and a growing dimension.
+
+    First two thirds of the events arrive while half of the articles are known, then
+    the rest, late, with some of the first again, while all are known.
+    """
+    root = work_dir(spark, name)
+    sent, every = events(spark, sf_dir), articles(spark, sf_dir)
+    seq = F.col("seq")
+    known = [every.filter(F.col("article_id") % 2 == 0)]
+    for batch in (sent.filter(seq % 3 != 1), sent.filter((seq % 3 == 1) | (seq % 5 == 0))):
+        stream = _message_stream(spark, raw_log.to_messages(batch), root)
+        writer = hourly.keep_facts(
+            stream, f"{root}/store", f"{root}/facts", f"{root}/checkpoint", lambda: known[-1]
+        )
+        ingest.drain(writer)
+        known.append(every)
+    return f"{root}/facts"
+
+
 @query("SELECT hour, article_id, domain, behavior, num FROM article_hour")
 def stream_article_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = work_dir(spark, "article-hours")
-    counts = hourly.stream_article_hours(
-        _stream_events(spark, sf_dir, root), articles(spark, sf_dir)
-    )
-    ingest.drain(hourly.keep_hourly(counts, f"{root}/store", f"{root}/checkpoint"))
-    return _shown(hourly.read_hourly(spark, f"{root}/store"))
+    kept = spark.read.parquet(f"{_followed(spark, sf_dir, 'article-hours')}/article_hour").drop("day")
+    return _shown(kept.withColumn("article_id", text.as_number(F.col("article_id"))))
 
 
 @query("SELECT hour, user_id, domain, num FROM user_hour")
 def stream_user_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = work_dir(spark, "user-hours")
-    counts = hourly.stream_user_hours(_stream_events(spark, sf_dir, root), articles(spark, sf_dir))
-    ingest.drain(hourly.keep_hourly(counts, f"{root}/store", f"{root}/checkpoint"))
-    return _shown(hourly.read_hourly(spark, f"{root}/store"))
+    kept = spark.read.parquet(f"{_followed(spark, sf_dir, 'user-hours')}/user_hour").drop("day")
+    return _shown(kept.withColumn("user_id", text.as_number(F.col("user_id"))))
+
+
+_EVENTS_SQL = """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(ts AS VARCHAR) AS time,
+       CAST(user_id AS VARCHAR) AS user_id, CAST(article_id AS VARCHAR) AS article_id, {behavior} AS behavior
+FROM b"""
+
+
+def _shown_events(stored: DataFrame) -> DataFrame:
+    return _shown(
+        stored.select(
+            "day", F.col("ts").cast("string").alias("time"), "user_id", "article_id", "behavior"
+        )
+    )
+
+
+@query(_EVENTS_SQL.replace("{behavior}", "CASE WHEN seq % 6 = 0 THEN '9' ELSE behavior END"))
+def ingest_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own fill one store; the later one's writes win."""
+    root = work_dir(spark, "two-checkpoints")
+    sent, seq = events(spark, sf_dir), F.col("seq")
+    changed = sent.withColumn("behavior", F.when(seq % 6 == 0, "9").otherwise(F.col("behavior")))
+    parts = {"first": sent.filter(seq % 3 != 1), "second": changed.filter((seq % 3 == 1) | (seq % 6 == 0))}
+    for name, part in parts.items():
+        stream = _message_stream(spark, raw_log.to_messages(part), f"{root}/{name}")
+        ingest.drain(ingest.ingest(stream, f"{root}/store", f"{root}/{name}/checkpoint"))
+    return _shown_events(ingest.read_events(spark, f"{root}/store"))
+
+
+@query(_EVENTS_SQL.replace("{behavior}", "CASE WHEN seq % 4 = 0 THEN '9' ELSE behavior END"))
+def compacted_and_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches compacted and retired, a third one read beside the compacted days."""
+    root = work_dir(spark, "tail")
+    sent, seq = events(spark, sf_dir), F.col("seq")
+    changed = sent.filter(seq % 4 == 0).withColumn("behavior", F.lit("9"))
+    batches = (sent, changed.filter(seq % 8 == 0), changed.filter(seq % 8 != 0))
+    store, target = f"{root}/store", f"{root}/events"
+    for number, batch in enumerate(batches):
+        if number == 2:
+            ingest.compact_days(spark, store, target)
+        ingest.write_batch(_unordered(raw_log.to_messages(batch)), number, store)
+    return _shown_events(ingest.read_events(spark, store, compacted=target))
+
+
+def _stored(spark: SparkSession, sf_dir: str, root: str) -> str:
+    ingest.write_batch(_unordered(raw_log.to_messages(events(spark, sf_dir))), 0, f"{root}/store")
+    return f"{root}/store"
+
+
+@query("SELECT hour, user_id, domain, num, 'whole' AS store FROM user_hour UNION ALL "
+       "SELECT strftime(ts, '%Y-%m-%d %H'), user_id, domain, count(*), 'range' FROM b JOIN dim USING (article_id) "
+       "WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-05 12:00:00' GROUP BY ALL")
+def hourly_in_two_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days run again from keys within them stay whole; an exact range is kept apart."""
+    root = work_dir(spark, "ranges")
+    store, known = _stored(spark, sf_dir, root), articles(spark, sf_dir)
+    jobs.hourly_days(spark, store, known, f"{root}/facts")
+    for first, last in (("2024-01-05", "2024-01-05"), ("2024-01-05", "2024-01-06"), ("2024-01-20", None)):
+        jobs.hourly_days(spark, store, known, f"{root}/facts", first, last)
+    ends = ("2024-01-05 00:00:00", ""), ("2024-01-05 12:00:00", "")
+    jobs.hourly_range(spark, store, known, f"{root}/range", *ends)
+    kept = [
+        spark.read.parquet(f"{root}/{folder}/user_hour").drop("day").withColumn("store", F.lit(name))
+        for folder, name in (("facts", "whole"), ("range", "range"))
+    ]
+    both = kept[0].unionByName(kept[1])
+    return _shown(both.withColumn("user_id", text.as_number(F.col("user_id"))))
+
+
+@query("""
+SELECT CAST(day AS VARCHAR) AS day, domain, CAST(sum(num) AS BIGINT) AS num FROM user_hour GROUP BY ALL""")
+def facts_in_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jobs through tables of the catalog, the hourly one run twice."""
+    root = work_dir(spark, "tables")
+    database = f"facts_{root[-32:]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    store, known = _stored(spark, sf_dir, root), articles(spark, sf_dir)
+    for first in (None, "2024-01-10"):
+        jobs.hourly_days(spark, store, known, f"{root}/facts", first, database=database)
+    jobs.daily_facts(spark, f"{root}/facts", database=database)
+    return _shown(read_table(spark, f"{database}.domain_day_activity").select("day", "domain", "num"))
+
+
+@query("""
+SELECT CAST(event_id AS BIGINT) AS line, CAST(user_id AS VARCHAR) || '@x.com' AS user_id,
+       CASE event_type WHEN 'signup' THEN 'not-a-time' WHEN 'click' THEN CAST(year(ts) AS VARCHAR)
+            ELSE CAST(ts AS VARCHAR) END AS behavior_time,
+       event_type NOT IN ('signup', 'click') AS readable
+FROM events""")
+def replay_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log with marks in its ids and unreadable times, written, read and replayed."""
+    visited = table(spark, sf_dir, "events")
+    kind, ts = F.col("event_type"), F.col("ts")
+    log = visited.select(
+        F.concat(F.col("user_id").cast("string"), F.lit("@x.com")).alias("user_id"),
+        F.lit("1").alias("behavior"), F.col("event_id").alias("article_id"),
+        F.when(kind == "signup", "not-a-time").when(kind == "click", F.year(ts).cast("string"))
+        .otherwise(ts.cast("string")).alias("behavior_time"),
+    )
+    path = work_dir(spark, "texts")
+    raw_log.log_lines(log).write.text(path)
+    read_back = raw_log.log_events(raw_log.read_behavior_log(spark, path))
+    sent = raw_log.to_messages(read_back)
+    # The first field holds a mark itself, so the message's texts are taken from its end.
+    value = F.col("value")
+    before = F.substring_index(value, text.FIELD_MARK, -3)
+    return sent.select(
+        F.split_part(before, F.lit(text.FIELD_MARK), F.lit(2)).cast("bigint").alias("line"),
+        F.col("key").alias("user_id"),
+        F.substring_index(value, text.FIELD_MARK, -1).alias("behavior_time"),
+        timeparts.parse_time(F.substring_index(value, text.FIELD_MARK, -1)).isNotNull().alias("readable"),
+    )
+
+
+@query("""
+SELECT CAST(day AS VARCHAR) AS day, article_id, CASE WHEN article_id % 3 = 0 THEN NULL ELSE num END AS num
+FROM (SELECT day, article_id, CAST(sum(num) AS BIGINT) AS num FROM article_day
+      WHERE domain = 'src3' GROUP BY ALL)""")
+def pages_walked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of a result with null counts, met by walking page after page."""
+    found = _article_day(spark, sf_dir).filter(F.col("domain") == "src3")
+    found = found.groupBy("day", "article_id").agg(F.sum("num").alias("num"))
+    found = found.withColumn("num", F.when(F.col("article_id") % 3 != 0, F.col("num")))
+    found = written(found, "walk")
+    order, met, last = ["num", "day", "article_id"], [], None
+    while rows := search.page_after(found, order, last, 50).collect():  # a page at a time, as a reader does
+        met += rows
+        last = rows[-1]
+    return _shown(spark.createDataFrame(met, found.schema).select("day", "article_id", "num"))

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.operators import cells, facts, reports, search
-from footfall.plans import queries
+from footfall.plans import jobs, queries
 from footfall.plans.tables import articles, events, visits
 from footfall.sources import tables as stored
+from footfall.streaming import ingest
 from tests.conftest import final_plan, plan, rows
 
 SMALL = "/root/testdata/sf0.001"
@@ -18,7 +19,8 @@ SMALL = "/root/testdata/sf0.001"
 LAZY = [
     name for name in queries.QUERIES
     if not name.startswith("stream_")
-    and name not in ("stored_domain_days", "appended_table", "compacted_events", "raw_log_events", "weekly_report_files",
+    and name not in ("hourly_in_two_ranges", "facts_in_tables", "ingest_two_checkpoints", "compacted_and_tail",
+                     "pages_walked", "replay_texts", "stored_domain_days", "appended_table", "compacted_events", "raw_log_events", "weekly_report_files",
                      "replay_positions", "result_positions")
 ]
 
@@ -123,18 +125,56 @@ def test_a_large_dimension_joins_by_shuffle_and_a_hot_article_is_split(
     assert found == wanted
 
 
-def test_a_hot_wide_row_is_joined_and_collected_in_pieces(spark, conf):
-    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_hot_wide_row_is_collected_in_pieces_without_a_join(spark):
     latest = spark.createDataFrame(
         [], "ts TIMESTAMP_NTZ, user_id STRING, article_id STRING, behavior STRING"
     )
     text = plan(cells.collapse_cells(latest))
-    # From the top: collected by part, joined by salt; only the counts are by key alone.
-    by_part = re.search(r"hashpartitioning\(ts#\d+, user_id#\d+, part#\d+, \d+\)", text)
-    by_salt = re.search(r"hashpartitioning\(ts#\d+, user_id#\d+, salt#\d+, \d+\)", text)
-    by_key = list(re.finditer(r"hashpartitioning\(ts#\d+, user_id#\d+, \d+\)", text))
-    assert text.index("collect_list") < by_part.start() < text.index("LeftOuter") < by_salt.start()
-    assert len(by_key) == 1 and "partial_count" in text[by_key[0].start():]
+    assert re.search(r"hashpartitioning\(ts#\d+, user_id#\d+, part#\d+, \d+\)", text)
+    assert "Join" not in text and text.count("Exchange") == 1
+
+
+def test_last_writes_are_sorted_once_after_the_only_shuffle(spark):
+    events = spark.createDataFrame(
+        [], "seq LONG, ts TIMESTAMP_NTZ, user_id STRING, article_id STRING, behavior STRING"
+    )
+    text = plan(cells.latest_behavior(events))
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
+    assert len(re.findall(r"\bSort \[", text)) == 1
+    assert text.index("Sort [") < text.index("Exchange hashpartitioning")
+
+
+def test_both_hourly_facts_read_resolved_events(spark, tmp_path, monkeypatch, make_articles):
+    """The store is resolved once, then both facts scan what was kept."""
+    batch = spark.createDataFrame(
+        [("U1@1@D1@2015-05-08 13:13:19.0", None, None, None, None)],
+        "value STRING, topic STRING, sent_at TIMESTAMP, part INT, pos BIGINT",
+    )
+    ingest.write_batch(batch, 0, str(tmp_path / "store"))
+    seen = []
+    real = jobs.overwrite_days
+    monkeypatch.setattr(jobs, "overwrite_days", lambda df, *a: (seen.append(plan(df)), real(df, *a)))
+    jobs.hourly_days(spark, str(tmp_path / "store"), make_articles(D1="java"), str(tmp_path / "facts"))
+    assert len(seen) == 2
+    for text in seen:
+        assert "max(struct" not in text and "run#" not in text
+
+
+def test_weekly_figures_are_worked_out_once(spark, tmp_path, monkeypatch, make_user_hour):
+    seen = {}
+    real = jobs.write_report
+    monkeypatch.setattr(
+        jobs, "write_report", lambda df, folder, name, fmt="json": (seen.update({name: plan(df)}), real(df, folder, name, fmt))[1]
+    )
+    jobs.weekly_report(make_user_hour(("2015-05-08 13:00:00", "U1", "java", 2)), str(tmp_path))
+    assert "stddev" in seen["figures"]
+    for name in ("average", "deviation"):
+        assert "Aggregate" not in seen[name] and "Exchange" not in seen[name]
+
+
+def test_weekly_mean_reads_its_source_once(spark):
+    text = plan(queries.QUERIES["weekly_mean"](spark, SMALL))
+    assert "documents" not in text and "events.parquet" not in text
 
 
 def test_a_small_dimension_is_broadcast_without_a_hint(spark, skewed):

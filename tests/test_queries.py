@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from footfall.plans.queries import QUERIES, TWINS
 
 SMALL = Path("/root/testdata/sf0.001")
 
@@ -20,20 +21,23 @@ def duck():
     return connection
 
 
-def test_every_query_has_a_twin():
-    assert set(entry_points.oracle_sql()) == set(entry_points.queries())
+def test_every_query_has_a_twin_and_is_registered():
+    assert set(TWINS) == set(QUERIES)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert TWINS.items() <= entry_points.oracle_sql().items()
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 50
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_twin(spark, duck, name):
-    df = entry_points.queries()[name](spark, str(SMALL))
+    df = QUERIES[name](spark, str(SMALL))
     columns = sorted(df.columns)
     found = sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
-    twin = duck.sql(entry_points.oracle_sql()[name])
+    twin = duck.sql(TWINS[name])
     assert sorted(twin.columns) == columns
     places = [twin.columns.index(c) for c in columns]
     wanted = sorted((tuple(r[i] for i in places) for r in twin.fetchall()), key=repr)
