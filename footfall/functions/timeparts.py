@@ -45,26 +45,6 @@ def day_key(day: Column, compact: bool = False) -> Column:
     return F.translate(text, "-", "") if compact else text
 
 
-def as_instant(ts: Column) -> Column:
-    """The wall-clock second read as UTC, whatever the session's zone.
-
-    Watermarks take only zone-aware times.
-    """
-    seconds = (
-        F.unix_date(F.to_date(ts)).cast("bigint") * 86_400
-        + F.hour(ts) * 3_600
-        + F.minute(ts) * 60
-        + F.second(ts)
-    )
-    return F.timestamp_seconds(seconds)
-
-
-def from_instant(instant: Column) -> Column:
-    """Wall-clock time of ``as_instant``."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(secs=F.unix_seconds(instant))
-
-
 def week_start(day: Column) -> Column:
     """The Monday on or before ``day``."""
     return F.to_date(F.trunc(day, "week"))

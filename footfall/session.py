@@ -25,10 +25,6 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Only the day partitions present in a written frame are replaced.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Streaming counts are kept on local disk of the executors, not on the heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Checkpointed results go once nothing refers to them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",

@@ -101,11 +101,23 @@ def drop_folders(spark: SparkSession, paths: Iterable[str]) -> None:
         files.delete(folder, True)
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written below the work folder and read again, to be used several times."""
-    path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Remove a folder when the application ends."""
+    folder, files = _folder(spark, path)
+    files.deleteOnExit(folder)
+
+
+def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
+    """``df`` written below the work folder and read again, until the application ends.
+
+    What follows starts from files that all executors share, so a lost executor costs
+    no more than its own running tasks.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, purpose)
+    df.write.options(**options).parquet(path)
+    remove_at_end(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def repartition_for_sink(df: DataFrame, n: int) -> DataFrame:

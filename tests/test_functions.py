@@ -74,8 +74,6 @@ def test_times_do_not_depend_on_the_zone(spark, conf, zone):
     assert one(spark, timeparts.hour_key(ts, compact=True)) == "2024031002"
     assert one(spark, timeparts.day_of(ts)) == day("2024-03-10")
     assert one(spark, timeparts.day_key(ts, compact=True)) == "20240310"
-    back = timeparts.from_instant(timeparts.as_instant(ts))
-    assert one(spark, back) == at("2024-03-10 02:30:15")
 
 
 def test_row_key_round_trip(spark):
