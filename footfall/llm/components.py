@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by alternating large and small stars."""
+"""Connected components of an edge table, by hooking neighbours to the smallest node known."""
 
 from __future__ import annotations
 
@@ -8,31 +8,31 @@ from pyspark.sql import functions as F
 from footfall.llm import store
 
 
-def _print(edges: DataFrame) -> tuple:
-    """A fingerprint of an edge table, to see whether a round has changed it."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has at most one edge down, and none of those that others lead to has one."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.where("down > 1 OR (down = 1 AND up = 1)").isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has an edge.
 
-    Each round hooks every node's neighbours to the smallest node it knows of, first
-    the larger neighbours (large star), then the smaller ones (small star), until all
-    edges lead to a smallest node. Minima are plain aggregations and joins, so a node
-    with very many edges is never gathered in one task.
+    In each round every node tells its neighbours the smallest node it knows of, itself
+    and its neighbours included, and they are linked to that one instead. When each node
+    leads to one smallest node only, that is its component. Minima are plain
+    aggregations and joins, so a node with very many edges is never gathered in one task.
     """
     edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges = store.written(edges, "edges")
-    before = None
-    while (now := _print(edges)) != before:
-        before = now
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u <> v")
-        edges = store.written(small.distinct(), "edges")
+        told = both.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        told = told.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u <> v")
+        edges = store.written(told.distinct(), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

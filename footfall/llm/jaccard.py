@@ -38,6 +38,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +48,7 @@ from footfall.llm.components import components
 
 # Buckets of the token counts (a power of two) and the rows they travel in.
 BUCKETS = 1 << 21
-SEGMENTS = 128
+SEGMENTS = 32
 # Bits of a bitmap of asked-for ids or tokens (a power of two) and its rows.
 BITS = 1 << 25
 BIT_ROWS = 1 << 7
@@ -57,10 +58,13 @@ BINS = 16
 KEYS = (0, 5, 10)
 AGREE = 9
 
+# Documents: size and fingerprint of the set, the minimum hashes that name groups, a byte
+# of each minimum hash, mean frequency of the tokens, and the first tokens in the order.
 _NODES = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()),
     T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType()),
-    T.StructField("mins", T.ArrayType(T.LongType())), T.StructField("typical", T.FloatType()),
+    T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sign1", T.LongType()),
+    T.StructField("sign2", T.LongType()), T.StructField("typical", T.FloatType()),
     T.StructField("first", T.ArrayType(T.LongType())),
 ])
 
@@ -103,7 +107,7 @@ def token_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 def _rows(numbers, bodies) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(numbers, pa.int32()), pa.array([body.tobytes() for body in bodies], pa.binary())], names=["row", "body"]
+        [pa.array(numbers, pa.int32()), pa.array(bodies, pa.binary())], names=["row", "body"]
     )
 
 
@@ -116,19 +120,21 @@ def _count_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
         for batch in batches:
             for tokens in token_sets(arrow.texts_of(batch.column(0)), rule.words):
                 held[(tokens & np.uint64(BUCKETS - 1)).astype(np.int64)] += np.uint32(1)
-        yield _rows(np.arange(SEGMENTS), held.reshape(SEGMENTS, per_row))
+        press = zstandard.ZstdCompressor(level=1).compress  # most counts of a task are small
+        yield _rows(np.arange(SEGMENTS), [press(row.tobytes()) for row in held.reshape(SEGMENTS, per_row)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
+        unpress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for row, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 held = total.setdefault(row, np.zeros(per_row, np.uint64))
-                held += np.frombuffer(body.as_buffer(), np.uint32)
-        yield _rows(list(total), list(total.values()))
+                held += np.frombuffer(unpress(body.as_buffer()), np.uint32)
+        yield _rows(list(total), [held.tobytes() for held in total.values()])
 
     parts = docs.select("text").mapInArrow(count, _ROWS).repartition("row")
     counts = np.zeros((SEGMENTS, per_row), np.uint64)
-    for row in parts.mapInArrow(add, _ROWS).toLocalIterator():  # a fixed number of rows
+    for row in parts.mapInArrow(add, _ROWS).collect():  # a fixed number of rows
         counts[row["row"]] = np.frombuffer(row["body"], np.uint64)
     return np.frexp(counts.reshape(-1).astype(np.float64))[1].astype(np.uint8)
 
@@ -149,13 +155,17 @@ def _describe(docs: DataFrame, rule: Rule, levels: np.ndarray) -> DataFrame:
                 out["s1"].append(rolling.mix(tokens).sum(dtype=np.uint64).astype(np.int64))
                 out["s2"].append(rolling.mix(tokens ^ np.uint64(0x6A09E667F3BCC909)).sum(dtype=np.uint64).astype(np.int64))
                 lowest = np.searchsorted(tokens, starts) % max(n, 1)  # of each range of hashes, or the next one's
-                out["mins"].append(tokens[lowest].astype(np.int64) if n else np.empty(0, np.int64))
+                mins = tokens[lowest] if n else np.zeros(BINS, np.uint64)
+                out["keys"].append(mins[list(KEYS)].astype(np.int64))
+                sign = np.ascontiguousarray(rolling.mix(mins).view(np.uint8).reshape(BINS, 8)[:, 0]).view(np.int64)
+                out["sign1"].append(sign[0])
+                out["sign2"].append(sign[1])
                 out["typical"].append(level.mean() if n else 0.0)
                 order = np.argsort(level << np.uint64(58) | tokens >> np.uint64(6), kind="stable")
                 out["first"].append(tokens[order[: rule.beginning(n)]].astype(np.int64))
             arrays = [batch.column(0)]
             for name in _NODES.names[1:]:
-                if name in ("mins", "first"):
+                if name in ("keys", "first"):
                     ends = np.cumsum([0, *map(len, out[name])])
                     flat = np.concatenate(out[name]) if out[name] else np.empty(0, np.int64)
                     arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
@@ -176,11 +186,11 @@ def _bitmap(bits: DataFrame) -> np.ndarray:
             rows, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy() % per_row
             for row in np.unique(rows).tolist():
                 marked.setdefault(row, np.zeros(per_row, np.uint8))[bit[rows == row]] = 1
-        yield _rows(list(marked), [np.packbits(row) for row in marked.values()])
+        yield _rows(list(marked), [np.packbits(row).tobytes() for row in marked.values()])
 
     rows = bits.select(F.floor(F.col("bit") / per_row).cast("int").alias("row"), "bit").repartition("row")
     out = np.zeros((BIT_ROWS, per_row // 8), np.uint8)
-    for row in rows.mapInArrow(mark, _ROWS).toLocalIterator():  # a fixed number of rows
+    for row in rows.mapInArrow(mark, _ROWS).collect():  # a fixed number of rows
         out[row["row"]] = np.frombuffer(row["body"], np.uint8)
     return out.reshape(-1)
 
@@ -192,28 +202,25 @@ def _marked(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
 def _sets_of(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     """(node, tokens): the token sets, as bytes, of the documents in ``ids`` (node).
 
-    A bitmap of the ids leaves out most other documents where they are read, so only
-    asked-for sets are worked out and moved.
+    A bitmap of the ids leaves out other documents where they are read, so only the
+    asked-for sets, and a few more by chance, are worked out.
     """
-    bit = lambda name: F.pmod(F.xxhash64(name), F.lit(BITS))
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids.select(bit("node").alias("bit"))))
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids.select(_bit_of("node").alias("bit"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked = _marked(shared.value, batch.column(2).to_numpy())
-            some = batch.filter(pa.array(asked))
+            some = batch.filter(pa.array(_marked(shared.value, batch.column(2).to_numpy())))
             sets = [tokens.tobytes() for tokens in token_sets(arrow.texts_of(some.column(1)), rule.words)]
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], names=["node", "tokens"])
 
-    rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text", bit("doc_id").alias("bit"))
-    found = rows.mapInArrow(run, "node long, tokens binary")
-    return store.written(found.join(ids, "node", "left_semi"), "sets", compression="none")
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text", _bit_of("doc_id").alias("bit"))
+    return store.written(rows.mapInArrow(run, "node long, tokens binary"), "sets", compression="none")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets link."""
     pairs = store.written(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     sets = _sets_of(docs, ids, rule)
     sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("left")), "a")
     sides = sides.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("right")), "b")
@@ -228,7 +235,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     linked = sides.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
-    return store.written(linked.distinct(), "links")
+    return store.written(linked, "links")
 
 
 def _similar_size(a: Column, b: Column, rule: Rule) -> Column:
@@ -237,25 +244,24 @@ def _similar_size(a: Column, b: Column, rule: Rule) -> Column:
 
 def _group_pairs(nodes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): each node with the most typical node of the groups its keys name."""
-    keys = F.explode(F.array(*(
-        F.struct(F.lit(k).alias("bin"), F.element_at("mins", k + 1).alias("least")) for k in KEYS
-    )))
-    named = nodes.select("node", "n", "mins", "typical", keys.alias("key"))
-    centre = F.max_by(F.struct("node", "n", "mins"), F.struct("typical", -F.col("node"))).alias("centre")
-    centres = named.groupBy("key").agg(centre, F.count("*").alias("size")).where("size > 1").select("key", "centre")
-    both = named.join(centres, "key").where(F.col("node") != F.col("centre.node"))
-    agree = F.aggregate(
-        F.zip_with("mins", "centre.mins", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x
-    )
+    named = nodes.select("node", "n", "sign1", "sign2", "typical", F.posexplode("keys").alias("bin", "least"))
+    centre = F.max(F.struct("typical", (-F.col("node")).alias("away"), "n", "sign1", "sign2")).alias("centre")
+    centres = named.groupBy("bin", "least").agg(centre, F.count("*").alias("size")).where("size > 1")
+    both = named.join(centres.drop("size"), ["bin", "least"]).where(F.col("node") != -F.col("centre.away"))
+    agree = F.lit(0)
+    for name in ("sign1", "sign2"):
+        differ = F.col(name).bitwiseXOR(F.col(f"centre.{name}"))
+        for k in range(8):
+            agree = agree + (F.shiftrightunsigned(differ, 8 * k).bitwiseAND(255) == 0).cast("int")
     near = both.where(_similar_size(F.col("n"), F.col("centre.n"), rule) & (agree >= AGREE))
-    return near.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct()
+    return near.select(F.col("node").alias("a"), (-F.col("centre.away")).alias("b")).distinct()
 
 
 def _shared_tokens(nodes: DataFrame) -> DataFrame:
     """(token, node, n, at): the beginnings' tokens that two nodes or more have."""
-    posted = nodes.select("node", F.explode("first").alias("token"))
-    shared = posted.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    shared = store.written(shared.select("token"), "shared-tokens")
+    # A node has a token once, so counting rows counts nodes.
+    counts = nodes.select(F.explode("first").alias("token")).groupBy("token").count()
+    shared = store.written(counts.where("count > 1").select("token"), "shared-tokens")
     bitmap = _bitmap(shared.select(F.pmod("token", F.lit(BITS)).alias("bit")))
     known = nodes.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -287,7 +293,7 @@ def _open_pairs(nodes: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
         return df.select(*(F.col(name) if name == "token" else F.col(name).alias(name + suffix) for name in df.columns))
 
     def reaches() -> Column:
-        needed = F.ceil(rule.percent * (F.col("n_a") + F.col("n_b")) / F.lit(100.0 + rule.percent) - 1e-9)
+        needed = _needed(F.col("n_a"), F.col("n_b"), rule)
         return (
             _similar_size(F.col("n_a"), F.col("n_b"), rule)
             & (F.col("at_a") <= F.col("n_a") - needed) & (F.col("at_b") <= F.col("n_b") - needed)
@@ -296,8 +302,47 @@ def _open_pairs(nodes: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
     met = side(cells, "_a").join(side(cells, "_b"), "token").where((F.col("group_a") < F.col("group_b")) & reaches())
     opened = store.written(met.select("token", "group_a", "group_b").distinct(), "opened")
     pairs = opened.join(side(posted, "_a"), ["token", "group_a"]).join(side(posted, "_b"), ["token", "group_b"])
-    pairs = pairs.where(reaches())
-    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    pairs = pairs.where(reaches()).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    return _with_enough_first(store.written(pairs, "opened-pairs"), nodes, rule)
+
+
+def _needed(n_a: Column, n_b: Column, rule: Rule) -> Column:
+    """``Rule.needed`` as a column; the small step back keeps whole quotients whole."""
+    return F.ceil(rule.percent * (n_a + n_b) / F.lit(100.0 + rule.percent) - 1e-9)
+
+
+def _with_enough_first(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs whose beginnings have enough tokens in common.
+
+    Of two beginnings, the one that ends earlier in the order has all its common tokens
+    in the other one too. So two sets share at most the tokens that their beginnings
+    share and what lies behind the shorter-reaching beginning.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    bitmap = _bitmap(ids.select(_bit_of("node").alias("bit")))
+    asked = _asked(nodes.select("node", "n", "first", _bit_of("node").alias("bit")), bitmap)
+    for side in ("a", "b"):
+        pairs = pairs.join(asked.select(
+            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("first").alias(f"first_{side}")), side)
+    behind = F.greatest(*(F.col(f"n_{side}") - F.size(f"first_{side}") for side in "ab"))
+    common = F.size(F.array_intersect("first_a", "first_b"))
+    return pairs.where(common + behind >= _needed(F.col("n_a"), F.col("n_b"), rule)).select("a", "b")
+
+
+def _asked(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """The rows whose column ``bit`` is set in the bitmap."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+    at = rows.columns.index("bit")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_marked(shared.value, batch.column(at).to_numpy())))
+
+    return rows.mapInArrow(run, rows.schema).drop("bit")
+
+
+def _bit_of(name: str) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(BITS))
 
 
 def similar_documents(
@@ -315,21 +360,27 @@ def similar_documents(
     described = store.written(_describe(docs, rule, levels), "sets-described")
     same = ["n", "s1", "s2"]
     nodes = described.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(
-        F.min("doc_id").alias("node"), *(F.any_value(name).alias(name) for name in ("mins", "typical", "first"))
+        F.min("doc_id").alias("node"),
+        *(F.any_value(name).alias(name) for name in ("keys", "sign1", "sign2", "typical", "first")),
     )
     nodes = store.written(nodes, "nodes")
     # Rows that share an id are one document: its nodes are linked by it.
     links = described.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min(F.struct(*same)).alias("low"), F.max(F.struct(*same)).alias("high")
     )
-    several = links.where("low <> high").select("doc_id")
-    alias = described.join(several, "doc_id", "left_semi").select("doc_id", *same)
-    by_id = alias.join(nodes.select("node", *same), same).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    near = _linked(_group_pairs(nodes, rule), docs, rule).unionByName(by_id)
-    near = store.written(near, "near")
+    several = store.written(links.where("low <> high").select("doc_id"), "several")
+    near = _linked(_group_pairs(nodes, rule), docs, rule)
+    if not several.isEmpty():
+        alias = described.join(several, "doc_id", "left_semi").select("doc_id", *same)
+        by_id = alias.join(nodes.select("node", *same), same)
+        near = near.unionByName(by_id.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     groups = components(near)
     more = _linked(_open_pairs(nodes, groups, rule), docs, rule)
-    found = components(near.unionByName(more))
+    # Groups are components already: what is left is to join those that a link connects.
+    found = groups
+    if not more.isEmpty():
+        edges = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+        found = components(edges)
     classes = nodes.select("node", *same).join(found, "node", "left")
     classes = classes.select(*same, F.coalesce("component", "node").alias("component"))
     rows = described.select("doc_id", *same).join(classes, same, "left")
