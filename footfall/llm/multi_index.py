@@ -209,7 +209,7 @@ def search(
     books = _fit(rows, n_codes(n), sample)
     coded = store.written(_code(rows, books), "coded")
     counts = np.zeros(len(books[0]) * len(books[1]), np.int64)
-    for row in coded.groupBy("cell").count().toLocalIterator():  # one row per cell at most
+    for row in coded.groupBy("cell").count().collect():  # one row per cell at most
         counts[row["cell"]] = row["count"]
     first, spans = _deal(counts)
     index = Index(books, counts, first, spans, max(math.ceil(opened * n), LEAST_OPENED, 2 * top + 1))

@@ -171,7 +171,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         return pd.DataFrame({"lang": [group["lang"].iloc[0]], "trees": [pickle.dumps(tables)]})
 
     found = sample.select("lang", "text").groupBy("lang").applyInPandas(trees, "lang string, trees binary")
-    return {row["lang"]: pickle.loads(row["trees"]) for row in found.toLocalIterator()}
+    return {row["lang"]: pickle.loads(row["trees"]) for row in found.collect()}  # a row per language
 
 
 FIELDS = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

@@ -4,15 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from footfall.session import work_dir
+from footfall.sources import tables
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd", **options: str) -> DataFrame:
-    """``df`` written as Parquet below the shared folder and read again.
-
-    What follows starts from files that all executors share, so a lost executor
-    costs no more than its own running tasks.
-    """
-    path = work_dir(df.sparkSession, name)
-    df.write.options(compression=compression, **options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written as Parquet below the shared folder and read again."""
+    return tables.written(df, name, compression=compression, **options)
