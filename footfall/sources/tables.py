@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -74,10 +75,18 @@ def overwrite_days(df: DataFrame, path: str, covered: Column | None = None) -> N
         .parquet(path)
     )
     if covered is not None:
-        present = set(seen.get["days"])
-        stored = stored_parquet(df.sparkSession, path, _DAY_ONLY).where(covered).select("day").distinct()
-        stale = [row["day"] for row in stored.collect() if row["day"] not in present]  # a date each
-        drop_folders(df.sparkSession, [f"{path}/day={day}" for day in stale])
+        spark, present = df.sparkSession, set(seen.get["days"])
+        left = [(day,) for day in stored_days(spark, path) if day not in present]
+        stale = spark.createDataFrame(left, _DAY_ONLY).where(covered).collect()
+        drop_folders(spark, [f"{path}/day={row['day']}" for row in stale])
+
+
+def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
+    """The days that have a folder below ``path``."""
+    folder, files = _folder(spark, path)
+    names = [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
+    days = [name.removeprefix("day=") for name in names if name.startswith("day=")]
+    return sorted(dt.date.fromisoformat(day) for day in days if day[:1].isdigit())
 
 
 def stored_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
