@@ -2,17 +2,47 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_BYTES = 1 << 20
 
+# Bytes of the Arrow batches that Spark hands to a task's Python code.
+BATCH_BYTES = 1 << 23
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand rows over in small batches, whose memory is held on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+
+
+def release() -> None:
+    """Give memory that a task has freed back to the system, as Python workers live on."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def tidy(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over a task's batches that releases freed memory when the task ends."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run
+
 
 def column(name: str):
     """A column by its exact name, which may hold dots or backticks."""
@@ -66,6 +96,7 @@ def add_columns(
     With ``keep`` the function returns one boolean mask instead and the rows it
     rejects are left out.
     """
+    small_batches(df.sparkSession)
     rest = without(df, [] if keep else fields.names)
     read = list(dict.fromkeys([*rest, *needed]))
     names = rest if keep else rest + fields.names
@@ -86,4 +117,4 @@ def add_columns(
             yield pa.RecordBatch.from_arrays(old + new, names=plain)
 
     inputs = df.select(*(column(name).alias(f"c{i}") for i, name in enumerate(read)))
-    return inputs.mapInArrow(run, schema).toDF(*names)
+    return inputs.mapInArrow(tidy(run), schema).toDF(*names)

@@ -109,6 +109,7 @@ def encode_chunks(
     first; rows that share an id are ordered by their text's hash. A document longer
     than a chunk makes a chunk of its own. Other columns are not stored.
     """
+    arrow.small_batches(docs.sparkSession)
     rows = docs.select(arrow.column(doc_id).cast("long").alias("doc_id"), arrow.column(text).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
     end = int(end_id).to_bytes(4, "little")
@@ -142,7 +143,7 @@ def encode_chunks(
         if names:
             yield close()
 
-    return rows.mapInArrow(run, CHUNKS)
+    return rows.mapInArrow(arrow.tidy(run), CHUNKS)
 
 
 def write_chunks(chunks: DataFrame, name: str = "ids") -> DataFrame:
@@ -185,7 +186,7 @@ def decode_chunks(chunks: DataFrame) -> DataFrame:
                     names=DOCUMENTS.names,
                 )
 
-    found = chunks.select(*read).mapInArrow(run, DOCUMENTS)
+    found = chunks.select(*read).mapInArrow(arrow.tidy(run), DOCUMENTS)
     starts = shard_starts(chunks)
     return found.join(F.broadcast(starts), "shard").select(
         "doc_id", (F.col("start") + F.col("before")).alias("start"), "ids"

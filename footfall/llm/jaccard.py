@@ -132,9 +132,9 @@ def _count_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
                 held += np.frombuffer(unpress(body.as_buffer()), np.uint32)
         yield _rows(list(total), [held.tobytes() for held in total.values()])
 
-    parts = docs.select("text").mapInArrow(count, _ROWS).repartition("row")
+    parts = docs.select("text").mapInArrow(arrow.tidy(count), _ROWS).repartition("row")
     counts = np.zeros((SEGMENTS, per_row), np.uint64)
-    for row in parts.mapInArrow(add, _ROWS).collect():  # a fixed number of rows
+    for row in parts.mapInArrow(arrow.tidy(add), _ROWS).collect():  # a fixed number of rows
         counts[row["row"]] = np.frombuffer(row["body"], np.uint64)
     return np.frexp(counts.reshape(-1).astype(np.float64))[1].astype(np.uint8)
 
@@ -173,7 +173,7 @@ def _describe(docs: DataFrame, rule: Rule, levels: np.ndarray) -> DataFrame:
                     arrays.append(pa.array(out[name], pa.float32() if name == "typical" else pa.int64()))
             yield pa.RecordBatch.from_arrays(arrays, names=_NODES.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, _NODES)
+    return docs.select("doc_id", "text").mapInArrow(arrow.tidy(run), _NODES)
 
 
 def _bitmap(bits: DataFrame) -> np.ndarray:
@@ -190,7 +190,7 @@ def _bitmap(bits: DataFrame) -> np.ndarray:
 
     rows = bits.select(F.floor(F.col("bit") / per_row).cast("int").alias("row"), "bit").repartition("row")
     out = np.zeros((BIT_ROWS, per_row // 8), np.uint8)
-    for row in rows.mapInArrow(mark, _ROWS).collect():  # a fixed number of rows
+    for row in rows.mapInArrow(arrow.tidy(mark), _ROWS).collect():  # a fixed number of rows
         out[row["row"]] = np.frombuffer(row["body"], np.uint8)
     return out.reshape(-1)
 
@@ -214,7 +214,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], names=["node", "tokens"])
 
     rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text", _bit_of("doc_id").alias("bit"))
-    return store.written(rows.mapInArrow(run, "node long, tokens binary"), "sets", compression="none")
+    return store.written(rows.mapInArrow(arrow.tidy(run), "node long, tokens binary"), "sets", compression="none")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
@@ -234,7 +234,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
                 keep.append(100 * both >= rule.percent * (len(left) + len(right) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    linked = sides.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    linked = sides.select("a", "b", "left", "right").mapInArrow(arrow.tidy(run), "a long, b long")
     return store.written(linked, "links")
 
 
@@ -279,7 +279,7 @@ def _shared_tokens(nodes: DataFrame) -> DataFrame:
                 names=["token", "node", "n", "at"],
             )
 
-    found = nodes.select("node", "n", "first").mapInArrow(run, "token long, node long, n long, at long")
+    found = nodes.select("node", "n", "first").mapInArrow(arrow.tidy(run), "token long, node long, n long, at long")
     return found.join(shared, "token", "left_semi")
 
 
@@ -338,7 +338,7 @@ def _asked(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(_marked(shared.value, batch.column(at).to_numpy())))
 
-    return rows.mapInArrow(run, rows.schema).drop("bit")
+    return rows.mapInArrow(arrow.tidy(run), rows.schema).drop("bit")
 
 
 def _bit_of(name: str) -> Column:
@@ -354,6 +354,7 @@ def similar_documents(
     is null for rows without an id whose set no row with an id has. Extra columns are
     left out.
     """
+    arrow.small_batches(docs.sparkSession)
     rule = Rule(words, percent)
     docs = docs.select(arrow.column(doc_id).cast("long").alias("doc_id"), arrow.column(text).alias("text"))
     levels = _count_tokens(docs, rule)

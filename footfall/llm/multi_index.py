@@ -166,7 +166,7 @@ def _code(rows: DataFrame, books: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 names=_CODED.names,
             )
 
-    return rows.select("vec_id", "vector").mapInArrow(run, _CODED)
+    return rows.select("vec_id", "vector").mapInArrow(arrow.tidy(run), _CODED)
 
 
 def _deal(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -107,8 +107,9 @@ def token_pieces(
                     out, size = {name: [] for name in PIECES.names}, 0
             yield _batch(out)
 
+    arrow.small_batches(docs.sparkSession)
     read = docs.select(arrow.column(doc_id).cast("long").alias("doc_id"), arrow.column(text).alias("text"))
-    return read.mapInArrow(run, PIECES)
+    return read.mapInArrow(arrow.tidy(run), PIECES)
 
 
 def _batch(out: dict[str, list]) -> pa.RecordBatch:
@@ -153,7 +154,7 @@ def pack_locally(items: DataFrame, capacity: int, slack: int = SLACK, length: st
         if count:
             yield from pack()
 
-    return items.select(*(arrow.column(name) for name in rest)).mapInArrow(run, schema)
+    return items.select(*(arrow.column(name) for name in rest)).mapInArrow(arrow.tidy(run), schema)
 
 
 def _round(open_bins: DataFrame, groups: int, turn: int, capacity: int) -> DataFrame:

@@ -27,8 +27,8 @@ from tokenizers import Tokenizer  # noqa: E402
 
 # Stretches a worker remembers before it starts anew; the same for words without the
 # signs after them, and the longest such word kept.
-REMEMBERED = 3 << 19
-CORES = 1 << 18
+REMEMBERED = 3 << 18
+CORES = 1 << 17
 LONGEST = 64
 BLOCK_BYTES = 1 << 20
 # Signs that are cut from a letter before them; an apostrophe is not always.
