@@ -137,37 +137,47 @@ def run_chain(x: np.ndarray, links: list[np.ndarray]) -> np.ndarray:
     return np.stack(found, axis=1)
 
 
-def telling_words(doc: np.ndarray, words: np.ndarray, y: np.ndarray) -> np.ndarray:
+def count_words(texts: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, texts with each, toxic texts with each, texts by category with a seed word).
+
+    Counted block by block, so only distinct words are held.
+    """
+    seeds = [np.array([word_hash(word) for word in SEEDS[name]], np.uint64) for name in SEEDS]
+    seeded = np.zeros((len(texts), len(seeds)), bool)
+    held = [(np.empty(0, np.uint64), np.empty(0), np.empty(0))]
+
+    def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        words, place = np.unique(np.concatenate([part[0] for part in held]), return_inverse=True)
+        return words, *(np.bincount(place, np.concatenate([part[i] for part in held]), len(words)) for i in (1, 2))
+
+    for first, _, data, offsets in arrow.blocks(texts):
+        doc, found = words_in(data, offsets)
+        for k, hashes in enumerate(seeds):
+            seeded[first + doc[np.isin(found, hashes)], k] = True
+        pairs = pd.DataFrame({"doc": doc, "word": found}).drop_duplicates()
+        words, place = np.unique(pairs["word"].to_numpy(), return_inverse=True)
+        toxic = y[first + pairs["doc"].to_numpy()]
+        held.append((words, np.bincount(place).astype(float), np.bincount(place, toxic)))
+        if sum(len(part[0]) for part in held[1:]) > 1 << 20:
+            held = [joined()]
+    return *joined(), seeded
+
+
+def telling_words(words: np.ndarray, size: np.ndarray, toxic: np.ndarray, n: int, n_toxic: float) -> np.ndarray:
     """The words whose presence depends on the label most (chi-squared), sorted by hash."""
-    pairs = pd.DataFrame({"doc": doc, "word": words}).drop_duplicates()
-    pairs["y"] = y[pairs["doc"].to_numpy()]
-    seen = pairs.groupby("word")["y"].agg(["size", "sum"])
-    seen = seen[seen["size"] >= MIN_TEXTS]
-    n, n_pos = len(y), y.sum()
-    a = seen["sum"].to_numpy(float)
-    size = seen["size"].to_numpy(float)
-    determinant = a * (n - n_pos - (size - a)) - (size - a) * (n_pos - a)
-    below = size * (n - size) * n_pos * (n - n_pos)
+    often = size >= MIN_TEXTS
+    words, size, a = words[often], size[often], toxic[often]
+    determinant = a * (n - n_toxic - (size - a)) - (size - a) * (n_toxic - a)
+    below = size * (n - size) * n_toxic * (n - n_toxic)
     score = np.where(below > 0, n * determinant**2 / np.maximum(below, 1), 0)
-    best = np.lexsort((seen.index.to_numpy(), -score))[:N_WORDS]
-    return np.sort(seen.index.to_numpy(np.uint64)[best])
+    return np.sort(words[np.lexsort((words, -score))[:N_WORDS]])
 
 
 def fit_texts(texts: pa.Array, y: np.ndarray, fold: np.ndarray) -> dict:
     """The model of labelled texts: the words looked at and the links of the chain."""
-    doc, found = [], []
-    for first, _, data, offsets in arrow.blocks(texts):
-        d, w = words_in(data, offsets)
-        doc.append(d + first)
-        found.append(w)
-    doc, found = np.concatenate(doc), np.concatenate(found)
-    seeds = {name: np.array([word_hash(word) for word in SEEDS[name]], np.uint64) for name in SEEDS}
-    words = telling_words(doc, found, y)
-    labels = np.zeros((len(y), len(CATEGORIES)))
-    for k, name in enumerate(SEEDS):
-        labels[np.unique(doc[np.isin(found, seeds[name])]), k] = 1
-        labels[:, k] *= y
-    labels[:, -1] = y
+    words, size, toxic, seeded = count_words(texts, y)
+    words = telling_words(words, size, toxic, len(y), y.sum())
+    labels = np.column_stack([seeded * y[:, None], y])
     return {"words": words, "links": fit_chain(word_counts(texts, words), labels, fold)}
 
 
@@ -214,7 +224,7 @@ def _judge(model: dict | None):
         if model is None or not len(body):
             p = np.zeros((len(body), len(CATEGORIES)))
         else:
-            step = max(1, (1 << 22) // max(1, len(model["words"])))
+            step = max(1, (1 << 19) // max(1, len(model["words"])))
             p = np.concatenate([
                 run_chain(word_counts(body[at : at + step], model["words"]), model["links"])
                 for at in range(0, len(body), step)
