@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from footfall.llm import jaccard, packing, quality, store, toxicity
 
@@ -31,8 +32,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, placed in sequences of 2048."""
-    return packing.pack(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    """Token pieces of all documents, placed in sequences of 2048.
+
+    The pieces with their ids are kept as a table; only small columns are packed.
+    """
+    pieces = packing.write_pieces(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

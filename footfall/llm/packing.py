@@ -31,7 +31,7 @@ SLACK = 8
 # Items packed together: in a partition's window (as many, or as many bytes), and in a
 # group of a later round.
 WINDOW = 1 << 16
-WINDOW_BYTES = 1 << 26
+WINDOW_BYTES = 1 << 25
 GROUP = 1 << 18
 
 PIECES = T.StructType([
@@ -102,7 +102,7 @@ def token_pieces(
                     for column, value in zip(PIECES.names, (name.as_py(), k, at // 4, len(cut) // 4, cut), strict=True):
                         out[column].append(value)
                     size += len(cut)
-                if size >= 1 << 24:
+                if size >= 1 << 22:
                     yield _batch(out)
                     out, size = {name: [] for name in PIECES.names}, 0
             yield _batch(out)
@@ -112,6 +112,11 @@ def token_pieces(
     return read.mapInArrow(arrow.tidy(run), PIECES)
 
 
+def write_pieces(pieces: DataFrame) -> DataFrame:
+    """Write pieces below the shared folder, in small row groups, as a writer holds one, and open them."""
+    return store.written(pieces, "pieces", **{"parquet.block.size": str(1 << 24)})
+
+
 def _batch(out: dict[str, list]) -> pa.RecordBatch:
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     return pa.RecordBatch.from_arrays(
@@ -143,7 +148,7 @@ def pack_locally(items: DataFrame, capacity: int, slack: int = SLACK, length: st
             number, place = best_fit(lengths, capacity, bins)
             window = window.append_column("bin", pa.array(number + first)).append_column("place", pa.array(place))
             first += bins.count
-            yield from window.combine_chunks().to_batches()
+            yield from window.combine_chunks().to_batches(max_chunksize=1 << 12)
 
         for batch in batches:
             held.append(batch)

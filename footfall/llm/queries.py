@@ -21,7 +21,6 @@ from footfall.llm import (
     packing,
     ppm,
     quality,
-    store,
     toxicity,
     urls,
 )
@@ -147,7 +146,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    pieces = store.written(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")), "pieces")
+    pieces = packing.write_pieces(packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
