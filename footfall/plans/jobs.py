@@ -16,7 +16,7 @@ from footfall.functions.timeparts import day_of
 from footfall.operators import facts, reports
 from footfall.operators.cells import key_range
 from footfall.sources.tables import overwrite_days, write_report, written
-from footfall.streaming.ingest import between, read_events
+from footfall.streaming.ingest import between, compacted_folders, read_events
 
 
 def _with_day(hourly: DataFrame) -> DataFrame:
@@ -59,10 +59,12 @@ def hourly_days(
 ) -> None:
     """Hourly facts of whole days from the store: all of them, or from the first to the last.
 
-    The events are resolved once, for both facts.
+    The events are resolved once, for both facts. Compacted days that the store has noted
+    count without ``compacted``.
     """
     days = between(first_day, last_day)
-    events = written(read_events(spark, store, days=days, compacted=compacted), "events")
+    folders = compacted_folders(spark, store, compacted)
+    events = written(read_events(spark, store, days=days, compacted=folders), "events")
     hourly_facts(events, articles, root, days, database)
 
 
@@ -74,7 +76,8 @@ def hourly_range(
 
     A range may hold part of a day, so it must not replace days of the whole facts.
     """
-    events = read_events(spark, store, str(start[0])[:10], str(stop[0])[:10], compacted)
+    folders = compacted_folders(spark, store, compacted)
+    events = read_events(spark, store, str(start[0])[:10], str(stop[0])[:10], folders)
     hourly_facts(written(key_range(events, start, stop), "events"), articles, folder, F.lit(True))
 
 

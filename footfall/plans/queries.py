@@ -861,11 +861,12 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("status", "value").agg(F.count("*").alias("num"))
 
 
-def _followed(spark: SparkSession, sf_dir: str, name: str) -> str:
+def _followed(spark: SparkSession, sf_dir: str, name: str, compacting: bool = False) -> str:
     """Facts kept by a stream that gets late and repeated messages and a growing dimension.
 
     First two thirds of the events arrive while half of the articles are known, then
-    the rest, late, with some of the first again, while all are known.
+    the rest, late, with some of the first again, while all are known. With
+    ``compacting`` the store is compacted and its batches retired after each part.
     """
     root = work_dir(spark, name)
     sent, every = events(spark, sf_dir), articles(spark, sf_dir)
@@ -877,6 +878,8 @@ def _followed(spark: SparkSession, sf_dir: str, name: str) -> str:
             stream, f"{root}/store", f"{root}/facts", f"{root}/checkpoint", lambda: known[-1]
         )
         ingest.drain(writer)
+        if compacting:
+            ingest.compact_days(spark, f"{root}/store", f"{root}/compacted")
         known.append(every)
     return f"{root}/facts"
 
@@ -893,6 +896,14 @@ def stream_user_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(kept.withColumn("user_id", text.as_number(F.col("user_id"))))
 
 
+@query("SELECT hour, article_id, domain, behavior, num FROM article_hour")
+def stream_compacted_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The followed store compacted between its batches; late events and new articles reach compacted days."""
+    root = _followed(spark, sf_dir, "compacted-hours", compacting=True)
+    kept = spark.read.parquet(f"{root}/article_hour").drop("day")
+    return _shown(kept.withColumn("article_id", text.as_number(F.col("article_id"))))
+
+
 _EVENTS_SQL = """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(ts AS VARCHAR) AS time,
        CAST(user_id AS VARCHAR) AS user_id, CAST(article_id AS VARCHAR) AS article_id, {behavior} AS behavior

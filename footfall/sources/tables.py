@@ -103,6 +103,17 @@ def _folder(spark: SparkSession, path: str) -> tuple:
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, the same however it is written."""
+    folder, files = _folder(spark, path)
+    return files.makeQualified(folder).toString()
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
+
+
 def drop_folders(spark: SparkSession, paths: Iterable[str]) -> None:
     """Remove folders of any file system that Spark knows."""
     for path in paths:

@@ -7,12 +7,15 @@ that wrote to the store: a stream with a new checkpoint gets a new number, as it
 batches count from 0 again. Reading resolves several writes of one key to the last.
 
 ``compact_days`` resolves days once and retires the batches it has read; readers put
-the compacted days and the batches since then together.
+the compacted days and the batches since then together. The store notes below
+``_compacted`` which folders hold its compacted days, so ``compacted_folders`` tells a
+job all of them, whether it was given them or not.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +27,14 @@ from footfall.operators.cells import EVENT_KEY, latest_writes
 from footfall.schemas import COMPACTED, INGESTED
 from footfall.sources.raw_log import parse_messages
 from footfall.sources.tables import (
-    drop_folders, overwrite_days, repartition_for_sink, stored_parquet, written,
+    drop_folders, folder_exists, overwrite_days, qualified, repartition_for_sink, stored_parquet, written,
 )
 
 WRITE_ORDER = ("run", "batch_id", "sent_at", "part", "pos")
 _STORED_BY = ("day", "status", "run", "batch_id")
 _DAY_KEY = ("day", *EVENT_KEY)
 _RUN = T.StructType([INGESTED["run"]])
+_FOLDER = T.StructType([T.StructField("folder", T.StringType())])
 
 
 def write_batch(
@@ -123,20 +127,39 @@ def between(first_day: str | None, last_day: str | None) -> Column:
     return wanted
 
 
-def _resolved(spark: SparkSession, path: str, compacted: str | None, days: Column) -> DataFrame:
+def compacted_folders(spark: SparkSession, path: str, given: str | None = None) -> list[str]:
+    """The folders that hold compacted days of a store: those it has noted, and a given one."""
+    noted = {row["folder"] for row in stored_parquet(spark, f"{path}/_compacted", _FOLDER).distinct().collect()}
+    gone = sorted(folder for folder in noted if not folder_exists(spark, folder))
+    if gone:
+        raise FileNotFoundError(f"compacted days of {path} are missing: {', '.join(gone)}")
+    return sorted(noted | ({qualified(spark, given)} if given else set()))
+
+
+def _note_compacted(spark: SparkSession, path: str, target: str) -> None:
+    """Note in a store that ``target`` holds compacted days of it."""
+    folder = qualified(spark, target)
+    if folder not in compacted_folders(spark, path):
+        spark.createDataFrame([(folder,)], _FOLDER).coalesce(1).write.mode("append").parquet(f"{path}/_compacted")
+
+
+def _resolved(spark: SparkSession, path: str, compacted: str | Sequence[str] | None, days: Column) -> DataFrame:
     """Last write per time, user and article with its place in the order of writing."""
     columns = [*_DAY_KEY, *WRITE_ORDER, "behavior"]
     stored = read_ingested(spark, path).filter((F.col("status") == "ok") & days).select(*columns)
-    if compacted:
-        stored = stored.unionByName(stored_parquet(spark, compacted, COMPACTED).filter(days).select(*columns))
+    for folder in [compacted] if isinstance(compacted, str) else compacted or ():
+        stored = stored.unionByName(stored_parquet(spark, folder, COMPACTED).filter(days).select(*columns))
     return latest_writes(stored, WRITE_ORDER, _DAY_KEY)
 
 
 def read_events(
     spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None,
-    compacted: str | None = None, days: Column | None = None,
+    compacted: str | Sequence[str] | None = None, days: Column | None = None,
 ) -> DataFrame:
-    """Last write per time, user and article, of all days, a span of them or a condition on ``day``."""
+    """Last write per time, user and article, of all days, a span of them or a condition on ``day``.
+
+    Without ``compacted`` (one folder or several) these are the batches not yet retired.
+    """
     wanted = between(first_day, last_day) if days is None else days
     return _resolved(spark, path, compacted, wanted).select(*_DAY_KEY, "behavior")
 
@@ -157,6 +180,8 @@ def compact_days(
     days = F.col("day").isin({row["day"] for row in batches})
     resolved = written(_resolved(spark, path, target, days & span), "compact")
     overwrite_days(resolved, target)
+    if batches:
+        _note_compacted(spark, path, target)
     if retire:
         drop_folders(spark, [
             f"{path}/day={row['day']}/status=ok/run={row['run']}/batch_id={row['batch_id']}" for row in batches

@@ -154,6 +154,32 @@ def test_an_article_added_between_batches_counts_on_all_its_days(spark, tmp_path
     assert waiting.count() == 0
 
 
+def test_facts_of_a_compacted_store_keep_its_events(spark, tmp_path, topic, make_articles):
+    dimension = [make_articles(D1="java")]
+    store, whole, kept, checkpoint, target = (
+        str(tmp_path / name) for name in ("store", "whole", "kept", "cp", "compacted")
+    )
+    for n, values in enumerate(SENT):
+        topic(*values)
+        ingest.drain(hourly.keep_facts(topic.stream(), store, kept, checkpoint, lambda: dimension[-1]))
+        ingest.compact_days(spark, store, target + str(n % 2))
+        dimension.append(make_articles(D1="java", D2="python", D9="r"))
+    assert ingest.read_ingested(spark, store).where("status = 'ok'").count() == 0
+    ingest.drain(ingest.ingest(topic.stream(), whole, str(tmp_path / "whole-cp")))
+    jobs.hourly_days(spark, whole, dimension[-1], str(tmp_path / "batch"))
+    assert facts_of(spark, kept) == facts_of(spark, str(tmp_path / "batch"))
+    # The batch job finds the compacted days, though not told where they are.
+    jobs.hourly_days(spark, store, dimension[-1], kept)
+    assert facts_of(spark, kept) == facts_of(spark, str(tmp_path / "batch"))
+    ends = ("2015-05-08 00:00:00", ""), ("2015-05-09 00:00:00", "")
+    for name, path in (("of-store", store), ("of-whole", whole)):
+        jobs.hourly_range(spark, path, dimension[-1], str(tmp_path / name), *ends)
+    assert facts_of(spark, str(tmp_path / "of-store")) == facts_of(spark, str(tmp_path / "of-whole"))
+    ingest._note_compacted(spark, store, str(tmp_path / "elsewhere"))
+    with pytest.raises(FileNotFoundError):
+        jobs.hourly_days(spark, store, dimension[-1], kept)
+
+
 def test_nothing_stored_reads_as_no_rows(spark, tmp_path):
     nowhere = str(tmp_path / "nowhere")
     assert ingest.read_ingested(spark, nowhere).count() == 0
