@@ -156,6 +156,18 @@ def page_at(numbered: DataFrame, number: int = 0, size: int = 10) -> DataFrame:
     return found.orderBy("position").drop("position")
 
 
+def follows(order_by: Sequence[str], last: Mapping[str, object]) -> Column:
+    """Whether a row comes after the row ``last`` (values or columns), ascending by ``order_by``, nulls first."""
+    # Built from the last column outwards: greater in this column, or equal
+    # here and greater in those that follow.
+    beyond = F.lit(False)
+    for name in reversed(order_by):
+        value, mark = F.col(name), F.lit(last[name])
+        greater = F.coalesce(value > mark, value.isNotNull() & mark.isNull())
+        beyond = greater | (value.eqNullSafe(mark) & beyond)
+    return beyond
+
+
 def page_after(
     df: DataFrame, order_by: Sequence[str], last: Mapping[str, object] | None, size: int = 10
 ) -> DataFrame:
@@ -164,19 +176,7 @@ def page_after(
     Walking on from the last row seen costs the same at any depth. Nulls come first
     in every column, as in an ascending sort, so the walk passes every row of a page.
     """
-    rest = df
-    if last is not None:
-        # Built from the last column outwards: greater in this column, or equal
-        # here and greater in those that follow.
-        beyond = F.lit(False)
-        for name in reversed(order_by):
-            value = F.col(name)
-            if last[name] is None:
-                beyond = value.isNotNull() | (value.isNull() & beyond)
-            else:
-                mark = F.lit(last[name])
-                beyond = F.coalesce((value > mark) | ((value == mark) & beyond), F.lit(False))
-        rest = df.filter(beyond)
+    rest = df if last is None else df.filter(follows(order_by, last))
     return rest.orderBy(*order_by).limit(size)
 
 

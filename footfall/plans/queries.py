@@ -1021,13 +1021,21 @@ SELECT CAST(day AS VARCHAR) AS day, article_id, CASE WHEN article_id % 3 = 0 THE
 FROM (SELECT day, article_id, CAST(sum(num) AS BIGINT) AS num FROM article_day
       WHERE domain = 'src3' GROUP BY ALL)""")
 def pages_walked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows of a result with null counts, met by walking page after page."""
+    """All rows of a result with null counts, met by walking page after page.
+
+    The walk is followed on Spark for all pages at once: a row is met on its page if it
+    comes after the last row of the page before, and not on the next if not after its own.
+    """
     found = _article_day(spark, sf_dir).filter(F.col("domain") == "src3")
     found = found.groupBy("day", "article_id").agg(F.sum("num").alias("num"))
     found = found.withColumn("num", F.when(F.col("article_id") % 3 != 0, F.col("num")))
     found = written(found, "walk")
-    order, met, last = ["num", "day", "article_id"], [], None
-    while rows := search.page_after(found, order, last, 50).collect():  # a page at a time, as a reader does
-        met += rows
-        last = rows[-1]
-    return _shown(spark.createDataFrame(met, found.schema).select("day", "article_id", "num"))
+    order, size = ["num", "day", "article_id"], 50
+    placed = search.with_positions(found, order).withColumn("page", F.expr(f"position div {size}"))
+    ends = placed.filter(F.col("position") % size == size - 1)
+    met = placed
+    for name, page in (("before", F.col("page") + 1), ("own", F.col("page"))):
+        last = ends.select(page.alias("page"), F.struct(*order).alias(name))
+        after = search.follows(order, {key: F.col(f"{name}.{key}") for key in order})
+        met = met.join(last, "page", "left").filter(F.col(name).isNull() | (after if name == "before" else ~after))
+    return _shown(met.select("day", "article_id", "num"))

@@ -206,3 +206,20 @@ def test_a_hot_day_is_split_when_written(spark, conf, tmp_path):
     files = {d.name: len(list(d.glob("*.parquet"))) for d in path.glob("day=*")}
     assert files["day=2024-01-01"] > 3
     assert spark.read.parquet(str(path)).count() == 200_000
+
+
+def test_the_walk_over_pages_brings_no_rows_to_the_driver(spark, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("rows came to the driver")
+
+    some = "/root/testdata/sf0.01"
+    num = F.when(F.col("article_id") % 3 != 0, F.sum("num"))
+    whole = queries._article_day(spark, some).filter("domain = 'src3'").groupBy("day", "article_id").agg(num.alias("num"))
+    whole = whole.select(F.col("day").cast("string").alias("day"), "article_id", "num")
+    wanted = whole.collect()
+    for name in ("collect", "toLocalIterator", "toPandas", "toArrow"):
+        monkeypatch.setattr(type(spark.range(1)), name, refuse)
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    found = queries.QUERIES["pages_walked"](spark, some)
+    monkeypatch.undo()
+    assert len(wanted) > 100 and rows(found.select(*wanted[0].asDict())) == rows(whole)
