@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
+from html import unescape
 from pathlib import Path
 
 import duckdb
@@ -140,6 +142,22 @@ def test_op9_keeps_the_paragraphs(spark):
     assert all(row.n_chars == len(row.text) > 0 for row in rows)
 
 
+def plain_article(html):
+    """What lies in the only article of a page of the tables, which hold no other markup there than these."""
+    (inside,) = re.findall(r"<article>(.*?)</article>", html, re.S)
+    assert set(re.findall(r"</?([a-z0-9]+)", inside)) <= {"h1", "p", "b", "br"}
+    parts = re.split(r"</?(?:h1|p)>", re.sub(r"<br>", " ", re.sub(r"</?b>", "", inside)))
+    return "\n\n".join(" ".join(unescape(part).split()) for part in parts if unescape(part).split())
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.1"])
+def test_op9_equals_a_plain_extraction(spark, size):
+    pages = pq.read_table(SMALL.parent / size / "pages.parquet").to_pydict()
+    wanted = {i: plain_article(html) for i, html in zip(pages["page_id"], pages["html"], strict=True)}
+    found = QUERIES["op9_main_text"](spark, str(SMALL.parent / size)).collect()
+    assert {r.page_id: r.text for r in found} == wanted and len(found) == len(pages["page_id"])
+
+
 def test_pipeline_stages_equal_plain_python(spark, texts):
     docs = spark.read.parquet(str(SMALL / "documents.parquet"))
     (_, good), (_, civil), (_, one_of_each), (_, packed) = corpus_pipeline.STAGES
