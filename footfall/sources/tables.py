@@ -68,7 +68,8 @@ def overwrite_days(df: DataFrame, path: str, covered: Column | None = None) -> N
     """
     seen = Observation()
     (
-        _by_day(df.observe(seen, F.collect_set("day").alias("days")))
+        # Observed after the exchange: before it, the metrics go when adaptive execution finds no rows.
+        _by_day(df).observe(seen, F.collect_set("day").alias("days"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")

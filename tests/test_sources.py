@@ -242,3 +242,15 @@ def test_sizes_follow_the_data():
     large = size_settings(100 * 1024 * 1024 * MIB, 4_000)
     assert large["spark.sql.shuffle.partitions"] == "204800"
     assert large["spark.sql.files.maxPartitionBytes"] == str(512 * MIB)
+
+
+def test_days_are_emptied_by_a_result_that_turns_out_empty_while_it_runs(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    path, known = str(tmp_path / "facts"), str(tmp_path / "known")
+    spark.range(20).select("id", F.lit("2024-01-05").cast("date").alias("day")).write.parquet(known)
+    rows = spark.read.parquet(known)
+    tables.overwrite_days(rows, path, F.lit(True))
+    assert len(tables.stored_days(spark, path)) == 1
+    unknown = rows.join(spark.read.parquet(known).select("id"), "id", "left_anti").distinct()
+    tables.overwrite_days(unknown, path, F.lit(True))
+    assert tables.stored_days(spark, path) == []
