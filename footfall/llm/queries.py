@@ -19,6 +19,7 @@ from footfall.llm import (
     jaccard,
     multi_index,
     packing,
+    periodic,
     ppm,
     quality,
     toxicity,
@@ -231,3 +232,102 @@ FROM parts
 @query(URLS_SQL)
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+# --- 12: periodic runs ---------------------------------------------------------
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the texts, by a checksum of the id, with a tail that repeats itself.
+
+    With h the checksum and g its tenth, the words from place a = g % n on repeat the
+    first p = 1 + (n - a) div (3 + g % 8) of them. Native expressions without lambdas,
+    so that a text is cut into words once.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    cut = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"),
+                      F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("words"))
+    cut = cut.withColumn("n", F.size("words"))
+    planted = (F.col("h") % 10 == 0) & (F.col("n") > 0)
+    cut = cut.withColumn("a", F.when(planted, F.expr("CAST(g % n AS INT)")).otherwise(0))
+    cut = cut.withColumn("p", F.when(planted, F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)")).otherwise(1))
+    tail = "flatten(array_repeat(slice(words, a + 1, p), CAST((n - a) DIV p AS INT)))"
+    rebuilt = f"concat_ws(' ', slice(words, 1, a), {tail}, slice(words, a + 1, CAST((n - a) % p AS INT)))"
+    return cut.select("doc_id", F.when(planted, F.expr(rebuilt)).otherwise(F.col("text")).alias("text"))
+
+
+# The checksum of a decimal number (CRC-32, its polynomial reversed), as DuckDB has none.
+_CRC_TABLE = """
+crc_table AS (
+  SELECT list(c ORDER BY b) AS t
+  FROM (SELECT b, list_reduce([b] || range(8), lambda c, k:
+               CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) AS bytes(b)) AS cells)"""
+
+
+def _crc_sql(number: str) -> str:
+    """The checksum of an integer expression; ``crc_table`` must be in scope."""
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return (f"xor(list_reduce([4294967295] || {codes}, lambda c, x: "
+            "xor(c >> 8, t[CAST(xor(c, x) & 255 AS BIGINT) + 1])), 4294967295)")
+
+
+RUNS_SQL = f"""
+WITH {_CRC_TABLE},
+cut AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         {_crc_sql("doc_id")} AS h
+  FROM documents, crc_table),
+placed AS (SELECT *, len(words) AS n, h // 10 AS g FROM cut),
+tails AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a FROM placed),
+w AS (
+  SELECT doc_id, i, words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM tails) AS each),
+grams AS (
+  SELECT doc_id, i, hash(word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS gram,
+         lead(word, 4) OVER o IS NOT NULL AS whole, word
+  FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+equal AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q
+  FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i AND x.whole AND y.whole),
+islands AS (
+  SELECT doc_id, q, min(i) AS start, max(i) + 5 + q - min(i) AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal) AS marked
+  GROUP BY doc_id, q, island
+  HAVING max(i) + 5 + q - min(i) >= greatest({periodic.LEAST_WORDS}, {periodic.LEAST_TIMES} * q)),
+runs AS (
+  SELECT * FROM islands x WHERE NOT EXISTS (
+    SELECT 1 FROM islands y WHERE y.doc_id = x.doc_id AND y.q < x.q
+    AND y.start <= x.start AND y.start + y.length >= x.start + x.length)),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS shown
+  FROM runs GROUP BY doc_id),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / q DESC, start, q) AS place FROM runs),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS shown FROM w ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start,
+       CAST(length AS BIGINT) AS length, CAST(q AS BIGINT) AS period,
+       CAST(1000 * length // q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(told.shown, '')) AS runs_sha256, sha256(coalesce(kept.shown, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN told USING (doc_id) LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (doc_id)
+     LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query(RUNS_SQL)
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.with_runs(planted_repeats(read(spark, sf_dir, "documents")))
+    # Runs come by start, then period, so of equal exponents the first stays.
+    best = F.expr(
+        "aggregate(runs, CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>), "
+        "(best, r) -> CASE WHEN best IS NULL OR r.length * best.period > best.length * r.period THEN r ELSE best END)"
+    )
+    shown = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    shown = F.when(F.size("runs") > 0, F.concat(shown, F.lit("\n"))).otherwise("")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(shown, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
