@@ -21,7 +21,9 @@ from footfall.llm import (
     packing,
     periodic,
     ppm,
+    prefix_trie,
     quality,
+    store,
     toxicity,
     urls,
 )
@@ -331,3 +333,80 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
         F.sha2(shown, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+# --- 13: conversation prefixes -------------------------------------------------
+
+HEAD_TURNS = 5
+
+TRIE_SQL = f"""
+WITH {_CRC_TABLE},
+t AS (
+  SELECT conv_id, role, text, md5(whole) AS digest,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(whole)) AS i
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS whole
+        FROM conversations WHERE conv_id IS NOT NULL) AS turns),
+ids AS (
+  SELECT conv_id AS c, conv_id - conv_id % 100 AS donor, {_crc_sql("conv_id")} % {HEAD_TURNS + 1} AS h
+  FROM (SELECT DISTINCT conv_id FROM t) AS every, crc_table),
+heads AS (SELECT c, i, digest, text FROM ids JOIN t ON t.conv_id = donor AND i <= h),
+lent AS (SELECT c, count(*) AS m FROM heads GROUP BY c),
+turns AS (
+  SELECT * FROM heads UNION ALL
+  SELECT c, i - h + coalesce(m, 0) AS i, digest, text
+  FROM ids JOIN t ON t.conv_id = c AND i > h LEFT JOIN lent USING (c)),
+named AS (
+  SELECT c, i AS depth, length(text) AS chars, i = max(i) OVER (PARTITION BY c) AS ends,
+         md5(string_agg(digest, '') OVER (PARTITION BY c ORDER BY i)) AS node
+  FROM turns
+  UNION ALL SELECT c, 0, 0, c NOT IN (SELECT c FROM turns), '' FROM ids),
+members AS (SELECT *, lag(node) OVER (PARTITION BY c ORDER BY depth) AS parent FROM named),
+nodes AS (
+  SELECT node, min(c) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent, any_value(chars) AS chars,
+         count(*) AS n_convs, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends) AS told
+  FROM members GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (
+  SELECT a.node, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((x.n_convs - 1) * x.chars) AS saved
+  FROM nodes x JOIN members a ON a.c = x.conv_id AND a.depth <= x.depth LEFT JOIN kids ON kids.node = x.node
+  GROUP BY a.node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(n.told, '')) AS ends_sha256
+FROM nodes n LEFT JOIN nodes up ON up.node = n.parent LEFT JOIN kids ON kids.node = n.node JOIN sums ON sums.node = n.node
+"""
+
+
+def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns, and ids, of conversations that begin as the one whose id ends in two zeros begins.
+
+    Of conversation c the first crc32(c) % 6 turns give way to those of c - c % 100.
+    """
+    turns = store.written(turns, "numbered-turns")
+    ids = turns.select("conv_id").distinct()
+    beginnings = turns.where((F.col("depth") <= HEAD_TURNS) & (F.col("conv_id") % 100 == 0))
+    beginnings = beginnings.groupBy(F.col("conv_id").alias("donor")).agg(  # a few rows each
+        F.sort_array(F.collect_list(F.struct("depth", "digest", "n_chars"))).alias("head")
+    )
+    plans = ids.select(
+        "conv_id", (F.col("conv_id") - F.col("conv_id") % 100).alias("donor"),
+        (F.crc32(F.col("conv_id").cast("string")) % (HEAD_TURNS + 1)).cast("int").alias("h"),
+    ).join(beginnings, "donor", "left")
+    plans = plans.withColumn("m", F.least("h", F.coalesce(F.size("head"), F.lit(0))))
+    heads = plans.where("m > 0").select("conv_id", F.inline(F.slice("head", F.lit(1), F.col("m"))))
+    own = turns.join(plans.select("conv_id", "h", "m"), "conv_id").where("depth > h")
+    own = own.select("conv_id", (F.col("depth") - F.col("h") + F.col("m")).alias("depth"), "digest", "n_chars")
+    return heads.unionByName(own), ids
+
+
+@query(TRIE_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, ids = rebuilt_conversations(prefix_trie.turn_digests(read(spark, sf_dir, "conversations")))
+    nodes, ends = prefix_trie.prefix_trie(turns, ids)
+    shared = prefix_trie.member_digests(ends.where("n_convs > 1"))
+    alone = F.when(F.col("n_ends") > 0, F.col("conv_id").cast("string")).otherwise("")
+    return nodes.join(shared, ["conv_id", "depth"], "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(alone, 256)).alias("ends_sha256"),
+    )
