@@ -18,6 +18,7 @@ from footfall.llm import (
     bpe,
     jaccard,
     multi_index,
+    neighbours,
     packing,
     periodic,
     ppm,
@@ -236,6 +237,32 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+# --- 11: near duplicates of embeddings -----------------------------------------
+
+LINKS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS x,
+         vec_id IS NOT NULL AND len(embedding) = (SELECT mode(len(embedding)) FROM embeddings)
+         AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+         AND len(list_filter(embedding, lambda y: y <> 0)) > 0 AS able
+  FROM embeddings),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM v a JOIN v b ON a.r <> b.r AND a.able AND b.able
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+reach AS (
+  SELECT r AS a, r AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+lowest AS (SELECT a AS r, min(vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = v.r) AS n_links, component_id,
+       vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN lowest USING (r)
+"""
+
+
+@query(LINKS_SQL)
+def op11_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.link_vectors(read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 # --- 12: periodic runs ---------------------------------------------------------
 
 
