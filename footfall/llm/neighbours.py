@@ -151,7 +151,8 @@ def _start(codes: DataFrame, seed: int, floor: float, links: float) -> DataFrame
 
 def _listed(found: DataFrame, name: str) -> DataFrame:
     """(a, b, s, new): the ``LISTED`` nearest of every node; what was known (new = false) stays so."""
-    once = found.repartition("a").groupBy("a", "b").agg(F.max("s").alias("s"), F.min("new").alias("new"))
+    # Pairs are met many times and a hub meets very many: both shrink before they are dealt by node.
+    once = found.groupBy("a", "b").agg(F.max("s").alias("s"), F.min("new").alias("new"))
     best = Window.partitionBy("a").orderBy(F.desc("s"), "b")
     ranked = once.withColumn("place", F.row_number().over(best)).where(F.col("place") <= LISTED).drop("place")
     return store.written(ranked, name)
