@@ -17,7 +17,7 @@ from footfall.operators import facts, search
 from footfall.plans import jobs
 from footfall.session import MIB, build_session, size_settings
 from footfall.sources import messages, raw_log, tables
-from footfall.streaming import ingest
+from footfall.streaming import deltas, ingest
 
 
 def _articles(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -52,6 +52,21 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     ingest.start_ingest(stream, args.store, args.checkpoint, every=args.every).awaitTermination()
 
 
+def follow(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Store the messages of topics with what they change in the hourly facts, until stopped."""
+    more = {"maxOffsetsPerTrigger": str(args.max_offsets)} if args.max_offsets else {}
+    stream = messages.read_stream(spark, "kafka", **messages.kafka_options(args.servers, args.topics, **more))
+    kept = deltas.Followed(spark, args.store, lambda: _articles(spark, args))
+    kept.writer(stream, args.checkpoint).trigger(processingTime=args.every).start().awaitTermination()
+
+
+def fold(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Compact a followed store and remove what its last versions do not hold."""
+    kept = deltas.Followed(spark, args.store, lambda: _articles(spark, args))
+    print(f"version\t{kept.compact().version}")
+    print(f"removed\t{kept.versions.vacuum(args.keep)}")
+
+
 def hourly(spark: SparkSession, args: argparse.Namespace) -> None:
     """Hourly facts of the stored events: of whole days, or of exactly a key range.
 
@@ -88,20 +103,24 @@ def daily(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def weekly(spark: SparkSession, args: argparse.Namespace) -> None:
     """The six weekly report files."""
-    user_hour = spark.read.parquet(f"{args.facts}/user_hour")
+    user_hour = jobs.fact(spark, "user_hour", args.facts, args.database)
     for name, path in jobs.weekly_report(user_hour, args.out, args.n, args.with_year).items():
         print(f"{name}\t{path}")
 
 
 def compare(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Daily domain totals from both stores: seconds each takes, and differing keys."""
-    paths = {
-        "activity": (facts.domain_day_from_activity, "user_hour"),
-        "articles": (facts.domain_day_from_articles, "article_day"),
+    """Daily domain totals from two stores: seconds each takes, and differing keys.
+
+    The activity comes from the catalog's ``--database`` or the folder ``--facts``, the
+    articles from a database over ``--jdbc``, else from where the activity comes from.
+    """
+    stores = {
+        "activity": (facts.domain_day_from_activity, "user_hour", None),
+        "articles": (facts.domain_day_from_articles, "article_day", args.jdbc),
     }
     totals = {}
-    for name, (total, fact) in paths.items():
-        totals[name] = total(spark.read.parquet(f"{args.facts}/{fact}"))
+    for name, (total, fact, jdbc) in stores.items():
+        totals[name] = total(jobs.fact(spark, fact, args.facts, args.database, jdbc))
         start = time.perf_counter()
         totals[name].write.format("noop").mode("overwrite").save()
         print(f"{name}\t{time.perf_counter() - start:.3f} s")
@@ -112,7 +131,7 @@ def compare(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def find(spark: SparkSession, args: argparse.Namespace) -> None:
     """One page of a search, by behaviour or by article."""
-    article_day = spark.read.parquet(f"{args.facts}/article_day")
+    article_day = jobs.fact(spark, "article_day", args.facts, args.database, args.jdbc)
     found = search.search_facts(
         article_day, args.start, args.end, args.domain, args.behavior, args.article
     )
@@ -148,10 +167,13 @@ def parser() -> argparse.ArgumentParser:
             articles_table="articles", articles_split=None, start=None, stop=None, exact=False)
     command("daily", daily, "facts", first_day=None, last_day=None, database=None,
             jdbc=None, connections=3)
-    command("weekly", weekly, "facts", "out", n=10, with_year=False)
-    command("compare", compare, "facts")
-    command("search", find, "facts", "start", "end", "domain",
+    command("weekly", weekly, "out", facts=None, database=None, n=10, with_year=False)
+    command("compare", compare, facts=None, database=None, jdbc=None)
+    command("search", find, "start", "end", "domain", facts=None, database=None, jdbc=None,
             behavior=None, article=None, page=0, size=10)
+    command("follow", follow, "servers", "topics", "store", "checkpoint", "articles",
+            articles_table="articles", articles_split=None, every="10 seconds", max_offsets=0)
+    command("fold", fold, "store", "articles", articles_table="articles", articles_split=None, keep=10)
     return top
 
 

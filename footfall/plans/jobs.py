@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from footfall.functions.timeparts import day_of
 from footfall.operators import facts, reports
 from footfall.operators.cells import key_range
-from footfall.sources.tables import overwrite_days, write_report, written
+from footfall.sources.tables import overwrite_days, read_jdbc, read_table, write_report, written
 from footfall.streaming.ingest import between, compacted_folders, read_events
 
 
@@ -43,6 +43,20 @@ def hourly_facts(
             publish_table(fact.sparkSession, f"{root}/{name}", f"{database}.{name}", fact.schema)
 
 
+def fact(
+    spark: SparkSession, name: str, root: str | None = None, database: str | None = None,
+    jdbc: str | None = None, split: tuple[str, int | str, int | str, int] | None = None,
+) -> DataFrame:
+    """A stored fact: from a database over JDBC, from the catalog, or from a folder, the first one given."""
+    if jdbc:
+        return read_jdbc(spark, jdbc, name, split=split)
+    if database:
+        return read_table(spark, f"{database}.{name}")
+    if root:
+        return spark.read.parquet(f"{root}/{name}")
+    raise ValueError("a fact needs a folder, a database of the catalog or a JDBC address")
+
+
 def publish_table(spark: SparkSession, path: str, name: str, schema: T.StructType) -> None:
     """Make a fact stored by day a table of the catalog, and let it see new days."""
     if not spark.catalog.tableExists(name):

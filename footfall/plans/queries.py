@@ -13,13 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions import text, timeparts
-from footfall.operators import cells, facts, reports, search
+from footfall.operators import cells, digests, facts, positions, reports, search, spans
 from footfall.plans import jobs
 from footfall.plans.tables import articles, events, table, visits
 from footfall.session import work_dir
-from footfall.sources import messages, raw_log
+from footfall.sources import messages, raw_log, replay
 from footfall.sources.tables import append_table, read_table, register, written
-from footfall.streaming import hourly, ingest
+from footfall.streaming import deltas, hourly, ingest, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -786,6 +786,104 @@ def result_page_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(search.page_after(rows, list(last), last, size=25))
 
 
+@query("""
+, numbered AS (
+  SELECT *, row_number() OVER (ORDER BY article_day.day, num, article_id, behavior) - 1 AS position, count(*) OVER () AS n
+  FROM article_day)
+SELECT page, CAST(day AS VARCHAR) AS day, article_id, domain, behavior, num, position
+FROM (SELECT *, position // 25 AS page FROM numbered) AS paged
+WHERE page IN (0, n // 50, (n - 1) // 25)""")
+def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first, a middle and the last page of a whole result that is stored by position."""
+    path, rows = work_dir(spark, "positions"), _article_day(spark, sf_dir)
+    order = ["day", "num", "article_id", "behavior"]
+    schema = positions.store_positions(rows, order, path, range_rows=1000)
+    n = spark.read.schema(schema).parquet(path).count()
+    pages = {0, n // 50, max(n - 1, 0) // 25}
+    found = None
+    for number in sorted(pages):
+        page = positions.stored_page(spark, path, schema, number, 25, range_rows=1000)
+        page = page.withColumn("page", F.lit(number).cast("bigint"))
+        found = page if found is None else found.unionByName(page)
+    return _shown(found)
+
+
+@query("""
+, asked AS (
+  SELECT DISTINCT 'behavior' AS kind, day, domain, behavior, NULL AS article_id, 6 AS back FROM article_day
+  UNION ALL SELECT DISTINCT 'domain', day, domain, NULL, NULL, 13 FROM article_day
+  UNION ALL SELECT DISTINCT 'article', day, domain, NULL, article_id, CAST(article_id % 9 AS INTEGER) FROM article_day
+  UNION ALL SELECT 'both', day, domain, behavior, article_id, CAST(article_id % 5 AS INTEGER) FROM article_day)
+SELECT kind, CAST(a.day - back AS VARCHAR) AS first, CAST(a.day AS VARCHAR) AS last, a.domain, a.behavior, a.article_id,
+       CAST(coalesce(sum(num), 0) AS BIGINT) AS total
+FROM asked a LEFT JOIN article_day d ON d.domain = a.domain AND d.day BETWEEN a.day - back AND a.day
+     AND (a.behavior IS NULL OR d.behavior = a.behavior) AND (a.article_id IS NULL OR d.article_id = a.article_id)
+GROUP BY kind, a.day, back, a.domain, a.behavior, a.article_id""")
+def totals_of_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of very many spans at once, by domain and with either optional filter or both."""
+    rows = written(_article_day(spark, sf_dir), "article-day")
+    asked = {
+        "behavior": (rows.select("day", "domain", "behavior").distinct(), F.lit(6)),
+        "domain": (rows.select("day", "domain").distinct(), F.lit(13)),
+        "article": (rows.select("day", "domain", "article_id").distinct(), F.col("article_id") % 9),
+        "both": (rows.select("day", "domain", "behavior", "article_id"), F.col("article_id") % 5),
+    }
+    wanted = None
+    for kind, (keys, back) in asked.items():
+        part = keys.withColumn("first", F.date_sub("day", back.cast("int"))).withColumnRenamed("day", "last")
+        part = part.withColumn("kind", F.lit(kind))
+        wanted = part if wanted is None else wanted.unionByName(part, allowMissingColumns=True)
+    found = spans.span_totals(spans.running_sums(rows), wanted)
+    return found.withColumns({name: timeparts.day_key(F.col(name)) for name in ("first", "last")})
+
+
+_TWO_STORES_SQL = """
+, l AS (SELECT day, user_id, domain, CAST(sum(num) AS BIGINT) AS num FROM user_hour GROUP BY ALL),
+r AS (
+  SELECT day, user_id, CASE WHEN user_id % 89 = 3 THEN domain || 'x' ELSE domain END AS domain,
+         CASE WHEN user_id % 97 = 5 AND day = DATE '2024-01-09' THEN num + 1 ELSE num END AS num
+  FROM l WHERE NOT (user_id % 61 = 7 AND day = DATE '2024-01-21'))
+SELECT CAST(coalesce(l.day, r.day) AS VARCHAR) AS day, coalesce(l.user_id, r.user_id) AS user_id,
+       coalesce(l.domain, r.domain) AS domain, l.num AS left_num, r.num AS right_num, false AS equal
+FROM l FULL JOIN r ON l.day = r.day AND l.user_id = r.user_id AND l.domain = r.domain
+WHERE l.num IS DISTINCT FROM r.num"""
+
+
+def _two_stores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """One fact twice, the second time with other counts, other domains and rows that are gone."""
+    hours = _user_hour(spark, sf_dir).withColumn("day", timeparts.day_of(F.col("hour")))
+    left = written(hours.groupBy("day", "user_id", "domain").agg(F.sum("num").alias("num")), "left")
+    user, day = F.col("user_id"), F.col("day")
+    changed = (user % 97 == 5) & (day == F.lit("2024-01-09").cast("date"))
+    gone = (user % 61 == 7) & (day == F.lit("2024-01-21").cast("date"))
+    right = left.where(~gone).withColumns({
+        "domain": F.when(user % 89 == 3, F.concat("domain", F.lit("x"))).otherwise(F.col("domain")),
+        "num": F.when(changed, F.col("num") + 1).otherwise(F.col("num")),
+    })
+    return left, right
+
+
+@query(_TWO_STORES_SQL)
+def differing_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stores compared by the digests of their parts; only parts that differ are read."""
+    root, keys = work_dir(spark, "digests"), ["day", "user_id", "domain"]
+    sides = [digests.store(df, f"{root}/{k}", keys, buckets=8) for k, df in enumerate(_two_stores(spark, sf_dir))]
+    return _shown(digests.differences(spark, *sides))
+
+
+@query(_TWO_STORES_SQL)
+def compared_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table compared with a folder that holds the same fact with differences."""
+    root = work_dir(spark, "compared")
+    database = f"compared_{root[-32:]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    left, right = _two_stores(spark, sf_dir)
+    append_table(left, f"{database}.user_day")
+    right.write.parquet(f"{root}/user_day")
+    sides = (jobs.fact(spark, "user_day", database=database), jobs.fact(spark, "user_day", root))
+    return _shown(facts.reconcile(*sides, ["day", "user_id", "domain"]).where("NOT equal"))
+
+
 # --- streams -------------------------------------------------------------------
 
 
@@ -861,61 +959,180 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("status", "value").agg(F.count("*").alias("num"))
 
 
-def _followed(spark: SparkSession, sf_dir: str, name: str, compacting: bool = False) -> str:
+_EVENTS_SQL = """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(ts AS VARCHAR) AS time,
+       CAST(user_id AS VARCHAR) AS user_id, CAST(article_id AS VARCHAR) AS article_id, {behavior} AS behavior
+FROM b"""
+
+
+def _shown_events(stored: DataFrame) -> DataFrame:
+    return _shown(
+        stored.select(
+            "day", F.col("ts").cast("string").alias("time"), "user_id", "article_id", "behavior"
+        )
+    )
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two thirds of the events; then the rest, late, with some of the first again."""
+    sent, seq = events(spark, sf_dir), F.col("seq")
+    return sent.filter(seq % 3 != 1), sent.filter((seq % 3 == 1) | (seq % 5 == 0))
+
+
+def _followed(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Facts kept by a stream that gets late and repeated messages and a growing dimension.
 
-    First two thirds of the events arrive while half of the articles are known, then
-    the rest, late, with some of the first again, while all are known. With
-    ``compacting`` the store is compacted and its batches retired after each part.
+    The first part of the events arrives while half of the articles are known, the second
+    one while all are. The store is compacted and its batches retired after each part.
     """
     root = work_dir(spark, name)
-    sent, every = events(spark, sf_dir), articles(spark, sf_dir)
-    seq = F.col("seq")
+    every = articles(spark, sf_dir)
     known = [every.filter(F.col("article_id") % 2 == 0)]
-    for batch in (sent.filter(seq % 3 != 1), sent.filter((seq % 3 == 1) | (seq % 5 == 0))):
+    for batch in _parts(spark, sf_dir):
         stream = _message_stream(spark, raw_log.to_messages(batch), root)
         writer = hourly.keep_facts(
             stream, f"{root}/store", f"{root}/facts", f"{root}/checkpoint", lambda: known[-1]
         )
         ingest.drain(writer)
-        if compacting:
-            ingest.compact_days(spark, f"{root}/store", f"{root}/compacted")
+        ingest.compact_days(spark, f"{root}/store", f"{root}/compacted")
         known.append(every)
     return f"{root}/facts"
 
 
+def _changed_facts(spark: SparkSession, sf_dir: str, name: str) -> deltas.Followed:
+    """The same stream with its facts kept by signed changes."""
+    root = work_dir(spark, name)
+    every = articles(spark, sf_dir)
+    known = [every.filter(F.col("article_id") % 2 == 0)]
+    kept = deltas.Followed(spark, f"{root}/store", lambda: known[-1], buckets=4)
+    for batch in _parts(spark, sf_dir):
+        stream = _message_stream(spark, raw_log.to_messages(batch), root)
+        ingest.drain(kept.writer(stream, f"{root}/checkpoint"))
+        known.append(every)
+    return kept
+
+
 @query("SELECT hour, article_id, domain, behavior, num FROM article_hour")
 def stream_article_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = spark.read.parquet(f"{_followed(spark, sf_dir, 'article-hours')}/article_hour").drop("day")
+    kept = _changed_facts(spark, sf_dir, "article-hours").fact("article_hour").drop("day")
     return _shown(kept.withColumn("article_id", text.as_number(F.col("article_id"))))
 
 
 @query("SELECT hour, user_id, domain, num FROM user_hour")
 def stream_user_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = spark.read.parquet(f"{_followed(spark, sf_dir, 'user-hours')}/user_hour").drop("day")
+    kept = _changed_facts(spark, sf_dir, "user-hours").fact("user_hour").drop("day")
     return _shown(kept.withColumn("user_id", text.as_number(F.col("user_id"))))
 
 
-@query("SELECT hour, article_id, domain, behavior, num FROM article_hour")
-def stream_compacted_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The followed store compacted between its batches; late events and new articles reach compacted days."""
-    root = _followed(spark, sf_dir, "compacted-hours", compacting=True)
-    kept = spark.read.parquet(f"{root}/article_hour").drop("day")
-    return _shown(kept.withColumn("article_id", text.as_number(F.col("article_id"))))
+@query(f"""
+SELECT (row_number() OVER (ORDER BY ts, user_id, article_id, behavior, seq) - 1) // 3000 AS slice,
+       concat_ws('@', user_id, behavior, article_id, {_time_sql('ts')}) AS value
+FROM b""")
+def replayed_in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log sent in order of time, slice by slice, stopped after two and gone on with."""
+    root = work_dir(spark, "slices")
+    slices = replay.store_slices(events(spark, sf_dir), f"{root}/slices", 3000)
 
+    def publish(sent: DataFrame, number: int) -> None:
+        messages.publish(sent, fmt="text", path=f"{root}/topic/slice={number}")
 
-_EVENTS_SQL = """
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(ts AS VARCHAR) AS time,
-       CAST(user_id AS VARCHAR) AS user_id, CAST(article_id AS VARCHAR) AS article_id, {behavior} AS behavior
-FROM b"""
+    replay.send_slices(spark, slices, publish, most=2)
+    replay.send_slices(spark, slices, publish)
+    return spark.read.schema("value string, slice bigint").text(f"{root}/topic").select("slice", "value")
 
 
-def _shown_events(stored: DataFrame) -> DataFrame:
-    return _shown(
-        stored.select(
-            "day", F.col("ts").cast("string").alias("time"), "user_id", "article_id", "behavior"
-        )
+BATCHES = 12
+
+
+def _sent_in_batches(sent: DataFrame, n: int) -> DataFrame:
+    """Events with the number of the batch that brings them.
+
+    Of ``n`` events in order of time most come at their time, every seventh three batches
+    late, and every fifth is written again two batches after that with another behaviour.
+    """
+    seq = F.col("seq")
+    home = F.floor(seq * BATCHES / n)
+    first = F.least(F.when(seq % 7 == 0, home + 3).otherwise(home), F.lit(BATCHES - 1))
+    again = sent.filter(seq % 5 == 0).withColumn("behavior", F.lit("9"))
+    return sent.withColumn("batch", first).unionByName(again.withColumn("batch", first + 2))
+
+
+@query("""
+, final AS (SELECT * REPLACE (CASE WHEN seq % 5 = 0 THEN '9' ELSE behavior END AS behavior) FROM b JOIN dim USING (article_id))
+SELECT 'article' AS fact, strftime(ts, '%Y-%m-%d %H') AS hour, article_id, NULL AS user_id, domain, behavior, count(*) AS num
+FROM final GROUP BY ALL
+UNION ALL
+SELECT 'user', strftime(ts, '%Y-%m-%d %H'), NULL, user_id, domain, NULL, count(*) FROM final GROUP BY ALL""")
+def facts_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many batches with repeated and late events and late articles, compacted half way; both facts."""
+    root = work_dir(spark, "changes")
+    sent, every = events(spark, sf_dir), articles(spark, sf_dir)
+    batches = written(_sent_in_batches(sent, sent.count()), "batches")
+    known = [every.filter(F.col("article_id") % 3 != 0)]
+    kept = deltas.Followed(spark, f"{root}/store", lambda: known[-1], buckets=4)
+    for number in range(BATCHES + 2):
+        batch = batches.filter(F.col("batch") == number)
+        kept.apply(_unordered(raw_log.to_messages(batch)), number, f"{root}/checkpoint")
+        if number == BATCHES // 2:
+            kept.compact()
+            known.append(every)
+    article = kept.fact("article_hour").select(
+        F.lit("article").alias("fact"), "hour", text.as_number(F.col("article_id")).alias("article_id"),
+        F.lit(None).cast("bigint").alias("user_id"), "domain", "behavior", "num",
+    )
+    user = kept.fact("user_hour").select(
+        F.lit("user").alias("fact"), "hour", F.lit(None).cast("bigint").alias("article_id"),
+        text.as_number(F.col("user_id")).alias("user_id"), "domain", F.lit(None).cast("string").alias("behavior"), "num",
+    )
+    return _shown(article.unionByName(user))
+
+
+@query("""
+SELECT state, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(ts AS VARCHAR) AS time, CAST(user_id AS VARCHAR) AS user_id,
+       CAST(article_id AS VARCHAR) AS article_id,
+       CASE WHEN state = 'before' THEN behavior WHEN seq % 4 = 0 THEN '9' ELSE behavior END AS behavior
+FROM b, (VALUES ('before'), ('after')) AS states(state) WHERE state = 'after' OR seq % 2 = 0""")
+def read_across_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that was opened before later batches and a compaction, beside one opened after them."""
+    root = work_dir(spark, "snapshots")
+    sent, seq = events(spark, sf_dir), F.col("seq")
+    store = versions.Versions(spark, f"{root}/store", buckets=4)
+    parts = (sent.filter(seq % 2 == 0), sent.filter(seq % 2 == 1), sent.filter(seq % 4 == 0).withColumn("behavior", F.lit("9")))
+    opened = None
+    for number, part in enumerate(parts):
+        store.store(_unordered(raw_log.to_messages(part)), number, f"{root}/checkpoint")
+        opened = opened or store.snapshot()
+    before = versions.latest(store.events(opened))
+    store.compact()
+    both = before.withColumn("state", F.lit("before")).unionByName(
+        versions.latest(store.events()).withColumn("state", F.lit("after"))
     )
+    return _shown(both.select("state", "day", F.col("ts").cast("string").alias("time"), "user_id", "article_id", "behavior"))
+
+
+@query("""
+, asked AS (SELECT user_id, max(ts) AS ts FROM b GROUP BY user_id)
+SELECT CAST(CAST(b.ts AS DATE) AS VARCHAR) AS day, CAST(b.ts AS VARCHAR) AS time,
+       CAST(b.user_id AS VARCHAR) AS user_id, CAST(b.article_id AS VARCHAR) AS article_id, b.behavior
+FROM b JOIN asked ON b.ts = asked.ts AND b.user_id = asked.user_id""")
+def looked_up_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each user did at the last moment, looked up by key in a compacted store."""
+    root = work_dir(spark, "lookups")
+    sent = events(spark, sf_dir)
+    store = versions.Versions(spark, f"{root}/store", buckets=4)
+    for number in range(2):
+        part = sent.filter(F.col("seq") % 2 == number)
+        store.store(_unordered(raw_log.to_messages(part)), number, f"{root}/checkpoint")
+    now = store.compact()
+    return _shown_events(store.lookup_all(sent.groupBy("user_id").agg(F.max("ts").alias("ts")), now))
+
+
+@query("SELECT hour, article_id, domain, behavior, num FROM article_hour")
+def stream_compacted_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The followed store compacted between its batches; late events and new articles reach compacted days."""
+    root = _followed(spark, sf_dir, "compacted-hours")
+    kept = spark.read.parquet(f"{root}/article_hour").drop("day")
+    return _shown(kept.withColumn("article_id", text.as_number(F.col("article_id"))))
 
 
 @query(_EVENTS_SQL.replace("{behavior}", "CASE WHEN seq % 6 = 0 THEN '9' ELSE behavior END"))

@@ -47,11 +47,12 @@ def to_messages(events: DataFrame) -> DataFrame:
 
     A topic keeps the order of one key only, so that is the order made here: a user's
     events are sent by one task, in order. The text of a log's time is sent unchanged,
-    also if it can't be read.
+    also if it can't be read. Events without a user need no order and go to all tasks.
     """
     value = message_of(F.col("user_id"), F.col("behavior"), F.col("article_id"), _time(events))
     order = [name for name in (*EVENT_ORDER, "seq") if name in events.columns]
-    sent = events.repartition("user_id").sortWithinPartitions("user_id", *order)
+    spread = F.when(F.col("user_id").isNull(), F.xxhash64(*events.columns))
+    sent = events.repartition("user_id", spread).sortWithinPartitions("user_id", *order)
     return sent.select(F.col("user_id").cast("string").alias("key"), value.alias("value"))
 
 

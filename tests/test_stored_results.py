@@ -1,0 +1,171 @@
+from __future__ import annotations
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.operators import digests, positions, spans
+from footfall.sources import raw_log, replay
+from tests.conftest import at, day, plan, rows
+
+ARTICLE_DAY = "day date, article_id string, domain string, behavior string, num long"
+
+
+def test_a_page_reads_its_ranges_only(spark, tmp_path, conf):
+    path = str(tmp_path / "pages")
+    df = spark.range(1000).select((999 - F.col("id")).alias("k"), (F.col("id") % 7).alias("v"))
+    schema = positions.store_positions(df, ["v", "k"], path, range_rows=100)
+    wanted = sorted((i % 7, 999 - i) for i in range(1000))
+    for number, size in ((0, 10), (7, 100), (13, 75), (99, 10), (100, 10), (0, 1000)):
+        page = positions.stored_page(spark, path, schema, number, size, range_rows=100)
+        assert [(r.v, r.k) for r in page.collect()] == wanted[number * size : (number + 1) * size]
+    conf("spark.sql.adaptive.enabled", "false")
+    page = positions.stored_page(spark, path, schema, 2, 75, range_rows=100)
+    page.collect()
+    leaf = page._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert leaf.metrics().apply("numFiles").value() == 2
+    with pytest.raises(ValueError):
+        positions.stored_page(spark, path, schema, -1)
+
+
+def test_an_empty_result_has_empty_pages(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    schema = positions.store_positions(spark.range(0).withColumnRenamed("id", "k"), ["k"], path)
+    assert positions.stored_page(spark, path, schema, 0).collect() == []
+
+
+def test_span_totals(spark):
+    facts = spark.createDataFrame(
+        [
+            (day("2024-01-01"), "a", "x", "0", 1), (day("2024-01-03"), "a", "x", "0", 2),
+            (day("2024-01-03"), "a", "x", "0", 4), (day("2024-01-04"), "b", "x", "1", 8),
+            (day("2024-01-09"), "b", "x", "0", None), (day("2024-01-04"), "a", "y", "0", 16),
+        ],
+        ARTICLE_DAY,
+    )
+    asked = [
+        ("2024-01-01", "2024-01-31", "x", None, None, 15), ("2024-01-02", "2024-01-03", "x", None, None, 6),
+        ("2024-01-02", "2024-01-02", "x", None, None, 0), ("2024-01-03", "2024-01-04", "x", "0", None, 6),
+        ("2024-01-03", "2024-01-04", "x", None, "b", 8), ("2024-01-04", "2024-01-09", "x", "0", "b", 0),
+        ("2024-01-01", "2024-01-31", "z", None, None, 0), ("2024-01-05", "2024-01-01", "x", None, None, 0),
+        ("2024-01-02", "2024-01-03", "x", None, None, 6),
+    ]
+    questions = spark.createDataFrame(
+        [(day(a), day(b), *rest[:3]) for a, b, *rest in asked],
+        "first date, last date, domain string, behavior string, article_id string",
+    )
+    found = spans.span_totals(spans.running_sums(facts), questions)
+    wanted = [(day(a), day(b), d, k, i, total) for a, b, d, k, i, total in asked]
+    shown = found.select("first", "last", "domain", "behavior", "article_id", "total")
+    assert sorted(map(tuple, shown.collect()), key=repr) == sorted(wanted, key=repr)
+
+
+def test_spans_move_no_row_to_one_task(spark):
+    facts = spark.createDataFrame([], ARTICLE_DAY)
+    asked = spark.createDataFrame([], "first date, last date, domain string, behavior string, article_id string")
+    found = spans.span_totals(spans.running_sums(facts), asked)
+    assert "SinglePartition" not in plan(found) and "Cartesian" not in plan(found)
+    assert found.collect() == []
+
+
+KEYS = ["day", "user_id", "domain"]
+
+
+@pytest.fixture
+def stores(spark, tmp_path):
+    def make(*sides):
+        out = []
+        for k, side in enumerate(sides):
+            df = spark.createDataFrame(side, "day date, user_id string, domain string, num long")
+            out.append(digests.store(df, str(tmp_path / str(k)), KEYS, buckets=8))
+        return out
+
+    return make
+
+
+def made(n):
+    return [(day(f"2024-01-{1 + i % 5:02}"), f"u{i}", "java", i % 4) for i in range(n)]
+
+
+def test_equal_stores_are_not_read(spark, stores):
+    left, right = stores(made(200), made(200)[::-1])
+    assert digests.differing_parts(spark, left, right) == []
+    assert digests.differences(spark, left, right).collect() == []
+
+
+def test_planted_differences_are_found_and_only_their_parts_read(spark, stores):
+    changed = made(200)
+    changed[3] = (*changed[3][:3], 99)
+    changed[10] = (*changed[10][:3], None)
+    changed.append((day("2024-02-01"), None, "java", 1))
+    del changed[50]
+    left, right = stores(made(200), changed + [changed[70]])
+    parts = digests.differing_parts(spark, left, right)
+    assert 3 <= len(parts) <= 5
+    found = digests.differences(spark, left, right)
+    assert sorted((r.user_id or "", r.left_num, r.right_num) for r in found.collect()) == sorted([
+        ("u3", 3, 99), ("u10", 2, None), ("", None, 1), ("u50", 2, None), (changed[70][1], changed[70][3], 2 * changed[70][3]),
+    ], key=lambda r: r[0])
+    read = digests.read_parts(spark, left, parts)
+    assert "PartitionFilters: [" in plan(read) and read.count() < 200
+
+
+def test_repeated_rows_do_not_cancel(spark, stores):
+    rows_ = made(10)
+    left, right = stores(rows_, [*rows_, rows_[1], rows_[1]])
+    assert [r.user_id for r in digests.differences(spark, left, right).collect()] == [rows_[1][1]]
+
+
+@pytest.fixture
+def log(spark):
+    def make(n):
+        df = spark.range(n).select(
+            F.col("id").alias("seq"), F.concat(F.lit("U"), (F.col("id") % 5).cast("string")).alias("user_id"),
+            F.lit("1").alias("behavior"), F.concat(F.lit("D"), F.col("id").cast("string")).alias("article_id"),
+        )
+        return df.withColumn("ts", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, (seq * 37) % 100)"))
+
+    return make
+
+
+def test_slices_arrive_in_order_of_time_and_a_stopped_replay_goes_on(spark, tmp_path, log):
+    slices = replay.store_slices(log(100), str(tmp_path / "slices"), 30)
+    arrived = []
+
+    def publish(sent, number):
+        if number == 2 and not any(n == 2 for n, _ in arrived):
+            arrived.append((2, None))
+            raise OSError("lost")
+        arrived.append((number, [r.value for r in sent.collect()]))
+
+    assert replay.send_slices(spark, slices, publish, most=1) == 1
+    with pytest.raises(OSError):
+        replay.send_slices(spark, slices, publish)
+    assert replay.send_slices(spark, slices, publish) == 2
+    assert replay.send_slices(spark, slices, publish) == 0
+    done = [(n, values) for n, values in arrived if values]
+    assert [n for n, _ in done] == [0, 1, 2, 3] and [len(values) for _, values in done] == [30, 30, 30, 10]
+    seconds = [[value.rsplit("@", 1)[1] for value in values] for _, values in done]
+    assert all(max(a) <= min(b) for a, b in zip(seconds, seconds[1:], strict=False))
+    for _, values in done:  # each user's in order
+        for user in {value.split("@")[0] for value in values}:
+            own = [value.rsplit("@", 1)[1] for value in values if value.startswith(user + "@")]
+            assert own == sorted(own)
+
+
+def test_pace_follows_the_events(spark, tmp_path, log):
+    slices = replay.store_slices(log(100), str(tmp_path / "slices"), 50)
+    times = []
+    replay.send_slices(spark, slices, lambda sent, number: times.append(time.monotonic()), speed=20)
+    assert times[1] - times[0] >= 50 / 20 * 0.9
+
+
+def test_events_without_a_user_are_spread(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")  # it would merge what is small
+    sent = spark.range(400).select(
+        F.col("id").alias("seq"), F.lit(None).cast("string").alias("user_id"), F.lit("1").alias("behavior"),
+        F.col("id").cast("string").alias("article_id"), F.lit(at("2024-01-01 00:00:00")).cast("timestamp_ntz").alias("ts"),
+    )
+    parts = raw_log.to_messages(sent).select(F.spark_partition_id().alias("p")).groupBy("p").count()
+    assert parts.count() > 1 and rows(parts.agg(F.sum("count"))) == [(400,)]
