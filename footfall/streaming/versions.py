@@ -39,6 +39,10 @@ WHOLE_EVERY = 50
 SLOTS = 256
 BUCKETS = 16
 EVENTS_TABLE = "events"
+# Filters as large as a row group's values ask for: from 1 MiB down by halves, 12 times.
+BLOOM = {
+    "enabled#user_id": "true", "enabled#article_id": "true", "adaptive.enabled": "true", "candidates.number": "12",
+}
 
 # An event with the place of its write. ``slot`` decides its bucket.
 STORED = T.StructType([
@@ -253,9 +257,9 @@ class Versions:
         """A table of the session over the stored events, without partitions yet."""
         name = f"footfall_{uuid.uuid4().hex}"
         columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in STORED)
+        options = ", ".join(f"`parquet.bloom.filter.{key}` '{value}'" for key, value in BLOOM.items())
         self.spark.sql(
-            f"CREATE TABLE {name} ({columns}, commit string) USING parquet "
-            "OPTIONS (`parquet.bloom.filter.enabled#user_id` 'true', `parquet.bloom.filter.enabled#article_id` 'true') "
+            f"CREATE TABLE {name} ({columns}, commit string) USING parquet OPTIONS ({options}) "
             f"PARTITIONED BY (day, commit) CLUSTERED BY (slot) SORTED BY (slot, user_id, ts, article_id) "
             f"INTO {self.buckets} BUCKETS LOCATION '{self.path}/data/{EVENTS_TABLE}'"
         )
