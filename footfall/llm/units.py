@@ -109,11 +109,13 @@ class Stretches:
 
     With ``keeps_spaces`` white space has ids of its own or belongs to what follows. A
     text with white space other than single spaces and line breaks between signs is
-    then encoded in one call. Otherwise white space only separates.
+    then encoded in one call. Otherwise white space only separates. A text that holds one
+    of ``marks`` (tokens that ``encode`` finds before it cuts a text) is encoded in one
+    call too.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], keeps_spaces: bool):
-        self.encode, self.keeps_spaces = encode, keeps_spaces
+    def __init__(self, encode: Callable[[str], bytes], keeps_spaces: bool, marks: tuple[bytes, ...] = ()):
+        self.encode, self.keeps_spaces, self.marks = encode, keeps_spaces, marks
         self.memory = _Memory()
         self.cores: dict[str, bytes] = {}
 
@@ -144,10 +146,21 @@ class Stretches:
         odd[np.searchsorted(offsets, np.concatenate(at), side="right") - 1] = True
         return odd
 
+    def _note_marks(self, odd: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> None:
+        """Set ``odd`` for the texts that hold a mark."""
+        raw = data.tobytes() if self.marks else b""
+        for mark in self.marks:
+            at = raw.find(mark)
+            while at >= 0:
+                text = int(np.searchsorted(offsets, at, side="right")) - 1
+                odd[text] |= at + len(mark) <= offsets[text + 1]
+                at = raw.find(mark, at + 1)
+
     def _block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, end of each text's ids, texts left out)."""
         space = rolling.SPACE[data]
         odd = self._odd_texts(data, offsets, space) if self.keeps_spaces else np.zeros(len(offsets) - 1, bool)
+        self._note_marks(odd, data, offsets)
         starts, ends, doc = rolling.word_spans(data, offsets)
         kind = np.zeros(len(starts), np.int64)
         if self.keeps_spaces:
@@ -205,12 +218,13 @@ def _byte_signs() -> dict[int, str]:
 def encoder(path: str, keeps_spaces: bool) -> Stretches:
     """The tokenizers library's ids for the vocabulary in a file; one encoder per Python worker.
 
-    A stretch of plain Latin letters is one piece of the pre-tokenizer and is given to
+    The same as ``encode(text, add_special_tokens=False)``: a text that holds the content of
+    an added token, such as an end mark, has that token's id there. A stretch of plain Latin letters is one piece of the pre-tokenizer and is given to
     the library's model at once; any other stretch goes through its whole pipeline.
     """
     if path not in _encoders:
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        marks = tuple(token.content.encode() for token in tokenizer.get_added_tokens_decoder().values())
         model, signs = tokenizer.model, _byte_signs()
         letters = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
@@ -221,7 +235,7 @@ def encoder(path: str, keeps_spaces: bool) -> Stretches:
                 return array("I", [token.id for token in tokens]).tobytes()
             return array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-        _encoders[path] = Stretches(encode, keeps_spaces)
+        _encoders[path] = Stretches(encode, keeps_spaces, marks)
     return _encoders[path]
 
 

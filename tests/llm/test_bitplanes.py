@@ -36,7 +36,6 @@ def test_documents_come_back_in_order(odd_docs, vocabulary, bits):
     rows = bitplanes.decode_chunks(chunks).orderBy("start").collect()
     assert [row.doc_id for row in rows] == [None, 0, 1, 2, 3, 4, 4, 5, 7]
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     texts = {row.doc_id: row.text or "" for row in odd_docs.collect()}
     before = 0
     for row in rows:

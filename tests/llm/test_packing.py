@@ -76,7 +76,6 @@ def test_pieces_are_the_whole_texts(odd_docs, vocabulary):
     docs = odd_docs.withColumn("piece", F.lit("x")).withColumn("length", F.lit(-1))
     rows = packing.token_pieces(docs, path, 50).collect()
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     wanted = []
     for row in odd_docs.collect():
         ids = [*tokenizer.encode(row.text or "", add_special_tokens=False).ids, 0]

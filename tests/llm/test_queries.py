@@ -52,7 +52,6 @@ def test_query_equals_twin(spark, name):
 
 def ids_of(name, text):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
     return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
 

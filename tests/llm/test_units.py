@@ -21,7 +21,8 @@ def texts():
     pick = random.Random(3)
     odd = ["".join(pick.choice(SIGNS) for _ in range(pick.randint(0, 40))) for _ in range(4000)]
     plain = ["".join(pick.choice(PLAIN) for _ in range(pick.randint(0, 30))) for _ in range(4000)]
-    return [*odd, *plain, "", " ", "  a", "a  ", "<|endoftext|> a <|startoftext|>", "́ ́a", "a" * 5000]
+    marked = ["<|endoftext|> a <|startoftext|>", "a<|endoftext|>", "b <|endoftext|>c. <|endoftext|", "<|endoftext|>", "|>", "<|ENDOFTEXT|>"]
+    return [*odd, *plain, "", " ", "  a", "a  ", *marked, "<|endoftext", "|>", "́ ́a", "a" * 5000]
 
 
 @pytest.mark.parametrize(("name", "keeps"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
@@ -30,7 +31,6 @@ def test_stretches_equal_whole_texts(texts, vocabulary, name, keeps):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary(name))
-    tokenizer.encode_special_tokens = True
     for _ in range(2):  # the second time from memory
         found = encode(arrow.texts_of(pa.array(texts)))
         assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == [
