@@ -41,6 +41,8 @@ OPENED = 0.55
 LEAST_OPENED = 384
 GROUP_ROWS = 1 << 12
 PART_ROWS = 1 << 12
+# Queries whose cells one task walks, where there are tasks enough.
+ROUTED = 64
 MAX_CODES = 256
 
 _CODED = T.StructType([
@@ -139,8 +141,10 @@ def _valid(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.where(F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0))
 
 
-def _fit(rows: DataFrame, k: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
+def _fit(rows: DataFrame, n: int, k: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    # About twice the sample by a hash, so that few rows are ranked.
+    drawn = F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(1 << 30)) <= int(min(1.0, 2 * sample / n) * (1 << 30))
+    chosen = rows.where(drawn).orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         x = np.array(pd.concat(list(batches))["vector"].tolist(), np.float64)
@@ -195,18 +199,19 @@ def search(
 
     ``is_query`` is a condition on ``vec_id``; a query's own id is no candidate. Returns
     query_id, rank (from 1), vec_id and score (the inner product in double precision);
-    equal scores go to smaller ids. At least ``top`` candidates are opened where there
+    equal scores go to smaller ids. A row that repeats is a candidate as often as it does,
+    and as a query it is answered as often. At least ``top`` candidates are opened where there
     are so many. Without any valid vector there are no rows.
     """
     spark = df.sparkSession
-    result = "query_id long, vec_id long, score double"
+    result = "asked long, query_id long, vec_id long, score double"
     rows = _valid(df, vec_id, vector)
     common = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size, n = common
     rows = rows.where(F.size("vector") == size)
-    books = _fit(rows, n_codes(n), sample)
+    books = _fit(rows, n, n_codes(n), sample)
     coded = store.written(_code(rows, books), "coded")
     counts = np.zeros(len(books[0]) * len(books[1]), np.int64)
     for row in coded.groupBy("cell").count().collect():  # one row per cell at most
@@ -214,8 +219,11 @@ def search(
     first, spans = _deal(counts)
     index = Index(books, counts, first, spans, max(math.ceil(opened * n), LEAST_OPENED, 2 * top + 1))
     shared = spark.sparkContext.broadcast(index)
-    queries = coded.where(is_query)
-    parts = max(1, math.ceil(queries.count() / PART_ROWS))
+    # Rows that repeat are queries of their own.
+    queries = coded.where(is_query).withColumn("asked", F.monotonically_increasing_id())
+    n_queries = queries.count()
+    parts = max(1, math.ceil(n_queries / PART_ROWS))
+    walks = max(parts, min(math.ceil(n_queries / ROUTED), 4 * spark.sparkContext.defaultParallelism))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
@@ -229,7 +237,7 @@ def search(
                 ]
                 groups.append(np.unique(np.concatenate(spread)))
                 masks.append(np.packbits(cells).tobytes())
-            yield pd.DataFrame({"vec_id": batch["vec_id"], "vector": batch["vector"], "mask": masks, "groups": groups})
+            yield batch[["asked", "vec_id", "vector"]].assign(mask=masks, groups=groups)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
@@ -239,11 +247,11 @@ def search(
             batch["part_of"] = known.first_group[cell] + (salt.astype(np.int64) % known.n_groups[cell])
             yield batch
 
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(parts))
+    part = F.pmod(F.xxhash64("asked"), F.lit(parts))
     routed = (
-        queries.repartition(F.xxhash64("vec_id")).select("vec_id", "vector")
-        .mapInPandas(route, "vec_id long, vector binary, mask binary, groups array<long>")
-        .select(F.explode("groups").alias("group"), part.alias("part"), "vec_id", "vector", "mask")
+        queries.repartition(walks, F.xxhash64("asked")).select("asked", "vec_id", "vector")
+        .mapInPandas(route, "asked long, vec_id long, vector binary, mask binary, groups array<long>")
+        .select(F.explode("groups").alias("group"), part.alias("part"), "asked", "vec_id", "vector", "mask")
     )
     dealt = (
         coded.mapInPandas(place, "vec_id long, cell int, vector binary, part_of long")
@@ -253,7 +261,7 @@ def search(
 
     def meet(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(held):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": int, "vec_id": int})
+            return pd.DataFrame({"asked": [], "query_id": [], "vec_id": [], "score": []}, dtype=np.int64).astype({"score": float})
         n_cells = len(shared.value.counts)
         masks = np.frombuffer(b"".join(asked["mask"]), np.uint8).reshape(len(asked), -1)
         mask = np.unpackbits(masks, axis=1, count=n_cells).astype(bool)
@@ -261,9 +269,10 @@ def search(
         x = np.frombuffer(b"".join(held["vector"])).reshape(len(held), -1)
         ids, query_ids = held["vec_id"].to_numpy(), asked["vec_id"].to_numpy()
         i, j, score = best_of(query_ids, q, mask, ids, held["cell"].to_numpy(), x, top)
-        return pd.DataFrame({"query_id": query_ids[i], "vec_id": ids[j], "score": score})
+        asked_ids = asked["asked"].to_numpy()
+        return pd.DataFrame({"asked": asked_ids[i], "query_id": query_ids[i], "vec_id": ids[j], "score": score})
 
     near = routed.groupBy("group", "part").cogroup(dealt.groupBy("group", "part")).applyInPandas(meet, result)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -96,3 +96,34 @@ def test_empty_and_single(spark, rows):
 def test_one_component_vectors(spark):
     df = spark.createDataFrame([(i, [float(i + 1)], 0) for i in range(5)], SCHEMA)
     assert [i for _, i, _ in answers(df)[0]] == [4, 3, 2, 1]
+
+
+def test_repeated_rows_are_answered_each(spark, monkeypatch):
+    monkeypatch.setattr(multi_index, "GROUP_ROWS", 16)
+    x = vectors(90)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    again = [rows[0], rows[0], rows[20], rows[33], rows[33]]
+    df = spark.createDataFrame(rows + again, SCHEMA).repartition(5)
+    found = multi_index.search(df, F.col("vec_id") % 20 == 0, opened=1.0).collect()
+    held = [(i, np.array(v, np.float32).astype(float)) for i, v, _ in rows + again]
+    for query in (0, 20, 40, 60, 80):
+        own = x[query].astype(float)
+        wanted = sorted((-(v * own).sum(), i) for i, v in held if i != query)[:20]
+        copies = sum(i == query for i, _ in held)
+        answered = sorted((r["rank"], r.vec_id) for r in found if r.query_id == query)
+        assert answered == sorted((k + 1, i) for k, (_, i) in enumerate(wanted) for _ in range(copies))
+
+
+def test_recall_without_the_floor(spark, monkeypatch):
+    """The method itself, on the larger of the given tables."""
+    monkeypatch.setattr(multi_index, "LEAST_OPENED", 1)
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    held = df.select("vec_id", "embedding").collect()
+    ids, x = np.array([r.vec_id for r in held]), np.array([r.embedding for r in held], float)
+    found = answers(df)
+    hits = 0
+    for query, rows in found.items():
+        score = (x * x[ids == query]).sum(axis=1)
+        order = [i for i in np.lexsort((ids, -score)) if ids[i] != query][:20]
+        hits += len(set(ids[order].tolist()) & {i for _, i, _ in rows})
+    assert len(found) == 100 and hits >= 0.9 * 20 * len(found)
