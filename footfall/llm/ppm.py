@@ -19,16 +19,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm import arrow
+from footfall.llm import arrow, samples
 
 ORDER = 4
-# Bound of the learning sample: texts of each language, and characters of a text in it.
+# Bound of each language's learning sample: texts, and characters of all its texts but the last.
 SAMPLE_TEXTS = 400
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 1_500_000
 # Distinct runs whose code lengths a worker remembers before it starts anew.
 REMEMBERED = 1 << 21
 BLOCK_BYTES = 1 << 21
@@ -149,19 +149,18 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
         per_language: int = SAMPLE_TEXTS, max_chars: int = SAMPLE_CHARS) -> dict[str, list]:
     """Context trees by language, from a bounded sample of the documents not held out.
 
-    The sample is the ``per_language`` documents of each language that come first in
-    the order of their id's hash, so it does not depend on the table's layout; its
-    texts longer than ``max_chars`` are left out whole. A table without labelled
-    texts gives no languages.
+    The sample takes whole texts of each language in the order of their id's hash, so it
+    does not depend on the table's layout, until there are ``per_language`` of them or
+    they hold ``max_chars`` characters, and one at least. Rows that share an id are taken
+    together. A table without labelled texts gives no languages.
     """
     named = docs.select(
         arrow.column(doc_id).alias("id"), arrow.column(lang).cast("string").alias("lang"),
         arrow.column(text).alias("text"),
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = named.where(F.length("text") <= max_chars).select("id", "lang")
-    ids = ids.withColumn("at", F.row_number().over(first)).where(F.col("at") <= per_language).select("id").distinct()
-    sample = named.where(F.length("text") <= max_chars).join(F.broadcast(ids), "id", "left_semi")
+    sizes = named.select("id", "lang", F.length("text").cast("long").alias("size"))
+    ids = samples.bounded(sizes, "lang", per_language, max_chars)
+    sample = named.join(F.broadcast(ids), "id", "left_semi")
 
     def trees(group: pd.DataFrame) -> pd.DataFrame:
         body = arrow.texts_of(pa.array(group["text"]))

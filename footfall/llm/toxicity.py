@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm import arrow, rolling
+from footfall.llm import arrow, rolling, samples, store
 
-# Bound of the learning sample: labelled documents of each label, and characters of one.
+# Bound of each label's learning sample: documents, and characters of all its texts but the last.
 SAMPLE_DOCS = 4_000
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 10_000_000
 # Words and beginnings the models look at, and in how many sampled texts one must be.
 N_WORDS = 384
 MIN_TEXTS = 5
@@ -188,18 +188,17 @@ def fit(
     """Learn from a bounded sample of labelled documents; None if there are none of either label.
 
     A document with several labels is toxic if one says so; null labels and ids count
-    as none. Of each label the ``per_label`` documents first by their id's hash are
-    taken; texts longer than ``max_chars`` are left out whole.
+    as none, and so do labels of documents that ``docs`` lacks. Of each label whole
+    texts are taken in the order of their id's hash until there are ``per_label`` of them
+    or they hold ``max_chars`` characters, and one at least.
     """
     named = labels.select(arrow.column(doc_id).alias("id"), arrow.column(label).cast("int").alias("y"))
     named = named.where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.max((F.col("y") != 0).cast("int")).alias("y"))
-    n_labels, n_toxic = named.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    chosen = None
-    for side in (F.col("y") == 0, F.col("y") != 0):
-        part = named.where(side).orderBy(F.xxhash64("id"), "id").limit(per_label)
-        chosen = part if chosen is None else chosen.unionByName(part)
     bodies = docs.select(arrow.column(doc_id).alias("id"), F.coalesce(arrow.column(text), F.lit("")).alias("text"))
-    bodies = bodies.where(F.length("text") <= max_chars)
+    sizes = bodies.select("id", F.length("text").cast("long").alias("size")).join(named, "id")
+    sizes = store.written(sizes, "labelled")
+    n_labels, n_toxic = sizes.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
+    chosen = samples.bounded(sizes, "y", per_label, max_chars).join(named, "id")
     sample = bodies.join(F.broadcast(chosen), "id").select("id", "text", "y")
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
