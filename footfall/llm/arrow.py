@@ -55,6 +55,14 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     return [name for name in df.columns if name.lower() not in taken]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so; Spark ignores case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def texts_of(array: pa.Array | pa.ChunkedArray) -> pa.Array:
     """Texts with 64-bit offsets; a null counts as an empty text."""
     if isinstance(array, pa.ChunkedArray):

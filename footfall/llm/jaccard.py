@@ -12,7 +12,9 @@ matrix:
    token among the first ones of both in this order, and where it stands bounds how
    much they can share. The matrix holds, for each such token, the groups whose union
    has it, with the sizes and places of their nodes. Two groups are opened for each
-   other only if the bound of a shared token reaches what their sizes need.
+   other only if the bound of a shared token reaches what their sizes need. The bound
+   knows sizes and places alone, so these are compared first, without the groups that
+   have them: documents that share a passage but not enough of it cost one row each.
 4. Only in opened groups are nodes compared, by their whole sets.
 
 A group is connected already, so no pairs inside it are needed, however large it is;
@@ -22,8 +24,9 @@ compared beginnings of all but the nodes that consist of them.
 
 The order comes from counts in a fixed number of buckets over all documents; any
 order gives the same links, a good one fewer comparisons. What tasks get as a
-broadcast (the order, and bitmaps of ids or tokens that are asked for) has a fixed
-size.
+broadcast (the order, and bitmaps of ids or tokens that are asked for) has a size that
+``buckets`` and ``bits`` fix: raise them with the data, to some tenth of its distinct
+tokens and ten times its groups; a smaller one opens more groups and loses no link.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A text with fewer words than
 n has its whole sequence as its only token; without words it has none, and is linked
@@ -33,6 +36,7 @@ document, whose sets all count. Copies need no comparison with each other.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -76,6 +80,8 @@ _ROWS = "row int, body binary"
 class Rule(NamedTuple):
     words: int  # of a token
     percent: int  # of the union that two linked sets share at least
+    buckets: int = BUCKETS
+    bits: int = BITS
 
     def needed(self, n_a, n_b):
         """The smallest intersection with which sets of these sizes link."""
@@ -113,13 +119,13 @@ def _rows(numbers, bodies) -> pa.RecordBatch:
 
 def _count_tokens(docs: DataFrame, rule: Rule) -> np.ndarray:
     """Logarithm of each bucket's count, over the tokens of all documents."""
-    per_row = BUCKETS // SEGMENTS
+    per_row = rule.buckets // SEGMENTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(BUCKETS, np.uint32)
+        held = np.zeros(rule.buckets, np.uint32)
         for batch in batches:
             for tokens in token_sets(arrow.texts_of(batch.column(0)), rule.words):
-                held[(tokens & np.uint64(BUCKETS - 1)).astype(np.int64)] += np.uint32(1)
+                held[(tokens & np.uint64(rule.buckets - 1)).astype(np.int64)] += np.uint32(1)
         press = zstandard.ZstdCompressor(level=1).compress  # most counts of a task are small
         yield _rows(np.arange(SEGMENTS), [press(row.tobytes()) for row in held.reshape(SEGMENTS, per_row)])
 
@@ -151,7 +157,7 @@ def _describe(docs: DataFrame, rule: Rule, levels: np.ndarray) -> DataFrame:
             for tokens in token_sets(arrow.texts_of(batch.column(1)), rule.words):
                 n = len(tokens)
                 out["n"].append(n)
-                level = known[(tokens & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
+                level = known[(tokens & np.uint64(rule.buckets - 1)).astype(np.int64)].astype(np.uint64)
                 out["s1"].append(rolling.mix(tokens).sum(dtype=np.uint64).astype(np.int64))
                 out["s2"].append(rolling.mix(tokens ^ np.uint64(0x6A09E667F3BCC909)).sum(dtype=np.uint64).astype(np.int64))
                 lowest = np.searchsorted(tokens, starts) % max(n, 1)  # of each range of hashes, or the next one's
@@ -176,21 +182,37 @@ def _describe(docs: DataFrame, rule: Rule, levels: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(arrow.tidy(run), _NODES)
 
 
-def _bitmap(bits: DataFrame) -> np.ndarray:
-    """A bitmap of the numbers (0 to ``BITS`` - 1) in the column ``bit``; its size is fixed."""
-    per_row = BITS // BIT_ROWS
+def _bitmap(bits: DataFrame, size: int) -> np.ndarray:
+    """A bitmap of the numbers (0 to ``size`` - 1) in the column ``bit``; its size is fixed.
+
+    Each task marks its own numbers first, so one that very many rows have is sent once a task.
+    """
+    per_row = size // BIT_ROWS // 8
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked: dict[int, np.ndarray] = {}
+        marked = np.zeros(size // 8, np.uint8)
+        for batch in batches:
+            bit = np.unique(batch.column(0).to_numpy())
+            if len(bit):
+                place, first = np.unique(bit >> 3, return_index=True)
+                marked[place] |= np.bitwise_or.reduceat((128 >> (bit & 7)).astype(np.uint8), first)
+        rows = marked.reshape(BIT_ROWS, per_row)
+        some = np.flatnonzero(rows.any(axis=1))
+        press = zstandard.ZstdCompressor(level=1).compress
+        yield _rows(some, [press(row.tobytes()) for row in rows[some]])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        unpress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            rows, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy() % per_row
-            for row in np.unique(rows).tolist():
-                marked.setdefault(row, np.zeros(per_row, np.uint8))[bit[rows == row]] = 1
-        yield _rows(list(marked), [np.packbits(row).tobytes() for row in marked.values()])
-
-    rows = bits.select(F.floor(F.col("bit") / per_row).cast("int").alias("row"), "bit").repartition("row")
-    out = np.zeros((BIT_ROWS, per_row // 8), np.uint8)
-    for row in rows.mapInArrow(arrow.tidy(mark), _ROWS).collect():  # a fixed number of rows
+            for row, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held = total.setdefault(row, np.zeros(per_row, np.uint8))
+                held |= np.frombuffer(unpress(body.as_buffer()), np.uint8)
+        yield _rows(list(total), [held.tobytes() for held in total.values()])
+
+    parts = bits.select(F.col("bit").cast("long")).mapInArrow(arrow.tidy(mark), _ROWS).repartition("row")
+    out = np.zeros((BIT_ROWS, per_row), np.uint8)
+    for row in parts.mapInArrow(arrow.tidy(merge), _ROWS).collect():  # a fixed number of rows
         out[row["row"]] = np.frombuffer(row["body"], np.uint8)
     return out.reshape(-1)
 
@@ -205,7 +227,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     A bitmap of the ids leaves out other documents where they are read, so only the
     asked-for sets, and a few more by chance, are worked out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids.select(_bit_of("node").alias("bit"))))
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(ids.select(_bit_of("node", rule).alias("bit")), rule.bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +235,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
             sets = [tokens.tobytes() for tokens in token_sets(arrow.texts_of(some.column(1)), rule.words)]
             yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], names=["node", "tokens"])
 
-    rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text", _bit_of("doc_id").alias("bit"))
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", "text", _bit_of("doc_id", rule).alias("bit"))
     return store.written(rows.mapInArrow(arrow.tidy(run), "node long, tokens binary"), "sets", compression="none")
 
 
@@ -257,12 +279,12 @@ def _group_pairs(nodes: DataFrame, rule: Rule) -> DataFrame:
     return near.select(F.col("node").alias("a"), (-F.col("centre.away")).alias("b")).distinct()
 
 
-def _shared_tokens(nodes: DataFrame) -> DataFrame:
+def _shared_tokens(nodes: DataFrame, rule: Rule) -> DataFrame:
     """(token, node, n, at): the beginnings' tokens that two nodes or more have."""
     # A node has a token once, so counting rows counts nodes.
     counts = nodes.select(F.explode("first").alias("token")).groupBy("token").count()
     shared = store.written(counts.where("count > 1").select("token"), "shared-tokens")
-    bitmap = _bitmap(shared.select(F.pmod("token", F.lit(BITS)).alias("bit")))
+    bitmap = _bitmap(shared.select(F.pmod("token", F.lit(rule.bits)).alias("bit")), rule.bits)
     known = nodes.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +294,7 @@ def _shared_tokens(nodes: DataFrame) -> DataFrame:
             tokens = first.flatten().to_numpy()
             row = np.repeat(np.arange(len(lengths)), lengths)
             at = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            hit = _marked(known.value, tokens % BITS)
+            hit = _marked(known.value, tokens % rule.bits)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(tokens[hit]), batch.column(0).take(pa.array(row[hit])),
                  batch.column(1).take(pa.array(row[hit])), pa.array(at[hit])],
@@ -283,26 +305,54 @@ def _shared_tokens(nodes: DataFrame) -> DataFrame:
     return found.join(shared, "token", "left_semi")
 
 
+def _side(df: DataFrame, side: str, *shared: str) -> DataFrame:
+    """``df`` with all columns but the ``shared`` ones named for a side of a join."""
+    return df.select(*(F.col(name) if name in shared else F.col(name).alias(f"{name}_{side}") for name in df.columns))
+
+
+def _reaches(rule: Rule) -> Column:
+    """Whether sets of these sizes may link that have a token at these places and none in common before."""
+    needed = _needed(F.col("n_a"), F.col("n_b"), rule)
+    return (
+        _similar_size(F.col("n_a"), F.col("n_b"), rule)
+        & (F.col("at_a") <= F.col("n_a") - needed) & (F.col("at_b") <= F.col("n_b") - needed)
+    )
+
+
+def _classes_that_reach(cells: DataFrame, rule: Rule) -> DataFrame:
+    """token, n_a, at_a, n_b, at_b: the sizes and places that may link, whatever groups have them.
+
+    They meet by token and band of sizes; sizes that may link lie in one band or in neighbouring ones.
+    """
+    width = math.log(100 / rule.percent) + 0.01
+    classes = cells.groupBy("token", "n", "at").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    classes = store.written(classes.withColumn("band", F.floor(F.log("n") / width)), "classes")
+    near = classes.withColumn("band", F.explode(F.array(*(F.col("band") + step for step in (-1, 0, 1)))))
+    both = _side(classes, "a", "token", "band").join(_side(near, "b", "token", "band"), ["token", "band"])
+    both = both.where(F.col("low_a") < F.col("high_b")).where(_reaches(rule))
+    return both.select("token", "n_a", "at_a", "n_b", "at_b")
+
+
 def _open_pairs(nodes: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): nodes of different groups that the matrix's bound does not keep apart."""
-    posted = _shared_tokens(nodes).join(groups, "node", "left")
+    posted = _shared_tokens(nodes, rule).join(groups, "node", "left")
     posted = store.written(posted.withColumn("group", F.coalesce("component", "node")).drop("component"), "matrix")
     cells = posted.groupBy("token", "group", "n").agg(F.min("at").alias("at"))
-
-    def side(df: DataFrame, suffix: str) -> DataFrame:
-        return df.select(*(F.col(name) if name == "token" else F.col(name).alias(name + suffix) for name in df.columns))
-
-    def reaches() -> Column:
-        needed = _needed(F.col("n_a"), F.col("n_b"), rule)
-        return (
-            _similar_size(F.col("n_a"), F.col("n_b"), rule)
-            & (F.col("at_a") <= F.col("n_a") - needed) & (F.col("at_b") <= F.col("n_b") - needed)
-        )
-
-    met = side(cells, "_a").join(side(cells, "_b"), "token").where((F.col("group_a") < F.col("group_b")) & reaches())
-    opened = store.written(met.select("token", "group_a", "group_b").distinct(), "opened")
-    pairs = opened.join(side(posted, "_a"), ["token", "group_a"]).join(side(posted, "_b"), ["token", "group_b"])
-    pairs = pairs.where(reaches()).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    cells = store.written(cells, "cells")
+    met = _classes_that_reach(cells, rule)
+    for side in "ab":
+        met = met.join(_side(cells, side, "token"), ["token", f"n_{side}", f"at_{side}"])
+    met = met.where("group_a < group_b").select("token", "group_a", "group_b")
+    opened = store.written(met.distinct(), "opened")
+    # In opened groups, again sizes and places first, then the nodes that have them.
+    kinds = posted.select("token", "group", "n", "at").distinct()
+    pairs = opened
+    for side in "ab":
+        pairs = pairs.join(_side(kinds, side, "token"), ["token", f"group_{side}"])
+    pairs = pairs.where(_reaches(rule))
+    for side in "ab":
+        pairs = pairs.join(_side(posted, side, "token"), ["token", f"group_{side}", f"n_{side}", f"at_{side}"])
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     return _with_enough_first(store.written(pairs, "opened-pairs"), nodes, rule)
 
 
@@ -319,8 +369,8 @@ def _with_enough_first(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFr
     share and what lies behind the shorter-reaching beginning.
     """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    bitmap = _bitmap(ids.select(_bit_of("node").alias("bit")))
-    asked = _asked(nodes.select("node", "n", "first", _bit_of("node").alias("bit")), bitmap)
+    bitmap = _bitmap(ids.select(_bit_of("node", rule).alias("bit")), rule.bits)
+    asked = _asked(nodes.select("node", "n", "first", _bit_of("node", rule).alias("bit")), bitmap)
     for side in ("a", "b"):
         pairs = pairs.join(asked.select(
             F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("first").alias(f"first_{side}")), side)
@@ -341,21 +391,22 @@ def _asked(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
     return rows.mapInArrow(arrow.tidy(run), rows.schema).drop("bit")
 
 
-def _bit_of(name: str) -> Column:
-    return F.pmod(F.xxhash64(name), F.lit(BITS))
+def _bit_of(name: str, rule: Rule) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(rule.bits))
 
 
 def similar_documents(
-    docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text",
+    buckets: int | None = None, bits: int | None = None,
+) -> DataFrame:
     """doc_id, n_shingles and component_id of every row.
 
     ``component_id`` is the smallest id reachable by links, the row's own included; it
     is null for rows without an id whose set no row with an id has. Extra columns are
-    left out.
+    left out. An empty table gives no rows. ``buckets`` and ``bits`` are powers of two.
     """
     arrow.small_batches(docs.sparkSession)
-    rule = Rule(words, percent)
+    rule = Rule(words, percent, buckets or BUCKETS, bits or BITS)
     docs = docs.select(arrow.column(doc_id).cast("long").alias("doc_id"), arrow.column(text).alias("text"))
     levels = _count_tokens(docs, rule)
     described = store.written(_describe(docs, rule, levels), "sets-described")
@@ -394,9 +445,10 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     Of rows that share this id one stays. Rows without an id stay.
     """
     found = similar_documents(docs, words, percent, doc_id, text)
-    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stays")).distinct()
+    stay, copy = arrow.unused(docs, "stays"), arrow.unused(docs, "copy")
+    stays = found.where("doc_id = component_id").select(F.col("doc_id").alias(stay)).distinct()
     name = arrow.column(doc_id)
     one = Window.partitionBy(name).orderBy(F.xxhash64(arrow.column(text)))
-    kept = docs.where(name.isNotNull()).join(stays, name.cast("long") == F.col("__stays"), "left_semi")
-    kept = kept.withColumn("__copy", F.row_number().over(one)).where("__copy = 1").drop("__copy")
+    kept = docs.where(name.isNotNull()).join(stays, name.cast("long") == F.col(stay), "left_semi")
+    kept = kept.withColumn(copy, F.row_number().over(one)).where(F.col(copy) == 1).drop(copy)
     return kept.unionByName(docs.where(name.isNull()))

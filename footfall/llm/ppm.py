@@ -185,7 +185,7 @@ def predict(df: DataFrame, model: dict[str, list], text: str = "text") -> DataFr
     is every text if nothing was learned. Columns named like a new one give way.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    lettered = "__has_letter"
+    lettered = arrow.unused(df, "has_letter")
 
     def make():
         scorer = Scorer(shared.value)

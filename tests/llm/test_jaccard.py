@@ -76,6 +76,54 @@ def test_any_order_signature_and_bitmap_give_the_same_links(make_docs, families,
     monkeypatch.setattr(jaccard, "BITS", 1 << 13)
     monkeypatch.setattr(jaccard, "AGREE", 99)  # no groups: all links come from the matrix
     assert found(make_docs(*families), 4, 85) == wanted
+    rows = jaccard.similar_documents(make_docs(*families), 4, 85, buckets=1 << 12, bits=1 << 11).collect()
+    assert sorted(map(tuple, rows)) == wanted
+
+
+@pytest.mark.parametrize("percent", [60, 85, 100])
+def test_classes_of_sizes_and_places_equal_all_pairs_of_cells(spark, percent):
+    pick, rule = random.Random(percent), jaccard.Rule(4, percent)
+    cells = {(pick.randrange(3), pick.randrange(40), pick.choice([1, 2, 3, 17, 20, 85, 100, 118])) for _ in range(300)}
+    cells = [(*cell, pick.randrange(rule.beginning(cell[2]) + 1)) for cell in cells]
+    wanted = {
+        (a[0], a[2], a[3], b[2], b[3]) for a in cells for b in cells
+        if a[0] == b[0] and a[1] < b[1] and rule.needed(a[2], b[2]) <= min(a[2] - a[3], b[2] - b[3], a[2], b[2])
+        and 100 * min(a[2], b[2]) >= percent * max(a[2], b[2])
+    }
+    df = spark.createDataFrame(cells, "token long, group long, n long, at long")
+    rows = [tuple(row) for row in jaccard._classes_that_reach(df, rule).collect()]
+    assert wanted <= set(rows) and len(rows) == len(set(rows))
+    # No others but for classes whose only groups meet in the other order or are one.
+    assert all(rule.needed(n_a, n_b) <= min(n_a - at_a, n_b - at_b) for _, n_a, at_a, n_b, at_b in rows)
+
+
+def test_a_passage_of_very_many_documents_opens_nothing(make_docs, monkeypatch):
+    """One row for each document that has it, and no pair: these documents share too little to link."""
+    from tests.llm.conftest import prose
+
+    common = prose(100, 90_000)
+    texts = [f"{common} {prose(12, 100_000 + 100 * k)}" for k in range(400)]
+    opened = []
+    kept = jaccard.store.written
+    monkeypatch.setattr(jaccard.store, "written", lambda df, name, **more: opened.append((name, kept(df, name, **more))) or opened[-1][1])
+    rows = found(make_docs(*texts), 4, 85)
+    assert rows == [(k, 109, k) for k in range(400)]
+    by_name = dict(opened)
+    assert by_name["classes"].count() > 0 and by_name["cells"].count() >= 400 and by_name["opened"].count() == 0
+
+
+def test_a_column_that_no_one_else_would_have_stays(make_docs, prose_of):
+    docs = make_docs(prose_of(30), prose_of(30)).withColumn("stays", F.lit(1)).withColumn("COPY", F.lit(2))
+    kept = jaccard.keep_one_of_each(docs, 4, 85)
+    assert kept.dtypes == docs.dtypes and [(row.doc_id, row.stays, row.COPY) for row in kept.collect()] == [(0, 1, 2)]
+
+
+def test_bitmap_equals_a_set(spark):
+    bits = [0, 5, 5, 7, 8, 1023, 2047] + [64] * 500
+    df = spark.createDataFrame([(bit,) for bit in bits], "bit long").repartition(4)
+    bitmap = jaccard._bitmap(df, 2048)
+    assert [k for k, hit in enumerate(jaccard._marked(bitmap, jaccard.np.arange(2048))) if hit] == sorted(set(bits))
+    assert not jaccard._bitmap(df.limit(0), 2048).any()
 
 
 def test_the_threshold_itself_links():
