@@ -4,10 +4,8 @@ The chain predicts its categories in order. Each link is a logistic regression o
 the counts of telling words and word beginnings (which inflected words share) and on the probabilities of all earlier categories. While
 learning, those earlier probabilities come from models that did not see the row
 (out-of-fold), so a later link does not trust an earlier one more than it will be
-able to. The last category is the given label; its probability decides.
-
-The tables label texts as toxic or not. The earlier categories are told apart by
-seed words: a toxic text with a seed word of a category belongs to it.
+able to. Every category is a column of the labels; the last one decides.
+The tables label the quality of a text and whether it is toxic.
 
 Words are runs of letters (A-Z lower-cased, and all bytes of non-ASCII signs), so
 signs stuck to a word do not hide it. Counts cover the whole text.
@@ -16,7 +14,7 @@ signs stuck to a word do not hide it. Counts cover the whole text.
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,8 +28,10 @@ from footfall.llm import arrow, rolling, samples, store
 # Bound of each label's learning sample: documents, and characters of all its texts but the last.
 SAMPLE_DOCS = 4_000
 SAMPLE_CHARS = 10_000_000
-# Words and beginnings the models look at, and in how many sampled texts one must be.
+# Words and beginnings looked at for the last category and for each one before it, and in how
+# many sampled texts one must be.
 N_WORDS = 384
+N_EARLIER = 96
 MIN_TEXTS = 5
 # Lengths in bytes of the beginnings that count besides the whole word.
 BEGINNINGS = (3, 4, 5, 6, 8)
@@ -40,21 +40,18 @@ PENALTY = 0.3
 STEPS = 30
 THRESHOLD = 0.5
 
-# Seed words of the categories before the label itself.
-SEEDS = {
-    "insult": ("idiot", "moron", "loser", "clown", "scum", "fool", "jerk", "imbecile", "dunce", "coward"),
-    "contempt": ("worthless", "pathetic", "trash", "disgusting", "stupid", "garbage", "useless", "vile", "ugly", "dumb"),
-}
-LABEL = "toxic"
-CATEGORIES = (*SEEDS, LABEL)
+# The categories in chain order, as the labels name them.
+CATEGORIES = ("quality", "toxic")
 
-FIELDS = T.StructType(
-    [T.StructField(f"p_{name}", T.DoubleType()) for name in CATEGORIES]
-    + [T.StructField("toxic", T.BooleanType()), T.StructField("kept", T.BooleanType())]
-)
+_WHOLE = np.uint64(0x5851F42D4C957F2D)
 
 
-_WHOLE = np.uint64(0x5851F42D4C957F2D)
+def fields(categories: Sequence[str]) -> T.StructType:
+    """The columns that a chain of ``categories`` appends."""
+    return T.StructType(
+        [T.StructField(f"p_{name}", T.DoubleType()) for name in categories]
+        + [T.StructField("toxic", T.BooleanType()), T.StructField("kept", T.BooleanType())]
+    )
 
 
 def word_hash(word: str) -> int:
@@ -112,17 +109,24 @@ def fit_link(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int
     return weights
 
 
+def _link(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A link learned from the rows whose label is known; one that says no if there are none."""
+    known = ~np.isnan(y)
+    return fit_link(x[known], y[known]) if known.any() else np.append(np.zeros(x.shape[1]), -35.0)
+
+
 def fit_chain(x: np.ndarray, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
-    """One link per column of ``labels``; earlier columns reach later links out of fold."""
+    """One link per column of ``labels`` (NaN: unknown); earlier columns reach later links out of fold."""
     links = []
     for k in range(labels.shape[1]):
         y = labels[:, k]
+        links.append(_link(x, y))
+        if k + 1 == labels.shape[1]:
+            break
         apart = np.empty(len(y))
         for held in np.unique(fold):
             rest = fold != held
-            weights = fit_link(x[rest], y[rest]) if rest.any() else np.append(np.zeros(x.shape[1]), -35.0)
-            apart[~rest] = probability(x[~rest], weights)
-        links.append(fit_link(x, y))
+            apart[~rest] = probability(x[~rest], _link(x[rest], y[rest]))
         x = np.column_stack([x, apart])
     return links
 
@@ -137,91 +141,115 @@ def run_chain(x: np.ndarray, links: list[np.ndarray]) -> np.ndarray:
     return np.stack(found, axis=1)
 
 
-def count_words(texts: pa.Array, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, texts with each, toxic texts with each, texts by category with a seed word).
+def count_words(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, texts with each, positive texts with each), the last two by column of ``labels``.
 
-    Counted block by block, so only distinct words are held.
+    Texts of unknown label (NaN) count in no column of theirs. Counted block by block, so
+    only distinct words are held.
     """
-    seeds = [np.array([word_hash(word) for word in SEEDS[name]], np.uint64) for name in SEEDS]
-    seeded = np.zeros((len(texts), len(seeds)), bool)
-    held = [(np.empty(0, np.uint64), np.empty(0), np.empty(0))]
+    known, positive = ~np.isnan(labels), np.nan_to_num(labels)
+    kinds = labels.shape[1]
+    held = [(np.empty(0, np.uint64), np.empty((0, 2 * kinds)))]
 
-    def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def joined() -> tuple[np.ndarray, np.ndarray]:
         words, place = np.unique(np.concatenate([part[0] for part in held]), return_inverse=True)
-        return words, *(np.bincount(place, np.concatenate([part[i] for part in held]), len(words)) for i in (1, 2))
+        sums = np.zeros((len(words), 2 * kinds))
+        np.add.at(sums, place, np.concatenate([part[1] for part in held]))
+        return words, sums
 
     for first, _, data, offsets in arrow.blocks(texts):
         doc, found = words_in(data, offsets)
-        for k, hashes in enumerate(seeds):
-            seeded[first + doc[np.isin(found, hashes)], k] = True
         pairs = pd.DataFrame({"doc": doc, "word": found}).drop_duplicates()
         words, place = np.unique(pairs["word"].to_numpy(), return_inverse=True)
-        toxic = y[first + pairs["doc"].to_numpy()]
-        held.append((words, np.bincount(place).astype(float), np.bincount(place, toxic)))
+        at = first + pairs["doc"].to_numpy()
+        weights = [side[at, k] for side in (known, positive) for k in range(kinds)]
+        held.append((words, np.stack([np.bincount(place, w, len(words)) for w in weights], axis=1)))
         if sum(len(part[0]) for part in held[1:]) > 1 << 20:
             held = [joined()]
-    return *joined(), seeded
+    words, sums = joined()
+    return words, sums[:, :kinds], sums[:, kinds:]
 
 
-def telling_words(words: np.ndarray, size: np.ndarray, toxic: np.ndarray, n: int, n_toxic: float) -> np.ndarray:
-    """The words whose presence depends on the label most (chi-squared), sorted by hash."""
+def telling_words(words: np.ndarray, size: np.ndarray, positive: np.ndarray, n: int, n_positive: float, most: int) -> np.ndarray:
+    """The ``most`` words whose presence depends on a label most (chi-squared; ties by hash)."""
     often = size >= MIN_TEXTS
-    words, size, a = words[often], size[often], toxic[often]
-    determinant = a * (n - n_toxic - (size - a)) - (size - a) * (n_toxic - a)
-    below = size * (n - size) * n_toxic * (n - n_toxic)
+    words, size, a = words[often], size[often], positive[often]
+    determinant = a * (n - n_positive - (size - a)) - (size - a) * (n_positive - a)
+    below = size * (n - size) * n_positive * (n - n_positive)
     score = np.where(below > 0, n * determinant**2 / np.maximum(below, 1), 0)
-    return np.sort(words[np.lexsort((words, -score))[:N_WORDS]])
+    return words[np.lexsort((words, -score))[:most]]
 
 
-def fit_texts(texts: pa.Array, y: np.ndarray, fold: np.ndarray) -> dict:
+def fit_texts(texts: pa.Array, labels: np.ndarray, fold: np.ndarray) -> dict:
     """The model of labelled texts: the words looked at and the links of the chain."""
-    words, size, toxic, seeded = count_words(texts, y)
-    words = telling_words(words, size, toxic, len(y), y.sum())
-    labels = np.column_stack([seeded * y[:, None], y])
+    words, size, positive = count_words(texts, labels)
+    last = labels.shape[1] - 1
+    chosen = [
+        telling_words(
+            words, size[:, k], positive[:, k], np.sum(~np.isnan(labels[:, k])), np.nansum(labels[:, k]),
+            N_WORDS if k == last else N_EARLIER,
+        )
+        for k in range(last + 1)
+    ]
+    words = np.unique(np.concatenate(chosen))
     return {"words": words, "links": fit_chain(word_counts(texts, words), labels, fold)}
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = LABEL,
-    per_label: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS,
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+    categories: Sequence[str] = CATEGORIES, per_label: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS,
 ) -> dict | None:
-    """Learn from a bounded sample of labelled documents; None if there are none of either label.
-
-    A document with several labels is toxic if one says so; null labels and ids count
-    as none, and so do labels of documents that ``docs`` lacks. Of each label whole
-    texts are taken in the order of their id's hash until there are ``per_label`` of them
-    or they hold ``max_chars`` characters, and one at least.
+    """Learn from a bounded sample of labelled documents; None if there are none of either last label.
+
+    ``categories`` are columns of ``labels`` in chain order; the last one decides. A document
+    with several labels has a category if one says so. A null last label or id counts as
+    none, and so do labels of documents that ``docs`` lacks; a null earlier label is
+    unknown to its link alone. Of each last label whole texts are taken in the order of
+    their id's hash until there are ``per_label`` of them or they hold ``max_chars``
+    characters, and one at least.
     """
-    named = labels.select(arrow.column(doc_id).alias("id"), arrow.column(label).cast("int").alias("y"))
-    named = named.where("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.max((F.col("y") != 0).cast("int")).alias("y"))
+    flags = [f"y{k}" for k in range(len(categories))]
+    last = flags[-1]
+    named = labels.select(
+        arrow.column(doc_id).alias("id"),
+        *((arrow.column(name).cast("int") != 0).cast("int").alias(flag) for name, flag in zip(categories, flags, strict=True)),
+    )
+    named = named.where(f"id IS NOT NULL AND {last} IS NOT NULL").groupBy("id").agg(*(F.max(flag).alias(flag) for flag in flags))
     bodies = docs.select(arrow.column(doc_id).alias("id"), F.coalesce(arrow.column(text), F.lit("")).alias("text"))
     sizes = bodies.select("id", F.length("text").cast("long").alias("size")).join(named, "id")
     sizes = store.written(sizes, "labelled")
-    n_labels, n_toxic = sizes.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
-    chosen = samples.bounded(sizes, "y", per_label, max_chars).join(named, "id")
-    sample = bodies.join(F.broadcast(chosen), "id").select("id", "text", "y")
+    n_labels, n_toxic = sizes.agg(F.count("*"), F.coalesce(F.sum(last), F.lit(0))).first()
+    chosen = samples.bounded(sizes, last, per_label, max_chars).join(named, "id")
+    sample = bodies.join(F.broadcast(chosen), "id").select("id", "text", *flags)
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches) or [pd.DataFrame({"id": [], "text": [], "y": []})])
+        rows = pd.concat(list(batches) or [pd.DataFrame({name: [] for name in ("id", "text", *flags)})])
         rows = rows.sort_values(["id", "text"], ignore_index=True)
-        y = (rows["y"] != 0).to_numpy(float)
+        known = rows[flags].to_numpy(float)
+        y = known[:, -1]
         if 0 < y.sum() < len(y):
             fold = (rows["id"].to_numpy(np.int64) % 1_000_003 * 7919 % 104_729 % FOLDS).astype(int)
-            model = fit_texts(arrow.texts_of(pa.array(rows["text"], pa.string())), y, fold)
+            model = fit_texts(arrow.texts_of(pa.array(rows["text"], pa.string())), known, fold)
             # The sample holds toxic texts more often than the labels do.
             odds, sampled = n_toxic / (n_labels - n_toxic), y.sum() / (len(y) - y.sum())
             model["links"][-1][-1] += np.log(odds / sampled)
-            yield pd.DataFrame({"model": [pickle.dumps(model)]})
+            yield pd.DataFrame({"model": [pickle.dumps(model | {"categories": tuple(categories)})]})
 
     found = sample.repartition(1).mapInPandas(learn, "model binary").first()
     return pickle.loads(found["model"]) if found else None
 
 
+def _categories(model: dict | None) -> Sequence[str]:
+    return CATEGORIES if model is None else model["categories"]
+
+
 def _judge(model: dict | None):
+    names = _categories(model)
+
     def compute(texts) -> dict[str, np.ndarray]:
         body = arrow.texts_of(texts)
         if model is None or not len(body):
-            p = np.zeros((len(body), len(CATEGORIES)))
+            p = np.zeros((len(body), len(names)))
         else:
             step = max(1, (1 << 19) // max(1, len(model["words"])))
             p = np.concatenate([
@@ -229,7 +257,7 @@ def _judge(model: dict | None):
                 for at in range(0, len(body), step)
             ])
         toxic = p[:, -1] >= THRESHOLD
-        return {f"p_{name}": p[:, k] for k, name in enumerate(CATEGORIES)} | {"toxic": toxic, "kept": ~toxic}
+        return {f"p_{name}": p[:, k] for k, name in enumerate(names)} | {"toxic": toxic, "kept": ~toxic}
 
     return compute
 
@@ -238,15 +266,16 @@ def with_toxicity(df: DataFrame, model: dict | None, text: str = "text") -> Data
     """Append the probability of every category, ``toxic`` and ``kept`` for every whole text.
 
     A null text counts as empty. Without a model all probabilities are 0 and every
-    row is kept. Columns of ``df`` named like a new one give way.
+    row is kept. Columns of ``df`` named like a new one give way; an empty table gives none.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
+    added = fields(_categories(model))
 
     def make():
         judge = _judge(shared.value)
-        return lambda texts: [found[name] for found in [judge(texts)] for name in FIELDS.names]
+        return lambda texts: [found[name] for found in [judge(texts)] for name in added.names]
 
-    return arrow.add_columns(df, [text], FIELDS, make)
+    return arrow.add_columns(df, [text], added, make)
 
 
 def keep_civil(df: DataFrame, model: dict | None, text: str = "text") -> DataFrame:

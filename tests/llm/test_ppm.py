@@ -20,14 +20,19 @@ def speak(lang: str, n: int, seed: int) -> str:
     return " ".join("".join(pick.choice(parts) for _ in range(pick.randint(1, 4))) for _ in range(n))
 
 
-def by_hand(learned: list[str], text: str) -> float:
-    """Bits of a text by the definition, byte for byte."""
+def counted(learned: list[str]) -> list[dict]:
+    """How often each byte followed each context, by order."""
     seen = [defaultdict(Counter) for _ in range(ppm.ORDER + 1)]
     for body in learned:
         raw = body.encode()
         for i, byte in enumerate(raw):
             for k in range(min(i, ppm.ORDER) + 1):
                 seen[k][raw[i - k : i]][byte] += 1
+    return seen
+
+
+def walked(seen: list[dict], text: str) -> float:
+    """Bits of a text by the definition, byte for byte."""
     bits, raw = 0.0, text.encode()
     for i, byte in enumerate(raw):
         for k in range(min(i, ppm.ORDER), -1, -1):
@@ -44,6 +49,10 @@ def by_hand(learned: list[str], text: str) -> float:
     return bits
 
 
+def by_hand(learned: list[str], text: str) -> float:
+    return walked(counted(learned), text)
+
+
 def trees(texts):
     body = arrow.texts_of(pa.array(texts))
     (_, _, data, offsets), = arrow.blocks(body, 1 << 30)

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 import zlib
+from collections import Counter
 from html import unescape
 from pathlib import Path
 
@@ -15,12 +16,14 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from footfall.llm.queries import QUERIES, TWINS
-from footfall.llm import toxicity
+from footfall.llm import ppm, toxicity
 from tests.llm.test_jaccard import by_hand
+from tests.llm.test_ppm import counted, walked
 from tests.llm.test_quality import by_hand as quality_by_hand
 
 SMALL = Path("/root/testdata/sf0.001")
@@ -91,6 +94,24 @@ def test_op4_names_held_out_languages(spark):
     assert np.mean([row.lang_pred == lang[row.doc_id] for row in held]) > 0.97
 
 
+def test_op4_equals_a_plain_walk_of_the_contexts(spark):
+    table = pq.read_table(SMALL / "documents.parquet").to_pydict()
+    learned, held = {}, {}
+    for doc_id, text, lang in zip(table["doc_id"], table["text"], table["lang"], strict=True):
+        if zlib.crc32(str(doc_id).encode()) % 3 == 1:
+            held[doc_id] = text
+        elif text is not None and lang is not None:  # all within the sample's bounds
+            learned.setdefault(lang, []).append(text)
+    assert all(len(texts) <= ppm.SAMPLE_TEXTS and sum(map(len, texts)) <= ppm.SAMPLE_CHARS for texts in learned.values())
+    counts = {lang: counted(texts) for lang, texts in learned.items()}
+    found = {r.doc_id: (r.lang_pred, r.score) for r in rows_of(spark, "op4_language_id")}
+    for doc_id, text in sorted(held.items(), key=lambda row: len(row[1]))[: len(held) * 3 // 4]:
+        bits = {lang: walked(counts[lang], text) for lang in sorted(counts)}
+        least = min(bits, key=bits.get)
+        share = 1 / sum(2 ** min(0.0, bits[least] - other) for other in bits.values())
+        assert found[doc_id] == (least, pytest.approx(share, abs=1e-3)), doc_id
+
+
 def test_op5_places_every_piece(spark, texts):
     rows = rows_of(spark, "op5_best_fit_packing")
     wanted = []
@@ -118,6 +139,51 @@ def test_op6_agrees_with_the_labels(spark):
     assert np.mean([row.toxic == bool(label[row.doc_id]) for row in known]) > 0.95
 
 
+def plain_features(text):
+    """Words and beginnings of a text with their counts, each under its hash."""
+    found = Counter()
+    for word in re.findall(rb"[a-z\x80-\xff]+", (text or "").encode().lower()):
+        marks = toxicity.words_in(np.frombuffer(word, np.uint8), np.array([0, len(word)]))[1].tolist()
+        assert len(marks) == 1 + sum(len(word) >= n for n in toxicity.BEGINNINGS)
+        found.update(marks)
+    return found
+
+
+def test_op6_equals_plain_python(spark, texts):
+    table = pq.read_table(SMALL / "labels.parquet").to_pydict()
+    label = {i: pair for i, *pair in zip(table["doc_id"], table["quality"], table["toxic"], strict=True)}
+    features = {i: plain_features(text) for i, text in texts.items()}
+    ids = sorted(label)  # each once, none null, all within the sample's bounds
+    chosen = set()
+    for k, most in enumerate((toxicity.N_EARLIER, toxicity.N_WORDS)):
+        size, positive = Counter(), Counter()
+        for i in ids:
+            size.update(features[i].keys())
+            positive.update(features[i].keys() if label[i][k] else ())
+        n, yes = len(ids), sum(label[i][k] for i in ids)
+        ranked = []
+        for mark, at in size.items():
+            if at >= toxicity.MIN_TEXTS:
+                a, b = positive[mark], at - positive[mark]
+                c, d = yes - a, n - yes - b
+                below = at * (n - at) * yes * (n - yes)
+                ranked.append((-(n * (a * d - b * c) ** 2 / below) if below else 0.0, mark))
+        chosen.update(mark for _, mark in sorted(ranked)[:most])
+    marks = sorted(chosen)
+    x = {i: np.log1p([features[i][mark] for mark in marks]) for i in texts}
+    learned = np.array([x[i] for i in ids])
+    links = toxicity.fit_chain(
+        learned, np.array([label[i] for i in ids], float),
+        np.array([i % 1_000_003 * 7919 % 104_729 % toxicity.FOLDS for i in ids]),
+    )
+    found = {r.doc_id: r for r in rows_of(spark, "op6_toxicity")}
+    assert sorted(found) == sorted(texts)
+    for i, row in found.items():
+        wanted = toxicity.run_chain(x[i][None], links)[0]
+        assert (row.p_quality, row.p_toxic) == pytest.approx(tuple(wanted), abs=1e-4)
+        assert row.toxic == (row.p_toxic >= toxicity.THRESHOLD) != row.kept
+
+
 def test_op7_equals_the_rank_library(spark, texts):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
@@ -185,5 +251,34 @@ def test_pipeline_stages_equal_plain_python(spark, texts):
         assert found == [(k, at, len(cut), zlib.crc32(cut.tobytes())) for k, at, cut in cuts]
 
 
+def odd_tables(spark, folder, docs):
+    """``docs`` and labels of some of them, also of none and null ones, as the tables of a folder."""
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = [(3, 1, 0), (4, 0, 1), (4, None, 1), (None, 1, 1), (5, 1, None), (10**9, 1, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_pipeline_on_odd_rows(spark, odd_docs, prose_of, make_docs, tmp_path):
+    """Nulls, repeated rows and clashing columns: each kept row is packed, one document of equal texts stays."""
+    more = make_docs(prose_of(60, 500), prose_of(60, 900), prose_of(60, 900), ids=[10, 12, 11])
+    docs = odd_docs.unionAll(more)
+    for name in ("toxic", "kept", "sequence_id", "a.b", "id", "__copy"):
+        docs = docs.withColumn(name, F.lit("x"))
+    rows = corpus_pipeline.run(spark, odd_tables(spark, tmp_path, docs)).collect()
+    # Too short: ids 0 to 3, null and 7. Equal: both rows of 4 (one stays), 11 and 12.
+    assert {row.doc_id for row in rows} == {4, 5, 10, 11}
+    body = {4: prose_of(40), 5: prose_of(30_000), 10: prose_of(60, 500), 11: prose_of(60, 900)}
+    for doc_id, text in body.items():
+        ids = ids_of("word_bpe_49k.json", text)
+        found = sorted((r.start, r.length, r.ids_crc32) for r in rows if r.doc_id == doc_id)
+        cuts = [(at, ids[at : at + 2048]) for at in range(0, len(ids), 2048)]
+        assert found == [(at, len(cut), zlib.crc32(cut.tobytes())) for at, cut in cuts]
+
+
+def test_pipeline_on_empty_tables(spark, odd_docs, tmp_path):
+    assert corpus_pipeline.run(spark, odd_tables(spark, tmp_path, odd_docs.limit(0))).collect() == []
+
+
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, str(SMALL)).count() > 0
