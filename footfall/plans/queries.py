@@ -17,9 +17,9 @@ from footfall.operators import cells, digests, facts, positions, reports, search
 from footfall.plans import jobs
 from footfall.plans.tables import articles, events, table, visits
 from footfall.session import work_dir
-from footfall.sources import messages, raw_log, replay
+from footfall.sources import log_tail, messages, raw_log, replay
 from footfall.sources.tables import append_table, read_table, register, written
-from footfall.streaming import deltas, hourly, ingest, versions
+from footfall.streaming import deltas, hourly, ingest, versions, weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1087,6 +1087,46 @@ def facts_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(article.unionByName(user))
 
 
+@query(f"""
+SELECT {_week_sql("day")} AS week, CAST(CAST(date_trunc('week', day) AS DATE) AS VARCHAR) AS week_start,
+       count(*) AS n_days, CAST(sum(num) AS BIGINT) AS total,
+       round(avg(num), 6) AS avg, round(stddev_pop(num), 6) AS stddev,
+       CAST(sum(1 << (isodow(day) - 1)) AS BIGINT) AS days
+FROM daily GROUP BY ALL""")
+def weekly_stats_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly figures corrected three times: by late events, a compaction, and articles known late."""
+    root = work_dir(spark, "weekly")
+    every = articles(spark, sf_dir)
+    known = [every.filter(F.col("article_id") % 2 == 0)]
+    kept = deltas.Followed(spark, f"{root}/store", lambda: known[-1], buckets=4)
+    figures = weekly.Weekly(spark, f"{root}/weekly", kept.versions)
+    for number, batch in enumerate(_parts(spark, sf_dir)):
+        kept.apply(_unordered(raw_log.to_messages(batch)), number, f"{root}/checkpoint")
+        figures.refresh()
+    kept.compact()
+    figures.refresh()
+    known.append(every)
+    again = events(spark, sf_dir).filter(F.col("seq") % 7 == 0)
+    kept.apply(_unordered(raw_log.to_messages(again)), 2, f"{root}/checkpoint")
+    figures.refresh()
+    figures.compact()
+    stats = _rounded(figures.weekly_stats(with_year=True), "avg", "stddev")
+    return _shown(stats.join(figures.week_states().select("week_start", "days"), "week_start"))
+
+
+@query(_EVENTS_SQL.replace("{behavior}", "CASE WHEN seq % 4 = 0 THEN '9' ELSE behavior END"))
+def log_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw log followed as it grows, in three batches of one stream; the last writes some keys again."""
+    root = work_dir(spark, "log")
+    sent, seq = events(spark, sf_dir), F.col("seq")
+    changed = sent.filter(seq % 4 == 0).withColumn("behavior", F.lit("9"))
+    for part in (sent.filter(seq % 3 != 1), sent.filter(seq % 3 == 1), changed):
+        raw_log.log_lines(part).write.mode("append").text(f"{root}/log")
+        stream = log_tail.tail_messages(spark, f"{root}/log", split_bytes=1 << 20)
+        ingest.drain(ingest.ingest(stream, f"{root}/store", f"{root}/checkpoint"))
+    return _shown_events(ingest.read_events(spark, f"{root}/store"))
+
+
 @query("""
 SELECT state, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(ts AS VARCHAR) AS time, CAST(user_id AS VARCHAR) AS user_id,
        CAST(article_id AS VARCHAR) AS article_id,

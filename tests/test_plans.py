@@ -22,7 +22,8 @@ LAZY = [
     and name not in ("hourly_in_two_ranges", "facts_in_tables", "ingest_two_checkpoints", "compacted_and_tail",
                      "pages_walked", "replay_texts", "stored_domain_days", "appended_table", "compacted_events", "raw_log_events", "weekly_report_files",
                      "replay_positions", "result_positions", "facts_by_changes", "read_across_compaction", "looked_up_by_key",
-                     "stored_pages", "differing_by_digests", "compared_tables", "replayed_in_slices")
+                     "stored_pages", "differing_by_digests", "compared_tables", "replayed_in_slices",
+                     "weekly_stats_kept", "log_followed")
 ]
 
 
