@@ -1034,10 +1034,10 @@ def replayed_in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     slices = replay.store_slices(events(spark, sf_dir), f"{root}/slices", 3000)
 
     def publish(sent: DataFrame, number: int) -> None:
-        messages.publish(sent, fmt="text", path=f"{root}/topic/slice={number}")
+        messages.publish(sent, fmt="text", path=f"{root}/topic", by=["slice"])
 
-    replay.send_slices(spark, slices, publish, most=2)
-    replay.send_slices(spark, slices, publish)
+    replay.send_slices(spark, slices, publish, most=2, together=300_000)
+    replay.send_slices(spark, slices, publish, together=300_000)
     return spark.read.schema("value string, slice bigint").text(f"{root}/topic").select("slice", "value")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -23,19 +25,21 @@ def kafka_options(servers: str, topics: str, **options: str) -> dict[str, str]:
 
 def publish(
     messages: DataFrame, topic: str | None = None, servers: str | None = None,
-    fmt: str = "kafka", **options: str,
+    fmt: str = "kafka", by: Sequence[str] = (), **options: str,
 ) -> None:
     """Write ``value`` (and ``key``, if there is one) to a topic, from the executors.
 
     Any other batch format can stand in for the topic, such as ``text`` with a
-    ``path`` option.
+    ``path`` option; its files lie in folders by the columns ``by``.
     """
     columns = [name for name in ("key", "value") if name in messages.columns]
     if fmt == "kafka":
         options = {"kafka.bootstrap.servers": servers, "topic": topic} | options
+        by = ()
     else:
         columns = ["value"]
-    messages.select(*columns).write.format(fmt).options(**options).mode("append").save()
+    writer = messages.select(*columns, *by).write.format(fmt).options(**options).mode("append")
+    (writer.partitionBy(*by) if by else writer).save()
 
 
 def read_stream(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:

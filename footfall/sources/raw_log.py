@@ -49,11 +49,20 @@ def to_messages(events: DataFrame) -> DataFrame:
     events are sent by one task, in order. The text of a log's time is sent unchanged,
     also if it can't be read. Events without a user need no order and go to all tasks.
     """
-    value = message_of(F.col("user_id"), F.col("behavior"), F.col("article_id"), _time(events))
     order = [name for name in (*EVENT_ORDER, "seq") if name in events.columns]
     spread = F.when(F.col("user_id").isNull(), F.xxhash64(*events.columns))
     sent = events.repartition("user_id", spread).sortWithinPartitions("user_id", *order)
-    return sent.select(F.col("user_id").cast("string").alias("key"), value.alias("value"))
+    return sent.select(*_message(events))
+
+
+def to_messages_in_turn(events: DataFrame, *order: str) -> DataFrame:
+    """A bounded number of events as messages that one task sends in ``order``, with those columns."""
+    return events.coalesce(1).sortWithinPartitions(*order).select(*_message(events), *order)
+
+
+def _message(events: DataFrame) -> list[Column]:
+    value = message_of(F.col("user_id"), F.col("behavior"), F.col("article_id"), _time(events))
+    return [F.col("user_id").cast("string").alias("key"), value.alias("value")]
 
 
 def parse_messages(messages: DataFrame, *carried: str) -> DataFrame:

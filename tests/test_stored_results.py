@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.operators import digests, positions, spans
-from footfall.sources import raw_log, replay
+from footfall.sources import messages, raw_log, replay
 from tests.conftest import at, day, plan, rows
 
 ARTICLE_DAY = "day date, article_id string, domain string, behavior string, num long"
@@ -154,6 +154,33 @@ def test_slices_arrive_in_order_of_time_and_a_stopped_replay_goes_on(spark, tmp_
             assert own == sorted(own)
 
 
+def test_small_slices_are_sent_together_in_their_order(spark, tmp_path, log):
+    slices = replay.store_slices(log(100), str(tmp_path / "slices"), 9)
+    sent = []
+
+    def publish(messages_, number):
+        assert messages_.rdd.getNumPartitions() == 1
+        if number == 5 and len(sent) == 2:
+            sent.append(None)
+            raise OSError("lost")
+        sent.append((number, [(r.slice, r.position, r.value) for r in messages_.collect()]))
+        messages.publish(messages_, fmt="text", path=str(tmp_path / "topic"), by=["slice"])
+
+    assert replay.send_slices(spark, slices, publish, most=2, together=30) == 2
+    with pytest.raises(OSError):
+        replay.send_slices(spark, slices, publish, together=30)
+    assert replay.send_slices(spark, slices, publish, together=30) == 7
+    assert replay.send_slices(spark, slices, publish, together=30) == 0
+    assert [call[0] for call in sent if call] == [0, 2, 5, 8]
+    arrived = [row for call in sent if call for row in call[1]]
+    assert [(k, n) for k, n, _ in arrived] == [(i // 9, i) for i in range(100)]
+    times = [value.rsplit("@", 1)[1] for _, _, value in arrived]
+    assert times == sorted(times)
+    # Files of a slice hold its messages in order too.
+    stored = [spark.read.text(str(tmp_path / f"topic/slice={k}")).collect() for k in range(12)]
+    assert [[r.value for r in part] for part in stored] == [[v for n, _, v in arrived if n == k] for k in range(12)]
+
+
 def test_pace_follows_the_events(spark, tmp_path, log):
     slices = replay.store_slices(log(100), str(tmp_path / "slices"), 50)
     times = []
