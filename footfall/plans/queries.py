@@ -1004,7 +1004,8 @@ def _changed_facts(spark: SparkSession, sf_dir: str, name: str) -> deltas.Follow
     root = work_dir(spark, name)
     every = articles(spark, sf_dir)
     known = [every.filter(F.col("article_id") % 2 == 0)]
-    kept = deltas.Followed(spark, f"{root}/store", lambda: known[-1], buckets=4)
+    buckets = versions.buckets_for(events(spark, sf_dir).count())
+    kept = deltas.Followed(spark, f"{root}/store", lambda: known[-1], buckets)
     for batch in _parts(spark, sf_dir):
         stream = _message_stream(spark, raw_log.to_messages(batch), root)
         ingest.drain(kept.writer(stream, f"{root}/checkpoint"))
@@ -1067,9 +1068,10 @@ def facts_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many batches with repeated and late events and late articles, compacted half way; both facts."""
     root = work_dir(spark, "changes")
     sent, every = events(spark, sf_dir), articles(spark, sf_dir)
-    batches = written(_sent_in_batches(sent, sent.count()), "batches")
+    n = sent.count()
+    batches = written(_sent_in_batches(sent, n), "batches")
     known = [every.filter(F.col("article_id") % 3 != 0)]
-    kept = deltas.Followed(spark, f"{root}/store", lambda: known[-1], buckets=4)
+    kept = deltas.Followed(spark, f"{root}/store", lambda: known[-1], versions.buckets_for(n))
     for number in range(BATCHES + 2):
         batch = batches.filter(F.col("batch") == number)
         kept.apply(_unordered(raw_log.to_messages(batch)), number, f"{root}/checkpoint")
@@ -1098,7 +1100,8 @@ def weekly_stats_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "weekly")
     every = articles(spark, sf_dir)
     known = [every.filter(F.col("article_id") % 2 == 0)]
-    kept = deltas.Followed(spark, f"{root}/store", lambda: known[-1], buckets=4)
+    buckets = versions.buckets_for(events(spark, sf_dir).count())
+    kept = deltas.Followed(spark, f"{root}/store", lambda: known[-1], buckets)
     figures = weekly.Weekly(spark, f"{root}/weekly", kept.versions)
     for number, batch in enumerate(_parts(spark, sf_dir)):
         kept.apply(_unordered(raw_log.to_messages(batch)), number, f"{root}/checkpoint")

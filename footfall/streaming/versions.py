@@ -24,6 +24,7 @@ import uuid
 from collections.abc import Iterable
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,8 @@ WHOLE_EVERY = 50
 # Values of the bucketing column: the slots that a batch touches are a list of bounded length.
 SLOTS = 256
 BUCKETS = 16
+# Rows that a bucket should hold: one task resolves or writes a bucket's rows of all days it is given.
+BUCKET_ROWS = 500_000
 EVENTS_TABLE = "events"
 # Filters as large as a row group's values ask for: from 1 MiB down by halves, 12 times.
 BLOOM = {
@@ -80,6 +83,14 @@ def slot_of(user_id: Column, ts: Column) -> Column:
     return F.pmod(F.xxhash64(user_id.cast("string"), hour_of(ts)), F.lit(SLOTS)).cast("int")
 
 
+def buckets_for(rows: int, least: int = 4) -> int:
+    """Buckets for a store of about ``rows`` writes, so that no task's share grows with the store.
+
+    More buckets than slots would stay empty. A store keeps the number it was made with.
+    """
+    return max(least, min(SLOTS, -(-rows // BUCKET_ROWS)))
+
+
 def latest(stored: DataFrame) -> DataFrame:
     """Last write of each key. Keys lie within a slot, so a bucketed scan is not shuffled."""
     keys = ["day", "slot", *EVENT_KEY]
@@ -279,7 +290,8 @@ class Versions:
         """Write a batch of messages, not yet published: its folders, days and slots."""
         placed = batch.withColumn("pos", F.coalesce(F.col("pos"), F.monotonically_increasing_id()))
         numbered = {"run": F.lit(run).cast("long"), "batch_id": F.lit(batch_id).cast("long")}
-        parsed = parse_messages(placed, "sent_at", "part", "pos").withColumns(numbered)
+        # Read once, as a source is costly to read and its rows are to keep their places; on disk, as a batch may be large.
+        parsed = parse_messages(placed, "sent_at", "part", "pos").withColumns(numbered).persist(StorageLevel.DISK_ONLY)
         ok, slot = F.col("status") == "ok", slot_of(F.col("user_id"), F.col("ts"))
         # Bounded: days of the batch, and as many slots as there are at most.
         days, slots, n_rejected = parsed.agg(
@@ -289,7 +301,9 @@ class Versions:
         accepted = parsed.where(ok).withColumns({"slot": slot, "day": day_of(F.col("ts"))})
         rejected = parsed.where(~ok).select("batch_id", "value", F.lit(NO_DAY).cast("date").alias("day"))
         added = self.write(accepted.select(*STORED.names), EVENTS_TABLE, days)
-        return added + self.write(rejected, "rejects", [NO_DAY] if n_rejected else []), days, slots
+        added += self.write(rejected, "rejects", [NO_DAY] if n_rejected else [])
+        parsed.unpersist()
+        return added, days, slots
 
     def store(self, batch: DataFrame, batch_id: int, checkpoint: str) -> None:
         """Store and publish one batch of messages; a published one that is run again adds nothing."""

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footfall.operators import facts
+from footfall.plans import queries
 from footfall.sources import messages
 from footfall.streaming import deltas, ingest, versions
 from tests.conftest import at, rows
@@ -231,3 +232,44 @@ def test_changes_from_a_stream(spark, tmp_path, make_articles):
         stream = messages.read_stream(spark, "text", path=str(folder))
         ingest.drain(kept.writer(stream, str(tmp_path / "cp")))
     assert_equal_to_batch(kept, articles)
+
+
+@pytest.mark.parametrize("name", ["facts_by_changes", "read_across_compaction", "looked_up_by_key"])
+def test_buckets_of_a_query_grow_with_its_events(spark, tmp_path, monkeypatch, name):
+    spark.range(120).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id AS int)) AS ts", "id % 7 AS user_id",
+        "'view' AS event_type", "1.0D AS value", "concat('{\"k\": ', id % 5, '}') AS props",
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(5).selectExpr(
+        "id AS doc_id", "'' AS text", "'en' AS lang", "concat('src', id) AS source", "0L AS n_chars"
+    ).write.parquet(str(tmp_path / "documents.parquet"))
+    wanted = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    made = []
+    begin = versions.Versions.__init__
+
+    def begun(self, *args, **options):
+        begin(self, *args, **options)
+        made.append(self.buckets)
+
+    monkeypatch.setattr(versions, "BUCKET_ROWS", 10, raising=False)
+    monkeypatch.setattr(versions.Versions, "__init__", begun)
+    assert sorted(map(str, queries.QUERIES[name](spark, str(tmp_path)).collect())) == sorted(map(str, wanted))
+    assert wanted and set(made) == {12}  # 120 rows, 10 a bucket
+
+
+def test_buckets_are_no_more_than_slots():
+    assert [versions.buckets_for(n) for n in (0, 10, 6_000_000, 1 << 40)] == [4, 4, 12, versions.SLOTS]
+
+
+def test_a_batch_is_read_once(store, batch, tmp_path, spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(rows_):
+        for row in rows_:
+            read.add(1)
+            yield row
+
+    values = batch(f"U1@0@D1@{GOOD}", "bad@1", f"U1@2@D2@{GOOD}")
+    store.store(spark.createDataFrame(values.rdd.mapPartitions(count), SCHEMA), 0, str(tmp_path / "cp"))
+    assert read.value == 3
+    assert store.events().count() == 2 and rows(store.rejects()) == [(0, "bad@1")]
