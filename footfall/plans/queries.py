@@ -1139,7 +1139,7 @@ def read_across_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reader that was opened before later batches and a compaction, beside one opened after them."""
     root = work_dir(spark, "snapshots")
     sent, seq = events(spark, sf_dir), F.col("seq")
-    store = versions.Versions(spark, f"{root}/store", buckets=4)
+    store = versions.Versions(spark, f"{root}/store", versions.buckets_for(sent.count()))
     parts = (sent.filter(seq % 2 == 0), sent.filter(seq % 2 == 1), sent.filter(seq % 4 == 0).withColumn("behavior", F.lit("9")))
     opened = None
     for number, part in enumerate(parts):
