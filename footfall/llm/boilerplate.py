@@ -11,13 +11,12 @@ broken tags.
 
 The blocks' words are then joined, page after page of one host, and a suffix array
 over them finds every run of at least ``MIN_RUN`` words that appears on two or more
-different pages. On a page without ``article`` or ``main``, what such runs cover is
-boilerplate (whole blocks, or runs inside one) and only the page's own words are kept. Blocks that
-the markup says are the article's are kept whole, as a passage may well be printed on
-several pages.
+different pages. What such runs cover is boilerplate (whole blocks, or runs inside one) and
+only the page's own words are kept. This is then held against the markup: of a page that
+names its article (or ``main``), blocks inside it get back their shared runs, as a passage
+may well be printed on several pages, and blocks outside it go.
 
-Pages of hosts that have a page without ``article`` or ``main`` are dealt by ranges of
-(host, hash of the page's id), so the pages of a large host lie in several windows. A
+All pages are dealt by ranges of (host, hash of the page's id), so the pages of a large host lie in several windows. A
 suffix array covers one window: at most ``MAX_WORDS`` words of one host, or one page if
 that is longer. That bounds memory only: every window tells its runs, by two 64-bit
 hashes, with the least and the greatest content they are in; these are merged over the
@@ -363,29 +362,27 @@ def lay_out(pages: list[list[str]]) -> Laid:
     return Laid(np.array(words, np.int64), list(numbers), np.array(page_of, np.int64), spans)
 
 
-def text_without(blocks: list[str], spans: list[tuple[int, int]], covered: np.ndarray, run: int) -> str:
-    """The words of a page's blocks that no shared run covers."""
+def text_without(blocks: list[Block], spans: list[tuple[int, int]], covered: np.ndarray, run: int) -> str:
+    """The words of a page's blocks that no shared run covers, held against the markup.
+
+    Where that names the article (else ``main``), shared runs in it are put back and what lies outside goes.
+    """
+    best = max((block.where for block in blocks), default=0)
     kept = []
-    for text, (start, end) in zip(blocks, spans, strict=True):
+    for block, (start, end) in zip(blocks, spans, strict=True):
         drop = whole_runs(covered[start:end], run)
-        kept.append(" ".join(w for w, gone in zip(text.split(" "), drop, strict=True) if not gone))
+        if best:
+            drop = np.full(end - start, block.where != best)
+        kept.append(" ".join(w for w, gone in zip(block.text.split(" "), drop, strict=True) if not gone))
     return "\n\n".join(text for text in kept if text)
 
 
 def own_texts(pages: list[tuple[int, list[Block]]], run: int = MIN_RUN) -> list[str]:
     """The main text of each (identity, blocks) of one host, worked out in one suffix array."""
-    texts = [[block.text for block in blocks] for _, blocks in pages]
-    laid = lay_out(texts)
+    laid = lay_out([[block.text for block in blocks] for _, blocks in pages])
     identity = np.array([identity for identity, _ in pages], np.int64)
     covered = repeated_words(laid.words, identity[laid.page], run)
-    out = []
-    for (_, blocks), mine, spans in zip(pages, texts, laid.spans, strict=True):
-        best = max((block.where for block in blocks), default=0)
-        if best:
-            out.append("\n\n".join(block.text for block in blocks if block.where == best))
-        else:
-            out.append(text_without(mine, spans, covered, run))
-    return out
+    return [text_without(blocks, spans, covered, run) for (_, blocks), spans in zip(pages, laid.spans, strict=True)]
 
 
 def _two_hashes(text: str) -> tuple[int, int]:
@@ -416,12 +413,12 @@ def window_runs(pages: list[list[str]], contents: list[int], host: str | None) -
     return [*keys[:, where], np.minimum.reduceat(content, begin), np.maximum.reduceat(content, begin)]
 
 
-def texts_without(pages: list[list[str]], host: str | None, shared: np.ndarray) -> list[str]:
+def texts_without(pages: list[list[Block]], host: str | None, shared: np.ndarray) -> list[str]:
     """The texts of some pages of a host without the runs of which ``shared`` has the two hashes."""
-    laid = lay_out(pages)
+    laid = lay_out([[block.text for block in blocks] for blocks in pages])
     covered = np.zeros(len(laid.words), bool)
-    starts, keys = run_keys(laid, host)
-    if shared.shape[1] and len(starts):
+    if shared.shape[1]:
+        starts, keys = run_keys(laid, host)
         shared = shared[:, np.lexsort(shared[::-1])]
         # A first hash that two shared runs have is looked up by either of them.
         hit = np.zeros(len(starts), bool)
@@ -430,16 +427,16 @@ def texts_without(pages: list[list[str]], host: str | None, shared: np.ndarray)
             there = np.minimum(at + step, shared.shape[1] - 1)
             hit |= (at + step < end) & (shared[1][there] == keys[1])
         covered = rolling.covered(starts[hit], MIN_RUN, len(laid.words))
-    return [text_without(mine, spans, covered, MIN_RUN) for mine, spans in zip(pages, laid.spans, strict=True)]
+    return [text_without(blocks, spans, covered, MIN_RUN) for blocks, spans in zip(pages, laid.spans, strict=True)]
 
 
 def _parsed(rows: DataFrame) -> DataFrame:
-    """id, url, host, content, texts and places of the blocks, words, and whether the markup names no article."""
-    names = ["id", "url", "host", "content", "texts", "places", "words", "open"]
+    """id, url, host, content, texts and places of the blocks, and words."""
+    names = ["id", "url", "host", "content", "texts", "places", "words"]
     schema = T.StructType([
         *rows.select("id", "url", "host", "content").schema,
         T.StructField("texts", T.ArrayType(T.StringType())), T.StructField("places", T.ArrayType(T.IntegerType())),
-        T.StructField("words", T.LongType()), T.StructField("open", T.BooleanType()),
+        T.StructField("words", T.LongType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,8 +446,7 @@ def _parsed(rows: DataFrame) -> DataFrame:
                 [*batch.columns[:4],
                  pa.array([[block.text for block in blocks] for blocks in pages], pa.list_(pa.string())),
                  pa.array([[block.where for block in blocks] for blocks in pages], pa.list_(pa.int32())),
-                 pa.array([sum(block.text.count(" ") + 2 for block in blocks) for blocks in pages], pa.int64()),
-                 pa.array([bool(blocks) and not any(block.where for block in blocks) for blocks in pages], pa.bool_())],
+                 pa.array([sum(block.text.count(" ") + 2 for block in blocks) for blocks in pages], pa.int64())],
                 names=names,
             )
 
@@ -465,13 +461,14 @@ def _in_windows(pages: DataFrame, max_words: int) -> DataFrame:
     schema = T.StructType([*pages.schema, T.StructField("window", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window, host, size = TaskContext.get().partitionId() << 40, None, 0
+        window, host, size = TaskContext.get().partitionId() << 40, "", None
         for batch in batches:
             numbers = []
             for place, n in zip(batch.column("host").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                if size and (place != host or size + n > max_words):
+                # An empty page has no words, but its host all the same.
+                if size is not None and (place != host or (size and size + n > max_words)):
                     window, size = window + 1, 0
-                host, size = place, size + n
+                host, size = place, (size or 0) + n
                 numbers.append(window)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=names)
 
@@ -498,24 +495,28 @@ def _runs(windows: DataFrame) -> DataFrame:
     return rows.mapInArrow(arrow.tidy(run), "window long, first long, second long, low long, high long")
 
 
-def _texts_of_open(pages: DataFrame, schema: T.StructType, max_words: int) -> DataFrame:
-    """The own texts of the open pages among all pages of some hosts."""
+def _texts(pages: DataFrame, schema: T.StructType, max_words: int) -> DataFrame:
+    """The texts of all pages: by the runs of their hosts, then held against the markup."""
     windows = store.written(_in_windows(pages, max_words), "windows")
     run = ["first", "second"]
     shared = _runs(windows).groupBy(*run).agg(F.min("low").alias("low"), F.max("high").alias("high"))
     shared = shared.where("low <> high").select(*run)
-    mine = _runs(windows.where("open")).select("window", *run).join(shared, run, "left_semi")
+    mine = _runs(windows).select("window", *run).join(shared, run, "left_semi")
 
     def own(pages: pa.Table, runs: pa.Table) -> pa.Table:
         known = np.stack([runs.column(name).to_numpy() for name in run])
-        texts = texts_without(pages.column("texts").to_pylist(), pages.column("host")[0].as_py(), known)
+        blocks = [
+            [Block(*block) for block in zip(texts, places, strict=True)]
+            for texts, places in zip(pages.column("texts").to_pylist(), pages.column("places").to_pylist(), strict=True)
+        ]
+        texts = texts_without(blocks, pages.column("host")[0].as_py(), known)
         return pa.table([
             pages.column("id"), pages.column("url"), pa.array(texts, pa.string()),
             pa.array([len(text) for text in texts], pa.int64()),
         ], names=schema.names)
 
-    open_pages = windows.where("open").select("window", "id", "url", "host", "texts")
-    return open_pages.groupBy("window").cogroup(mine.groupBy("window")).applyInArrow(own, schema)
+    rows = windows.select("window", "id", "url", "host", "texts", "places")
+    return rows.groupBy("window").cogroup(mine.groupBy("window")).applyInArrow(own, schema)
 
 
 def main_texts(
@@ -535,13 +536,4 @@ def main_texts(
         host_and_path(arrow.column(url))[0].alias("host"), F.xxhash64(arrow.column(html)).alias("content"),
         arrow.column(html).alias("html"),
     )
-    parsed = store.written(_parsed(rows), "pages")
-    best = F.array_max("places")
-    text = F.array_join(F.filter("texts", lambda _, i: F.get("places", i) == best), "\n\n")
-    named = parsed.where("not open").select("id", "url", text.alias("text"))
-    named = named.withColumn("n_chars", F.length("text").cast("long")).toDF(*schema.names)
-    if parsed.where("open").isEmpty():
-        return named
-    hosts = parsed.where("open").select(F.col("host").alias("_host")).distinct()
-    pages = parsed.join(hosts, F.col("host").eqNullSafe(F.col("_host")), "left_semi")
-    return named.unionByName(_texts_of_open(pages, schema, max_words))
+    return _texts(_parsed(rows), schema, max_words)

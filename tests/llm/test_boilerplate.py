@@ -86,6 +86,28 @@ def test_passages_of_articles_stay_though_repeated(spark):
     assert boilerplate.main_texts(df.limit(0)).count() == 0
 
 
+def test_every_page_goes_through_the_suffix_array(spark, monkeypatch):
+    """Also pages that name their article, before the markup is asked."""
+    notice = "this one notice of ten words stands on every page"
+    rows = [(i, "http://h.org/", f"<div>{notice}</div><article><p>{notice}</p><p>{i}</p></article>") for i in range(3)]
+    rows += [(3, None, None), (4, "http://h.org/", f"<p>{notice}</p><p>own</p>")]
+    seen = []
+    runs = boilerplate._runs
+
+    def noted(windows):
+        seen.append(sorted(row.id for row in windows.select("id").collect()))
+        return runs(windows)
+
+    monkeypatch.setattr(boilerplate, "_runs", noted)
+    for some in (rows[:4], rows):
+        df = spark.createDataFrame(some, "page_id long, url string, html string")
+        found = {r.page_id: r.text for r in boilerplate.main_texts(df).collect()}
+        wanted = {0: f"{notice}\n\n0", 1: f"{notice}\n\n1", 2: f"{notice}\n\n2", 3: "", 4: "own"}
+        assert found == {row[0]: wanted[row[0]] for row in some}
+        assert seen and all(ids == sorted(row[0] for row in some) for ids in seen)
+        seen.clear()
+
+
 def test_a_run_is_found_across_the_windows_of_a_host(spark):
     menu = "<div>Home News About us Contact all the rest of it here</div>"
     rows = [
