@@ -197,17 +197,21 @@ def fit_texts(texts: pa.Array, labels: np.ndarray, fold: np.ndarray) -> dict:
 
 def fit(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    categories: Sequence[str] = CATEGORIES, per_label: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS,
+    categories: Sequence[str] | None = None, per_label: int = SAMPLE_DOCS, max_chars: int = SAMPLE_CHARS,
 ) -> dict | None:
     """Learn from a bounded sample of labelled documents; None if there are none of either last label.
 
-    ``categories`` are columns of ``labels`` in chain order; the last one decides. A document
+    ``categories`` are columns of ``labels`` in chain order, by default those of ``CATEGORIES``
+    that it has; the last one decides, so it must be there. A document
     with several labels has a category if one says so. A null last label or id counts as
     none, and so do labels of documents that ``docs`` lacks; a null earlier label is
     unknown to its link alone. Of each last label whole texts are taken in the order of
     their id's hash until there are ``per_label`` of them or they hold ``max_chars``
     characters, and one at least.
     """
+    if categories is None:
+        held = {name.lower() for name in labels.columns}
+        categories = [name for name in CATEGORIES if name in held or name == CATEGORIES[-1]]
     flags = [f"y{k}" for k in range(len(categories))]
     last = flags[-1]
     named = labels.select(
