@@ -16,11 +16,14 @@ only the page's own words are kept. This is then held against the markup: of a p
 names its article (or ``main``), blocks inside it get back their shared runs, as a passage
 may well be printed on several pages, and blocks outside it go.
 
-All pages are dealt by ranges of (host, hash of the page's id), so the pages of a large host lie in several windows. A
-suffix array covers one window: at most ``MAX_WORDS`` words of one host, or one page if
-that is longer. That bounds memory only: every window tells its runs, by two 64-bit
-hashes, with the least and the greatest content they are in; these are merged over the
-whole host, and the runs of two or more contents go back to the windows that hold them.
+All pages are dealt to windows of about ``MAX_WORDS`` words: a host that has more lies in several, by a hash of the
+page, smaller ones share some. A suffix array covers a host's pages in one window. That bounds memory only: of a host in
+several windows each tells its runs, and those of two or more contents are found over the whole host. As most runs are
+in one window only, this takes two rounds. In the first a window tells a number of some thirty bits for each run, packed
+in order to two or three bytes, and hears which of them other windows have too. In the second it tells the runs of those
+alone, by that number and a 64-bit hash independent of it, with the least and the greatest content they are in; what is
+merged of these decides, and goes back as the runs' places in the window's order. The pages' words are dealt once,
+compressed, and read again in each round.
 
 A null or empty page has an empty text; a page without an own host (null url) is
 compared with others without one. Pages of equal html count as one page, so exact
@@ -31,24 +34,29 @@ from __future__ import annotations
 
 import re
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
-from hashlib import blake2b
 from html import unescape
-from itertools import groupby
+from itertools import count, groupby
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm import arrow, rolling, store
+from footfall.llm import arrow, rolling
 from footfall.llm.urls import host_and_path
 
 MIN_RUN = 8
 MAX_WORDS = 1 << 18
+# Code points of a page that are counted as one word when windows are sized; a word and the space after it take two at least.
+CHARS_A_WORD = 6
+# Bits by which a run's number exceeds the runs of its host, so that few numbers are in two windows by chance.
+SPARE_BITS = 8
+# Windows of a host whose numbers one task compares at once.
+COMPARED = 8
 
 # What the tags of HTML mean.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -286,20 +294,34 @@ def blocks_of(html: str) -> list[Block]:
     return strict
 
 
+def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, rank): where the keys stand in stable order, and the rank of each among the distinct ones."""
+    bits = len(keys).bit_length()
+    if len(keys) and keys.min() >= 0 and int(keys.max()) < 1 << (63 - bits):
+        both = np.sort(keys << bits | np.arange(len(keys)))  # of plain numbers, several times as fast as argsort
+        order, keys = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.cumsum(np.diff(keys, prepend=keys[:1]) != 0)
+    return order, rank
+
+
 def suffix_order(words: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, rank): all suffixes sorted by their first ``depth`` words (a power of two).
 
     Prefix doubling: the rank by 2h words comes from the ranks by h words of a suffix
     and of the one h words later. Suffixes that agree in ``depth`` words share a rank.
     """
-    rank = np.unique(words, return_inverse=True)[1].astype(np.int64)
+    order, rank = _ranked(words)
     h = 1
     while h < depth:
         later = np.zeros(len(rank), np.int64)
         later[: len(rank) - h] = rank[h:] + 1
-        rank = np.unique(rank * (len(rank) + 2) + later, return_inverse=True)[1].astype(np.int64)
+        order, rank = _ranked(rank * (len(rank) + 2) + later)
         h *= 2
-    return np.argsort(rank, kind="stable"), rank
+    return order, rank
 
 
 def equal_runs(words: np.ndarray, page: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
@@ -348,18 +370,19 @@ class Laid(NamedTuple):
 
 def lay_out(pages: list[list[str]]) -> Laid:
     """The words of the blocks of pages."""
-    numbers: dict[str, int] = {"": 0}
-    words, page_of, spans = [], [], []
-    for k, blocks in enumerate(pages):
-        mine = []
+    numbers: defaultdict[str, int] = defaultdict(count().__next__)
+    numbers["\n"]  # the end of a block is a word of its own, so runs of short blocks count
+    words, sizes, spans = [], [], []
+    for blocks in pages:
+        at, mine = len(words), []
         for text in blocks:
-            ids = [numbers.setdefault(word, len(numbers)) for word in text.split(" ")]
-            mine.append((len(words), len(words) + len(ids)))
-            words += ids
-            words.append(0)  # the end of a block is a word of its own, so runs of short blocks count
-            page_of += [k] * (len(ids) + 1)
+            mine.append((at, at + text.count(" ") + 1))
+            at = mine[-1][1] + 1
+        if blocks:
+            words += [numbers[word] for word in " \n ".join([*blocks, ""]).split(" ")[:-1]]
+        sizes.append(sum(end - start + 1 for start, end in mine))
         spans.append(mine)
-    return Laid(np.array(words, np.int64), list(numbers), np.array(page_of, np.int64), spans)
+    return Laid(np.array(words, np.int64), list(numbers), np.repeat(np.arange(len(pages)), sizes), spans)
 
 
 def text_without(blocks: list[Block], spans: list[tuple[int, int]], covered: np.ndarray, run: int) -> str:
@@ -373,7 +396,10 @@ def text_without(blocks: list[Block], spans: list[tuple[int, int]], covered: np.
         drop = whole_runs(covered[start:end], run)
         if best:
             drop = np.full(end - start, block.where != best)
-        kept.append(" ".join(w for w, gone in zip(block.text.split(" "), drop, strict=True) if not gone))
+        if not drop.any():
+            kept.append(block.text)
+        elif not drop.all():
+            kept.append(" ".join(w for w, gone in zip(block.text.split(" "), drop, strict=True) if not gone))
     return "\n\n".join(text for text in kept if text)
 
 
@@ -385,138 +411,302 @@ def own_texts(pages: list[tuple[int, list[Block]]], run: int = MIN_RUN) -> list[
     return [text_without(blocks, spans, covered, run) for (_, blocks), spans in zip(pages, laid.spans, strict=True)]
 
 
-def _two_hashes(text: str) -> tuple[int, int]:
-    return struct.unpack("<QQ", blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+def _two_hashes(words: list[str]) -> np.ndarray:
+    """Two independent 64-bit hashes of each word."""
+    raw = [word.encode("utf-8", "surrogatepass") for word in words]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+    starts = np.concatenate([[0], ends[:-1]])
+    return np.stack([rolling.span_hashes(rolling.byte_sums(data, which), starts, ends, which) for which in (0, 1)])
 
 
 def run_keys(laid: Laid, host: str | None, run: int = MIN_RUN) -> tuple[np.ndarray, np.ndarray]:
     """(starts, keys): where runs inside one page start, and two 64-bit hashes of the run and the host."""
-    of_word = np.array([_two_hashes(word) for word in laid.known], np.uint64)[laid.words].T
-    of_host = np.array(_two_hashes("" if host is None else f"/{host}"), np.uint64)
+    of_word = _two_hashes(laid.known)[:, laid.words]
+    of_host = _two_hashes(["" if host is None else f"/{host}"])
     starts, keys = np.empty(0, np.int64), []
     for hashes, own in zip(of_word, of_host, strict=True):
         starts, found = rolling.gram_hashes(rolling.gram_sums(hashes), laid.page, run)
-        keys.append((found ^ own).view(np.int64))
+        keys.append(found ^ own)
     return starts, np.stack(keys)
 
 
-def window_runs(pages: list[list[str]], contents: list[int], host: str | None) -> list[np.ndarray]:
-    """Every run of some pages of a host once: its two hashes, the least and the greatest content it is in."""
-    laid = lay_out(pages)
+class Runs(NamedTuple):
+    """The runs of some pages of a host, each once, in the order of their two hashes."""
+
+    starts: np.ndarray  # where runs start, each place of each run
+    which: np.ndarray  # the run that starts there
+    keys: np.ndarray  # the two hashes of each run
+    low: np.ndarray  # the least and the greatest content that it is in
+    high: np.ndarray
+
+
+def window_runs(laid: Laid, contents: list[int], host: str | None) -> Runs:
+    """Every run of some pages of a host, found by a suffix array."""
     order, first = equal_runs(laid.words, laid.page, MIN_RUN)
     if not len(order):
-        return [np.empty(0, np.int64)] * 4
+        empty = np.empty(0, np.int64)
+        return Runs(empty, empty, np.empty((2, 0), np.uint64), empty, empty)
     starts, keys = run_keys(laid, host)
     begin = np.flatnonzero(first)
-    where = np.searchsorted(starts, order[begin])
+    keys = keys[:, np.searchsorted(starts, order[begin])]
     content = np.array(contents, np.int64)[laid.page[order]]
-    return [*keys[:, where], np.minimum.reduceat(content, begin), np.maximum.reduceat(content, begin)]
+    by = np.lexsort(keys[::-1])
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    low, high = (least.reduceat(content, begin)[by] for least in (np.minimum, np.maximum))
+    return Runs(order, place[np.cumsum(first) - 1], keys[:, by], low, high)
 
 
-def texts_without(pages: list[list[Block]], host: str | None, shared: np.ndarray) -> list[str]:
-    """The texts of some pages of a host without the runs of which ``shared`` has the two hashes."""
+def texts_without(pages: list[list[Block]], contents: list[int], host: str | None, shared: np.ndarray) -> list[str]:
+    """The texts of some pages of a host without the runs that two of them share or whose places are in ``shared``."""
     laid = lay_out([[block.text for block in blocks] for blocks in pages])
-    covered = np.zeros(len(laid.words), bool)
-    if shared.shape[1]:
-        starts, keys = run_keys(laid, host)
-        shared = shared[:, np.lexsort(shared[::-1])]
-        # A first hash that two shared runs have is looked up by either of them.
-        hit = np.zeros(len(starts), bool)
-        at, end = (np.searchsorted(shared[0], keys[0], side) for side in ("left", "right"))
-        for step in range(int((end - at).max())):
-            there = np.minimum(at + step, shared.shape[1] - 1)
-            hit |= (at + step < end) & (shared[1][there] == keys[1])
-        covered = rolling.covered(starts[hit], MIN_RUN, len(laid.words))
+    if len(shared):
+        runs = window_runs(laid, contents, host)
+        gone = runs.low != runs.high
+        gone[shared] = True
+        covered = rolling.covered(runs.starts[gone[runs.which]], MIN_RUN, len(laid.words))
+    else:
+        covered = repeated_words(laid.words, np.array(contents, np.int64)[laid.page])
     return [text_without(blocks, spans, covered, MIN_RUN) for blocks, spans in zip(pages, laid.spans, strict=True)]
 
 
+def packed(numbers: np.ndarray, bits: int) -> bytes:
+    """Numbers of so many ``bits`` in ascending order: their low bits, then how far apart the high ones are."""
+    low = max(0, bits - len(numbers).bit_length())
+    lows = np.empty((low, len(numbers)), np.uint8)
+    for bit in range(low):
+        lows[bit] = numbers >> bit & 1
+    at = (numbers >> low) + np.arange(len(numbers))
+    marks = np.zeros(int(at.max(initial=-1)) + 1, np.uint8)
+    marks[at] = 1
+    return struct.pack("<QB", len(numbers), low) + np.packbits(lows).tobytes() + np.packbits(marks).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    """The numbers that ``packed`` wrote."""
+    n, low = struct.unpack_from("<QB", raw)
+    data = np.frombuffer(raw, np.uint8, offset=9)
+    end = (n * low + 7) // 8
+    numbers = (np.flatnonzero(np.unpackbits(data[end:])) - np.arange(n)) << low
+    for bit, found in enumerate(np.unpackbits(data[:end], count=n * low).reshape(low, n)):
+        numbers |= found.astype(np.int64) << bit
+    return numbers
+
+
+class Split(NamedTuple):
+    """How the runs of a host in some windows are numbered and dealt."""
+
+    bits: int  # of a run's number within its bucket
+    bucket_bits: int
+
+    @staticmethod
+    def of(parts: int) -> Split:
+        doubled = (parts - 1).bit_length()
+        buckets = max(0, doubled - COMPARED.bit_length() + 1)
+        return Split((MAX_WORDS - 1).bit_length() + SPARE_BITS + doubled - buckets, buckets)
+
+    def numbers(self, runs: Runs) -> np.ndarray:
+        """The numbers of runs, bucket before bucket, ascending."""
+        return (runs.keys[0] >> np.uint64(64 - self.bits - self.bucket_bits)).view(np.int64)
+
+    def cuts(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(bucket, first, last) of ascending numbers in every bucket that has some."""
+        cuts = np.searchsorted(numbers, np.arange((1 << self.bucket_bits) + 1) << self.bits).tolist()
+        return ((i, *cut) for i, cut in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if cut[0] < cut[1])
+
+
+def _in_windows(rows: DataFrame, max_words: int) -> DataFrame:
+    """``rows`` with the ``window`` of each, and the number of windows (``parts``) that its host is dealt to.
+
+    Hosts that fill a window are told to all tasks, so their number is bounded by the size of the table over that of a window.
+    """
+    most = F.lit(max_words * CHARS_A_WORD)
+    sizes = rows.groupBy("host").agg(F.sum(F.coalesce(F.length("html"), F.lit(0)).cast("long")).alias("size"))
+    large = sizes.where(F.col("size") > most).select(
+        F.col("host").alias("place"), F.ceil(F.col("size") / most).alias("dealt")
+    )
+    small = sizes.where(F.col("size") <= most).agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"))
+    small = small.select(F.ceil((F.col("size") + 1) / most).alias("shared"))
+    found = rows.join(F.broadcast(large), F.col("host").eqNullSafe(F.col("place")), "left").crossJoin(F.broadcast(small))
+    window = F.when(F.col("dealt").isNull(), F.xxhash64(F.pmod(F.xxhash64("host"), "shared"))).otherwise(
+        F.xxhash64("host", F.pmod(F.xxhash64("id", "url", "content"), "dealt"))
+    )
+    parts = F.coalesce("dealt", F.lit(1)).cast("long")
+    return found.select(*rows.columns, window.alias("window"), parts.alias("parts"))
+
+
 def _parsed(rows: DataFrame) -> DataFrame:
-    """id, url, host, content, texts and places of the blocks, and words."""
-    names = ["id", "url", "host", "content", "texts", "places", "words"]
+    """``rows`` with the places and compressed texts of the blocks instead of the html, dealt by window."""
+    names = [name for name in rows.columns if name != "html"]
     schema = T.StructType([
-        *rows.select("id", "url", "host", "content").schema,
-        T.StructField("texts", T.ArrayType(T.StringType())), T.StructField("places", T.ArrayType(T.IntegerType())),
-        T.StructField("words", T.LongType()),
+        *rows.select(*names).schema, T.StructField("places", T.BinaryType()), T.StructField("texts", T.BinaryType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for batch in batches:
-            pages = [blocks_of(body.as_py() or "") for body in batch.column(4)]
+            places, texts = [], []
+            for html in batch.column(len(names)):
+                blocks = blocks_of(html.as_py() or "")
+                body = "\n".join(block.text for block in blocks).encode("utf-8", "surrogatepass")
+                places.append(bytes(block.where for block in blocks))
+                texts.append(struct.pack("<Q", len(body)) + codec.compress(body, asbytes=True))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4],
-                 pa.array([[block.text for block in blocks] for blocks in pages], pa.list_(pa.string())),
-                 pa.array([[block.where for block in blocks] for blocks in pages], pa.list_(pa.int32())),
-                 pa.array([sum(block.text.count(" ") + 2 for block in blocks) for blocks in pages], pa.int64())],
-                names=names,
-            )
+                [*batch.columns[: len(names)], pa.array(places, pa.binary()), pa.array(texts, pa.binary())],
+                names=schema.names,
+            )
 
-    return rows.select("id", "url", "host", "content", "html").mapInArrow(arrow.tidy(run), schema)
+    pages = rows.select(*names, "html").mapInArrow(arrow.tidy(run), schema)
+    return pages.repartition("window")
 
 
-def _in_windows(pages: DataFrame, max_words: int) -> DataFrame:
-    """``pages`` dealt by host, with the number of the ``window`` of at most ``max_words`` words of a host."""
-    spread = F.xxhash64("id", "url")
-    pages = pages.repartitionByRange("host", spread).sortWithinPartitions("host", spread)
-    names = [*pages.columns, "window"]
-    schema = T.StructType([*pages.schema, T.StructField("window", T.LongType())])
+def _texts_of(raw: bytes) -> list[str]:
+    """The texts of a page's blocks."""
+    (size,) = struct.unpack_from("<Q", raw)
+    if not size:
+        return []
+    body = pa.Codec("zstd").decompress(raw[8:], decompressed_size=size, asbytes=True)
+    return body.decode("utf-8", "surrogatepass").split("\n")
+
+
+def _by_host(pages: pa.Table) -> Iterator[tuple[str | None, int, pa.Table]]:
+    """(host, number of its windows, pages) of each host in a window."""
+    places: dict[str | None, list[int]] = {}
+    for i, host in enumerate(pages.column("host").to_pylist()):
+        places.setdefault(host, []).append(i)
+    for host, at in places.items():
+        mine = pages.take(at)
+        yield host, mine.column("parts")[0].as_py(), mine
+
+
+def _runs_of(pages: pa.Table, host: str | None) -> Runs:
+    laid = lay_out([_texts_of(raw) for raw in pages.column("texts").to_pylist()])
+    return window_runs(laid, pages.column("content").to_pylist(), host)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window, host, size = TaskContext.get().partitionId() << 40, "", None
-        for batch in batches:
-            numbers = []
-            for place, n in zip(batch.column("host").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                # An empty page has no words, but its host all the same.
-                if size is not None and (place != host or (size and size + n > max_words)):
-                    window, size = window + 1, 0
-                host, size = place, (size or 0) + n
-                numbers.append(window)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], names=names)
 
-    return pages.mapInArrow(arrow.tidy(run), schema)
+# What a window tells of its runs, or hears of them: a bucket of a host, and packed numbers.
+_HEAD = [("host", pa.string()), ("parts", pa.int64()), ("bucket", pa.int64()), ("window", pa.int64())]
+_NUMBERS = pa.schema([*_HEAD, ("runs", pa.binary())])
+_EXACT = pa.schema([*_HEAD, ("runs", pa.binary()), ("places", pa.binary()), ("exact", pa.binary())])
+_PLACES = pa.schema([*_HEAD, ("places", pa.binary())])
+_HEAD_DDL = "host string, parts long, bucket long, window long"
+_NUMBERS_DDL = f"{_HEAD_DDL}, runs binary"
+_EXACT_DDL = f"{_HEAD_DDL}, runs binary, places binary, exact binary"
+_PLACES_DDL = f"{_HEAD_DDL}, places binary"
 
 
 def _runs(windows: DataFrame) -> DataFrame:
-    """The runs of each window: first, second (hashes), low and high (contents)."""
+    """The packed numbers of the runs of each window, by bucket; a host in one window has none to tell."""
+    names = ["window", "host", "parts", "content", "texts"]
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+            yield from zip(*(batch.column(name).to_pylist() for name in names), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (window, host), rows in groupby(rows_of(batches), key=lambda row: row[:2]):
-            _, _, contents, pages = zip(*rows, strict=True)
-            found = window_runs(list(pages), list(contents), host)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(found[0]), window)), *map(pa.array, found)],
-                names=["window", "first", "second", "low", "high"],
-            )
-
-    rows = windows.select("window", "host", "content", "texts")
-    return rows.mapInArrow(arrow.tidy(run), "window long, first long, second long, low long, high long")
-
-
-def _texts(pages: DataFrame, schema: T.StructType, max_words: int) -> DataFrame:
+        for window, rows in groupby(rows_of(batches), key=lambda row: row[0]):
+            pages = pa.table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)))
+            for host, parts, mine in _by_host(pages):
+                if parts == 1:
+                    continue
+                split = Split.of(parts)
+                numbers = np.unique(split.numbers(_runs_of(mine, host)))
+                told = [
+                    (host, parts, bucket, window, packed(numbers[start:end] - (bucket << split.bits), split.bits))
+                    for bucket, start, end in split.cuts(numbers)
+                ]
+                if told:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, kind) for x, kind in zip(zip(*told, strict=True), _NUMBERS.types, strict=True)],
+                        schema=_NUMBERS,
+                    )
+
+    return windows.sortWithinPartitions("window").mapInArrow(arrow.tidy(run), _NUMBERS_DDL)
+
+
+def _in_two_windows(told: pa.Table) -> pa.Table:
+    """Of one bucket of a host: the numbers that several windows told, for each of these windows."""
+    rows = told.to_pylist()
+    bits = Split.of(rows[0]["parts"]).bits
+    numbers = [unpacked(row["runs"]) for row in rows]
+    every = np.sort(np.concatenate(numbers))
+    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    found = [np.intersect1d(mine, twice, assume_unique=True) for mine in numbers]
+    return pa.Table.from_pylist(
+        [row | {"runs": packed(mine, bits)} for row, mine in zip(rows, found, strict=True) if len(mine)], _NUMBERS
+    )
+
+
+def _exact(pages: pa.Table, met: pa.Table) -> pa.Table:
+    """Of one window: the runs whose numbers other windows told too, exactly."""
+    wanted = defaultdict(list)
+    for row in met.to_pylist():
+        wanted[row["host"]].append(unpacked(row["runs"]) + (row["bucket"] << Split.of(row["parts"]).bits))
+    out = []
+    for host, parts, mine in _by_host(pages) if wanted else ():
+        if host not in wanted:
+            continue
+        split, runs = Split.of(parts), _runs_of(mine, host)
+        numbers = split.numbers(runs)
+        places = np.flatnonzero(np.isin(numbers, np.concatenate(wanted[host])))
+        exact = np.stack([runs.keys[1].view(np.int64), runs.low, runs.high - runs.low])
+        for bucket, start, end in split.cuts(numbers[places]):
+            at = places[start:end]
+            out.append({
+                "host": host, "parts": parts, "bucket": bucket, "window": pages.column("window")[0].as_py(),
+                "runs": packed(numbers[at] - (bucket << split.bits), split.bits),
+                "places": packed(at, len(numbers).bit_length()), "exact": exact[:, at].tobytes(),
+            })
+    return pa.Table.from_pylist(out, _EXACT)
+
+
+def _in_two_contents(told: pa.Table) -> pa.Table:
+    """Of one bucket of a host: the places of the runs of two or more contents, for each of their windows."""
+    rows = told.to_pylist()
+    numbers = np.concatenate([unpacked(row["runs"]) for row in rows])
+    second, low, spread = np.concatenate([np.frombuffer(row["exact"], np.int64).reshape(3, -1) for row in rows], axis=1)
+    order = np.lexsort((second, numbers))
+    first = (np.diff(numbers[order], prepend=-1) != 0) | (np.diff(second[order], prepend=second[order][:1]) != 0)
+    begin = np.flatnonzero(first)
+    shared = np.minimum.reduceat(low[order], begin) != np.maximum.reduceat((low + spread)[order], begin)
+    gone = np.empty(len(order), bool)
+    gone[order] = shared[np.cumsum(first) - 1]
+    out, start = [], 0
+    for row in rows:
+        places = unpacked(row["places"])
+        places, start = places[gone[start : start + len(places)]], start + len(places)
+        if len(places):
+            packed_places = packed(places, int(places[-1]).bit_length())
+            out.append({name: row[name] for name, _ in _HEAD} | {"places": packed_places})
+    return pa.Table.from_pylist(out, _PLACES)
+
+
+def _texts(windows: DataFrame, schema: T.StructType) -> DataFrame:
     """The texts of all pages: by the runs of their hosts, then held against the markup."""
-    windows = store.written(_in_windows(pages, max_words), "windows")
-    run = ["first", "second"]
-    shared = _runs(windows).groupBy(*run).agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    shared = shared.where("low <> high").select(*run)
-    mine = _runs(windows).select("window", *run).join(shared, run, "left_semi")
-
-    def own(pages: pa.Table, runs: pa.Table) -> pa.Table:
-        known = np.stack([runs.column(name).to_numpy() for name in run])
-        blocks = [
-            [Block(*block) for block in zip(texts, places, strict=True)]
-            for texts, places in zip(pages.column("texts").to_pylist(), pages.column("places").to_pylist(), strict=True)
-        ]
-        texts = texts_without(blocks, pages.column("host")[0].as_py(), known)
-        return pa.table([
-            pages.column("id"), pages.column("url"), pa.array(texts, pa.string()),
-            pa.array([len(text) for text in texts], pa.int64()),
-        ], names=schema.names)
-
-    rows = windows.select("window", "id", "url", "host", "texts", "places")
-    return rows.groupBy("window").cogroup(mine.groupBy("window")).applyInArrow(own, schema)
+    bucket = ["host", "bucket"]
+    met = _runs(windows).groupBy(*bucket).applyInArrow(_in_two_windows, _NUMBERS_DDL)
+    told = windows.groupBy("window").cogroup(met.groupBy("window")).applyInArrow(_exact, _EXACT_DDL)
+    shared = told.groupBy(*bucket).applyInArrow(_in_two_contents, _PLACES_DDL)
+
+    def own(pages: pa.Table, shared: pa.Table) -> pa.Table:
+        known = defaultdict(lambda: [np.empty(0, np.int64)])
+        for row in shared.to_pylist():
+            known[row["host"]].append(unpacked(row["places"]))
+        out = []
+        for host, _, mine in _by_host(pages):
+            blocks = [
+                [Block(*block) for block in zip(_texts_of(raw), places, strict=True)]
+                for raw, places in zip(mine.column("texts").to_pylist(), mine.column("places").to_pylist(), strict=True)
+            ]
+            texts = texts_without(blocks, mine.column("content").to_pylist(), host, np.concatenate(known[host]))
+            out.append(pa.table([
+                mine.column("id"), mine.column("url"), pa.array(texts, pa.string()),
+                pa.array([len(text) for text in texts], pa.int64()),
+            ], names=schema.names))
+        return pa.concat_tables(out)
+
+    return windows.groupBy("window").cogroup(shared.groupBy("window")).applyInArrow(own, schema)
 
 
 def main_texts(
@@ -536,4 +726,4 @@ def main_texts(
         host_and_path(arrow.column(url))[0].alias("host"), F.xxhash64(arrow.column(html)).alias("content"),
         arrow.column(html).alias("html"),
     )
-    return _texts(_parsed(rows), schema, max_words)
+    return _texts(_parsed(_in_windows(rows, max_words)), schema)
