@@ -70,6 +70,13 @@ def texts_of(array: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(array.cast(pa.large_string()), "")
 
 
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of texts with 64-bit offsets, at least one."""
+    _, offsets_buffer, data_buffer = texts.buffers()
+    offsets = np.frombuffer(offsets_buffer, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(data_buffer, np.uint8) if data_buffer is not None else np.empty(0, np.uint8), offsets
+
+
 def blocks(texts: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Split texts into (first, last, bytes, offsets) of about ``max_bytes``.
 
@@ -79,9 +86,7 @@ def blocks(texts: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int,
     n = len(texts)
     if not n:
         return
-    _, offsets_buffer, data_buffer = texts.buffers()
-    offsets = np.frombuffer(offsets_buffer, np.int64)[texts.offset : texts.offset + n + 1]
-    data = np.frombuffer(data_buffer, np.uint8) if data_buffer is not None else np.empty(0, np.uint8)
+    data, offsets = bytes_of(texts)
     first = 0
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + max_bytes, side="right")) - 1

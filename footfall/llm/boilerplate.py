@@ -37,11 +37,12 @@ import struct
 from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
-from itertools import count, groupby
+from itertools import compress, groupby
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -362,27 +363,27 @@ def whole_runs(covered: np.ndarray, run: int) -> np.ndarray:
 class Laid(NamedTuple):
     """The words of some pages, one after the other."""
 
-    words: np.ndarray  # the number of each word, 0 for the end of a block
-    known: list[str]  # the word of each number
+    words: np.ndarray  # the number of each word, the end of a block being one
+    known: pa.Array  # the word of each number
     page: np.ndarray  # which page each word is on
     spans: list[list[tuple[int, int]]]  # of each page, where its blocks lie
 
 
 def lay_out(pages: list[list[str]]) -> Laid:
     """The words of the blocks of pages."""
-    numbers: defaultdict[str, int] = defaultdict(count().__next__)
-    numbers["\n"]  # the end of a block is a word of its own, so runs of short blocks count
-    words, sizes, spans = [], [], []
+    sizes, spans, at = [], [], 0
     for blocks in pages:
-        at, mine = len(words), []
+        mine = []
         for text in blocks:
             mine.append((at, at + text.count(" ") + 1))
             at = mine[-1][1] + 1
-        if blocks:
-            words += [numbers[word] for word in " \n ".join([*blocks, ""]).split(" ")[:-1]]
-        sizes.append(sum(end - start + 1 for start, end in mine))
+        sizes.append(at - mine[0][0] if mine else 0)
         spans.append(mine)
-    return Laid(np.array(words, np.int64), list(numbers), np.repeat(np.arange(len(pages)), sizes), spans)
+    # The end of a block is a word of its own, so runs of short blocks count.
+    texts = pa.array([" \n ".join([*blocks, ""])[:-1] if blocks else None for blocks in pages], pa.large_string())
+    words = pc.split_pattern(texts, " ").flatten().dictionary_encode()
+    numbers = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return Laid(numbers, words.dictionary, np.repeat(np.arange(len(pages)), sizes), spans)
 
 
 def text_without(blocks: list[Block], spans: list[tuple[int, int]], covered: np.ndarray, run: int) -> str:
@@ -393,13 +394,11 @@ def text_without(blocks: list[Block], spans: list[tuple[int, int]], covered: np.
     best = max((block.where for block in blocks), default=0)
     kept = []
     for block, (start, end) in zip(blocks, spans, strict=True):
-        drop = whole_runs(covered[start:end], run)
-        if best:
-            drop = np.full(end - start, block.where != best)
-        if not drop.any():
+        stays = np.full(1, block.where == best) if best else ~whole_runs(covered[start:end], run)
+        if stays.all():
             kept.append(block.text)
-        elif not drop.all():
-            kept.append(" ".join(w for w, gone in zip(block.text.split(" "), drop, strict=True) if not gone))
+        elif stays.any():
+            kept.append(" ".join(compress(block.text.split(" "), stays.tolist())))
     return "\n\n".join(text for text in kept if text)
 
 
@@ -411,19 +410,18 @@ def own_texts(pages: list[tuple[int, list[Block]]], run: int = MIN_RUN) -> list[
     return [text_without(blocks, spans, covered, run) for (_, blocks), spans in zip(pages, laid.spans, strict=True)]
 
 
-def _two_hashes(words: list[str]) -> np.ndarray:
+def _two_hashes(words: pa.Array) -> np.ndarray:
     """Two independent 64-bit hashes of each word."""
-    raw = [word.encode("utf-8", "surrogatepass") for word in words]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
-    starts = np.concatenate([[0], ends[:-1]])
-    return np.stack([rolling.span_hashes(rolling.byte_sums(data, which), starts, ends, which) for which in (0, 1)])
+    data, offsets = arrow.bytes_of(words)
+    return np.stack([
+        rolling.span_hashes(rolling.byte_sums(data, which), offsets[:-1], offsets[1:], which) for which in (0, 1)
+    ])
 
 
 def run_keys(laid: Laid, host: str | None, run: int = MIN_RUN) -> tuple[np.ndarray, np.ndarray]:
     """(starts, keys): where runs inside one page start, and two 64-bit hashes of the run and the host."""
     of_word = _two_hashes(laid.known)[:, laid.words]
-    of_host = _two_hashes(["" if host is None else f"/{host}"])
+    of_host = _two_hashes(pa.array(["" if host is None else f"/{host}"], pa.large_string()))
     starts, keys = np.empty(0, np.int64), []
     for hashes, own in zip(of_word, of_host, strict=True):
         starts, found = rolling.gram_hashes(rolling.gram_sums(hashes), laid.page, run)
@@ -449,9 +447,13 @@ def window_runs(laid: Laid, contents: list[int], host: str | None) -> Runs:
         return Runs(empty, empty, np.empty((2, 0), np.uint64), empty, empty)
     starts, keys = run_keys(laid, host)
     begin = np.flatnonzero(first)
-    keys = keys[:, np.searchsorted(starts, order[begin])]
+    at = np.empty(len(laid.words), np.int64)
+    at[starts] = np.arange(len(starts))
+    keys = keys[:, at[order[begin]]]
     content = np.array(contents, np.int64)[laid.page[order]]
-    by = np.lexsort(keys[::-1])
+    by = np.argsort(keys[0])
+    if (np.diff(keys[0][by]) == 0).any():  # two runs of one hash
+        by = np.lexsort(keys[::-1])
     place = np.empty(len(by), np.int64)
     place[by] = np.arange(len(by))
     low, high = (least.reduceat(content, begin)[by] for least in (np.minimum, np.maximum))
@@ -494,6 +496,13 @@ def unpacked(raw: bytes) -> np.ndarray:
     return numbers
 
 
+def _among(numbers: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which ascending ``numbers`` are among the ascending ``known`` ones."""
+    if not len(known):
+        return np.zeros(len(numbers), bool)
+    return known[np.minimum(np.searchsorted(known, numbers), len(known) - 1)] == numbers
+
+
 class Split(NamedTuple):
     """How the runs of a host in some windows are numbered and dealt."""
 
@@ -611,7 +620,8 @@ def _runs(windows: DataFrame) -> DataFrame:
                 if parts == 1:
                     continue
                 split = Split.of(parts)
-                numbers = np.unique(split.numbers(_runs_of(mine, host)))
+                numbers = split.numbers(_runs_of(mine, host))
+                numbers = numbers[np.diff(numbers, prepend=-1) != 0]
                 told = [
                     (host, parts, bucket, window, packed(numbers[start:end] - (bucket << split.bits), split.bits))
                     for bucket, start, end in split.cuts(numbers)
@@ -631,8 +641,9 @@ def _in_two_windows(told: pa.Table) -> pa.Table:
     bits = Split.of(rows[0]["parts"]).bits
     numbers = [unpacked(row["runs"]) for row in rows]
     every = np.sort(np.concatenate(numbers))
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
-    found = [np.intersect1d(mine, twice, assume_unique=True) for mine in numbers]
+    twice = every[1:][every[1:] == every[:-1]]
+    twice = twice[np.diff(twice, prepend=-1) != 0]
+    found = [mine[_among(mine, twice)] for mine in numbers]
     return pa.Table.from_pylist(
         [row | {"runs": packed(mine, bits)} for row, mine in zip(rows, found, strict=True) if len(mine)], _NUMBERS
     )
@@ -649,7 +660,7 @@ def _exact(pages: pa.Table, met: pa.Table) -> pa.Table:
             continue
         split, runs = Split.of(parts), _runs_of(mine, host)
         numbers = split.numbers(runs)
-        places = np.flatnonzero(np.isin(numbers, np.concatenate(wanted[host])))
+        places = np.flatnonzero(_among(numbers, np.sort(np.concatenate(wanted[host]))))
         exact = np.stack([runs.keys[1].view(np.int64), runs.low, runs.high - runs.low])
         for bucket, start, end in split.cuts(numbers[places]):
             at = places[start:end]

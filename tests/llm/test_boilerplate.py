@@ -202,3 +202,80 @@ def test_the_suffix_array_decides_rows_of_the_query(spark, tmp_path):
         wanted |= {page: text for (page, _, _), text in zip(mine, texts, strict=True)}
     found = {r.page_id: r.text for r in queries.op9_main_text(spark, str(tmp_path)).collect()}
     assert found == wanted and sum(found[i] != markup[i] for i in found) > 0
+
+
+@pytest.mark.parametrize(("bits", "n"), [(1, 1), (1, 2), (5, 0), (8, 3), (20, 1000), (31, 50_000), (45, 7)])
+def test_packed_numbers_come_back(bits, n):
+    rng = np.random.default_rng(bits)
+    for numbers in (rng.integers(0, 1 << bits, n), np.full(n, (1 << bits) - 1), np.zeros(n, np.int64)):
+        raw = boilerplate.packed(np.sort(numbers), bits)
+        assert boilerplate.unpacked(raw).tolist() == sorted(numbers.tolist())
+        assert len(raw) <= 9 + 2 + n * (max(0, bits - n.bit_length()) + 3) / 8 + 1
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 45])
+def test_ranks_are_dense_and_stable(scale):
+    keys = np.random.default_rng(5).integers(0, 40, 3000) * scale
+    order, rank = boilerplate._ranked(keys)
+    assert order.tolist() == np.argsort(keys, kind="stable").tolist()
+    assert rank.tolist() == np.unique(keys, return_inverse=True)[1].tolist()
+
+
+def prose_pages(n, words):
+    """Pages of one host with words of their own, a menu on all of them and a passage on every seventh."""
+    menu = "Home News About us Contact all the rest of it here"
+    return [
+        (i, f"http://h.org/{i}", f"<div>{menu}</div><div>{' '.join(f'w{i}x{k}' for k in range(words))}</div>"
+         + ("<p>one passage of ten words that some pages print again</p>" if i % 7 == 0 else ""))
+        for i in range(n)
+    ]
+
+
+def test_runs_go_between_windows_in_few_bytes(spark, monkeypatch):
+    """Two to three bytes a run: 40 were told of each, which took 11 times the size of the pages."""
+    seen = []
+    runs = boilerplate._runs
+
+    def noted(windows):
+        found = runs(windows)
+        seen.append((found.toArrow().nbytes, windows.select("window").distinct().count()))
+        return found
+
+    monkeypatch.setattr(boilerplate, "_runs", noted)
+    df = spark.createDataFrame(prose_pages(60, 2000), "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in boilerplate.main_texts(df, max_words=30_000).collect()}
+    assert found == {i: " ".join(f"w{i}x{k}" for k in range(2000)) for i in range(60)}
+    assert all(windows > 2 and size < 4 * 60 * 2000 for size, windows in seen) and seen
+
+
+def test_the_pages_texts_are_dealt_once(spark, conf):
+    """Each round reads the same shuffle, so the disk does not hold the texts again."""
+    conf("spark.sql.adaptive.enabled", "false")
+    df = spark.createDataFrame(prose_pages(40, 30), "page_id long, url string, html string")
+    plan = boilerplate.main_texts(df, max_words=200)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange" in line and "REPARTITION" in line]
+    assert len([line for line in dealt if "ReusedExchange" not in line]) == 1 and len(dealt) == 3
+
+
+@pytest.mark.parametrize("spare", [boilerplate.SPARE_BITS, -16])
+def test_numbers_that_meet_by_chance_cover_nothing(spark, monkeypatch, spare):
+    """With few bits every number is told by several windows; the exact hashes still decide."""
+    monkeypatch.setattr(boilerplate, "SPARE_BITS", spare)
+    rows = prose_pages(60, 40)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for max_words in (60, 400):
+        found = {r.page_id: r.text for r in boilerplate.main_texts(df, max_words=max_words).collect()}
+        assert found == {i: " ".join(f"w{i}x{k}" for k in range(40)) for i in range(60)}
+
+
+def test_small_hosts_share_windows_and_nothing_else(spark):
+    menu = "<div>Home News About us Contact all the rest of it here</div>"
+    rows = [(i, f"http://h{i // 2}.org/{i}", f"{menu}<div>own text {i}</div>") for i in range(40)]
+    rows += [(100 + i, f"http://alone{i}.org/", f"{menu}<div>own text {i}</div>") for i in range(40)]
+    rows += [(None, None, f"{menu}<div>x</div>"), (None, None, f"{menu}<div>y</div>"), (None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for max_words in (1, 100, boilerplate.MAX_WORDS):
+        found = boilerplate.main_texts(df, max_words=max_words).collect()
+        kept = "Home News About us Contact all the rest of it here"
+        wanted = [f"own text {i}" for i in range(40)] + [f"{kept}\n\nown text {i}" for i in range(40)] + ["x", "y", ""]
+        assert sorted(r.text for r in found) == sorted(wanted)
