@@ -17,7 +17,8 @@ names its article (or ``main``), blocks inside it get back their shared runs, as
 may well be printed on several pages, and blocks outside it go.
 
 All pages are dealt to windows of about ``MAX_WORDS`` words: a host that has more lies in several, by a hash of the
-page, smaller ones share some. A suffix array covers a host's pages in one window. That bounds memory only: of a host in
+page's content, smaller ones share some. Copies so meet in a window and are laid out once; very many of them are spread
+over as many windows as they fill eighths of one. A suffix array covers a host's pages in one window. That bounds memory only: of a host in
 several windows each tells its runs, and those of two or more contents are found over the whole host. As most runs are
 in one window only, this takes two rounds. In the first a window tells a number of some thirty bits for each run, packed
 in order to two or three bytes, and hears which of them other windows have too. In the second it tells the runs of those
@@ -58,6 +59,8 @@ CHARS_A_WORD = 6
 SPARE_BITS = 8
 # Windows of a host whose numbers one task compares at once.
 COMPARED = 8
+# The copies of one page fill such a part of a window at most.
+COPIES = 8
 
 # What the tags of HTML mean.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -528,18 +531,27 @@ class Split(NamedTuple):
 def _in_windows(rows: DataFrame, max_words: int) -> DataFrame:
     """``rows`` with the ``window`` of each, and the number of windows (``parts``) that its host is dealt to.
 
-    Hosts that fill a window are told to all tasks, so their number is bounded by the size of the table over that of a window.
+    Hosts that fill a window and pages whose copies fill a part of one are told to all tasks: their number is bounded
+    by the size of the table over that of such a part.
     """
     most = F.lit(max_words * CHARS_A_WORD)
-    sizes = rows.groupBy("host").agg(F.sum(F.coalesce(F.length("html"), F.lit(0)).cast("long")).alias("size"))
+    chars = F.coalesce(F.length("html"), F.lit(0)).cast("long") + 1
+    copies = rows.groupBy("host", "content").agg(F.sum(chars).alias("size"), F.count("*").alias("n"))
+    sizes = copies.groupBy("host").agg(F.sum("size").alias("size"))
     large = sizes.where(F.col("size") > most).select(
         F.col("host").alias("place"), F.ceil(F.col("size") / most).alias("dealt")
     )
     small = sizes.where(F.col("size") <= most).agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"))
     small = small.select(F.ceil((F.col("size") + 1) / most).alias("shared"))
-    found = rows.join(F.broadcast(large), F.col("host").eqNullSafe(F.col("place")), "left").crossJoin(F.broadcast(small))
+    many = copies.where((F.col("n") > 1) & (F.col("size") * COPIES > most)).select(
+        F.col("host").alias("here"), F.col("content").alias("same"), F.ceil(F.col("size") * COPIES / most).alias("spread")
+    )
+    found = rows.join(F.broadcast(large), F.col("host").eqNullSafe(F.col("place")), "left")
+    same = F.col("host").eqNullSafe(F.col("here")) & F.col("content").eqNullSafe(F.col("same"))
+    found = found.join(F.broadcast(many), same, "left").crossJoin(F.broadcast(small))
+    spread = F.pmod(F.xxhash64("id", "url"), F.coalesce("spread", F.lit(1)).cast("long"))
     window = F.when(F.col("dealt").isNull(), F.xxhash64(F.pmod(F.xxhash64("host"), "shared"))).otherwise(
-        F.xxhash64("host", F.pmod(F.xxhash64("id", "url", "content"), "dealt"))
+        F.xxhash64("host", F.pmod(F.xxhash64("content", spread), "dealt"))
     )
     parts = F.coalesce("dealt", F.lit(1)).cast("long")
     return found.select(*rows.columns, window.alias("window"), parts.alias("parts"))
@@ -589,9 +601,17 @@ def _by_host(pages: pa.Table) -> Iterator[tuple[str | None, int, pa.Table]]:
         yield host, mine.column("parts")[0].as_py(), mine
 
 
+def _different(pages: pa.Table) -> tuple[list[tuple[int, bytes, bytes]], list[int]]:
+    """(content, places, texts) of the pages that are no copies, and which of them each page is."""
+    known: dict[tuple[int, bytes, bytes], int] = {}
+    columns = (pages.column(name).to_pylist() for name in ("content", "places", "texts"))
+    which = [known.setdefault(page, len(known)) for page in zip(*columns, strict=True)]
+    return list(known), which
+
+
 def _runs_of(pages: pa.Table, host: str | None) -> Runs:
-    laid = lay_out([_texts_of(raw) for raw in pages.column("texts").to_pylist()])
-    return window_runs(laid, pages.column("content").to_pylist(), host)
+    contents, _, texts = zip(*_different(pages)[0], strict=True)
+    return window_runs(lay_out([_texts_of(raw) for raw in texts]), list(contents), host)
 
 
 # What a window tells of its runs, or hears of them: a bucket of a host, and packed numbers.
@@ -607,7 +627,7 @@ _PLACES_DDL = f"{_HEAD_DDL}, places binary"
 
 def _runs(windows: DataFrame) -> DataFrame:
     """The packed numbers of the runs of each window, by bucket; a host in one window has none to tell."""
-    names = ["window", "host", "parts", "content", "texts"]
+    names = ["window", "host", "parts", "content", "places", "texts"]
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
@@ -706,11 +726,10 @@ def _texts(windows: DataFrame, schema: T.StructType) -> DataFrame:
             known[row["host"]].append(unpacked(row["places"]))
         out = []
         for host, _, mine in _by_host(pages):
-            blocks = [
-                [Block(*block) for block in zip(_texts_of(raw), places, strict=True)]
-                for raw, places in zip(mine.column("texts").to_pylist(), mine.column("places").to_pylist(), strict=True)
-            ]
-            texts = texts_without(blocks, mine.column("content").to_pylist(), host, np.concatenate(known[host]))
+            different, which = _different(mine)
+            blocks = [[Block(*block) for block in zip(_texts_of(raw), places, strict=True)] for _, places, raw in different]
+            found = texts_without(blocks, [content for content, _, _ in different], host, np.concatenate(known[host]))
+            texts = [found[i] for i in which]
             out.append(pa.table([
                 mine.column("id"), mine.column("url"), pa.array(texts, pa.string()),
                 pa.array([len(text) for text in texts], pa.int64()),

@@ -279,3 +279,27 @@ def test_small_hosts_share_windows_and_nothing_else(spark):
         kept = "Home News About us Contact all the rest of it here"
         wanted = [f"own text {i}" for i in range(40)] + [f"{kept}\n\nown text {i}" for i in range(40)] + ["x", "y", ""]
         assert sorted(r.text for r in found) == sorted(wanted)
+
+
+def test_copies_meet_in_a_window_and_very_many_are_spread(spark, monkeypatch):
+    pages = prose_pages(30, 60)
+    rows = [(100 * k + i, f"{url}/{k}", html) for k in range(6) for i, url, html in pages]
+    rows += [(10_000 + i, f"http://h.org/c{i}", pages[1][2]) for i in range(300)] + [pages[2]] * 40
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen = []
+    runs = boilerplate._runs
+
+    def noted(windows):
+        seen.extend(windows.groupBy("content", "window").count().collect())
+        return runs(windows)
+
+    monkeypatch.setattr(boilerplate, "_runs", noted)
+    found = boilerplate.main_texts(df, max_words=8000).collect()
+    assert sorted((r.page_id, r.text) for r in found) == sorted(
+        (i, " ".join(f"w{html.split('w')[2].split('x')[0]}x{k}" for k in range(60))) for i, _, html in rows
+    )
+    by_content = {}
+    for row in seen:
+        by_content.setdefault(row["content"], []).append(row["count"])
+    assert max(max(counts) for counts in by_content.values()) < 200
+    assert sum(len(counts) == 1 for counts in by_content.values()) >= 28
